@@ -112,3 +112,135 @@ SELECT txn_id, account_id, merchant_id, timestamp, CAST(amount AS DOUBLE) AS amo
        currency, txn_type, status, channel, city, country, description, txn_date,
        txn_year, txn_month, is_debit
 FROM silver_transactions""")
+
+
+# --------------------------------------------------------------------------- gold
+AGE_GROUP = "CASE WHEN age < 30 THEN 'Young' WHEN age < 60 THEN 'Middle' ELSE 'Senior' END"
+BUCKET = ("CASE WHEN balance < 0 THEN 'Negative' WHEN balance < 10000 THEN 'Low' "
+          "WHEN balance < 50000 THEN 'Medium' ELSE 'High' END")
+
+GOLD_CTES = f"""
+joined AS (
+  SELECT t.txn_id, t.account_id, t.merchant_id, t.amount, t.txn_date, t.is_debit,
+         a.customer_id, a.balance, c.age_group, m.category,
+         CAST(date_trunc('month', t.txn_date) AS DATE) AS transaction_month,
+         CASE WHEN t.is_debit = true THEN t.amount ELSE 0 END AS spend_amount,
+         CASE WHEN t.is_debit = false THEN t.amount ELSE 0 END AS income_amount
+  FROM silver_transactions t
+  LEFT JOIN silver_accounts a ON t.account_id = a.account_id
+  LEFT JOIN (SELECT customer_id, {AGE_GROUP} AS age_group FROM silver_customers) c
+         ON a.customer_id = c.customer_id
+  LEFT JOIN silver_merchants m ON t.merchant_id = m.merchant_id),
+enriched AS (
+  SELECT *,
+         sum(spend_amount) OVER (PARTITION BY customer_id ORDER BY txn_date
+             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_spend,
+         lag(spend_amount) OVER (PARTITION BY customer_id
+             ORDER BY txn_date NULLS FIRST, txn_id NULLS FIRST) AS prev_txn_spend
+  FROM joined),
+monthly AS (
+  SELECT transaction_month, age_group, category,
+         sum(spend_amount) AS total_spend,
+         count(txn_id) AS transaction_count,
+         round(avg(amount), 6) AS avg_transaction_value,
+         count(DISTINCT customer_id) AS unique_customers,
+         CAST(quantile_disc(amount, 0.95) AS DOUBLE) AS p95_amount,
+         round(covar_pop(xm, ym) / nullif(stddev_pop(xm) * stddev_pop(ym), 0), 6)
+             AS amount_balance_corr,
+         CAST(max(running_spend) AS DOUBLE) AS max_running_spend
+  FROM (SELECT *,
+               CASE WHEN amount IS NOT NULL AND balance IS NOT NULL THEN CAST(amount AS DOUBLE) END AS xm,
+               CASE WHEN amount IS NOT NULL AND balance IS NOT NULL THEN CAST(balance AS DOUBLE) END AS ym
+        FROM enriched)
+  GROUP BY transaction_month, age_group, category)"""
+
+
+def register_gold(name: str, select_sql: str) -> None:
+    register(name, select_sql, GOLD_CTES)
+
+
+register("age_rank_by_gender", """
+SELECT customer_id, gender, CAST(age AS BIGINT) AS age,
+       row_number() OVER (PARTITION BY gender ORDER BY age DESC NULLS LAST, customer_id)
+           AS age_rank_gender
+FROM silver_customers""")
+
+register("dim_customers", f"""
+SELECT age_group, gender, count(customer_id) AS customer_count, avg(age) AS avg_age,
+       CAST(max(age) AS BIGINT) AS max_age
+FROM (SELECT *, {AGE_GROUP} AS age_group FROM silver_customers)
+GROUP BY age_group, gender""")
+
+TOP_MERCHANTS = """
+SELECT merchant_id, merchant_name, category, city, country, merchant_rank_category
+FROM (SELECT *, CAST(dense_rank() OVER (PARTITION BY category
+                     ORDER BY merchant_name DESC NULLS LAST) AS BIGINT) AS merchant_rank_category
+      FROM silver_merchants)
+WHERE merchant_rank_category <= 5"""
+
+register("top_merchants_by_category", TOP_MERCHANTS)
+
+register("dim_merchants", f"""
+SELECT category, country, count(merchant_id) AS merchant_count,
+       list_sort(list(merchant_name) FILTER (WHERE merchant_name IS NOT NULL)) AS top_merchants
+FROM ({TOP_MERCHANTS})
+GROUP BY category, country""")
+
+RUNNING_BALANCE = """
+SELECT account_id, customer_id, opened_date, account_type, status, balance,
+       sum(balance) OVER (PARTITION BY customer_id ORDER BY opened_date
+           RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_balance
+FROM silver_accounts"""
+
+register("running_balance", f"""
+SELECT account_id, customer_id, opened_date, CAST(balance AS DOUBLE) AS balance,
+       CAST(running_balance AS DOUBLE) AS running_balance
+FROM ({RUNNING_BALANCE})""")
+
+register("dim_accounts", f"""
+SELECT account_type, status, {BUCKET} AS balance_bucket,
+       round(avg(balance), 6) AS avg_balance, count(account_id) AS account_count,
+       CAST(sum(running_balance) AS DOUBLE) AS total_running_balance
+FROM ({RUNNING_BALANCE})
+GROUP BY ALL""")
+
+register_gold("fact_enriched", """
+SELECT txn_id, customer_id, merchant_id, txn_date, transaction_month, age_group, category,
+       CAST(amount AS DOUBLE) AS amount, CAST(balance AS DOUBLE) AS balance,
+       CAST(spend_amount AS DOUBLE) AS spend_amount,
+       CAST(income_amount AS DOUBLE) AS income_amount,
+       CAST(running_spend AS DOUBLE) AS running_spend,
+       CAST(prev_txn_spend AS DOUBLE) AS prev_txn_spend,
+       round(CASE WHEN prev_txn_spend IS NOT NULL AND prev_txn_spend <> 0
+                  THEN (spend_amount - prev_txn_spend) / prev_txn_spend ELSE 0 END, 6)
+           AS spend_growth
+FROM enriched""")
+
+register_gold("amount_rank", """
+SELECT txn_id, CAST(amount AS DOUBLE) AS amount,
+       row_number() OVER (ORDER BY amount DESC NULLS LAST, txn_id ASC NULLS FIRST) AS amount_rank
+FROM silver_transactions""")
+
+register_gold("fact_monthly", """
+SELECT transaction_month, age_group, category, CAST(total_spend AS DOUBLE) AS total_spend,
+       transaction_count, avg_transaction_value, unique_customers, p95_amount,
+       amount_balance_corr, max_running_spend
+FROM monthly""")
+
+CUSTOMER_SPEND = """
+SELECT customer_id, CAST(sum(spend_amount) AS DOUBLE) AS total_spend,
+       CAST(sum(amount) AS DOUBLE) AS total_amount, count(txn_id) AS transaction_count
+FROM joined GROUP BY customer_id"""
+
+register_gold("customer_spend", CUSTOMER_SPEND)
+
+register_gold("customer_spend_top10", f"""
+SELECT * FROM ({CUSTOMER_SPEND})
+ORDER BY total_spend DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10""")
+
+register_gold("spend_by_category", """
+SELECT category, CAST(sum(total_spend) AS DOUBLE) AS spend FROM monthly GROUP BY category""")
+
+register_gold("monthly_spend", """
+SELECT transaction_month, CAST(sum(total_spend) AS DOUBLE) AS total_spend
+FROM monthly GROUP BY transaction_month""")

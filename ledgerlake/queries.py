@@ -60,3 +60,101 @@ def q_silver_accounts(spark, sf_dir):
 @query("silver_transactions")
 def q_silver_transactions(spark, sf_dir):
     return plain(silver_table(spark, sf_dir, "transactions"))
+
+
+# --------------------------------------------------------------------------- gold
+from ledgerlake.plans import dims, facts  # noqa: E402
+
+
+def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {n: silver_table(spark, sf_dir, n)
+            for n in ("customers", "merchants", "accounts", "transactions")}
+
+
+def joined_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_all(spark, sf_dir)
+    return facts.joined_transactions(s["transactions"], s["accounts"], s["customers"],
+                                     s["merchants"])
+
+
+def fact_monthly_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.transactions_enhanced(joined_fact_rows(spark, sf_dir), with_load_ts=False)
+
+
+@query("age_rank_by_gender")
+def q_age_rank_by_gender(spark, sf_dir):
+    df = dims.age_rank_by_gender(silver_table(spark, sf_dir, "customers"))
+    return df.withColumn("age", F.col("age").cast("bigint"))
+
+
+@query("dim_customers")
+def q_dim_customers(spark, sf_dir):
+    df = dims.customers_enhanced(silver_table(spark, sf_dir, "customers"), with_load_ts=False)
+    return df.withColumn("max_age", F.col("max_age").cast("bigint"))
+
+
+@query("top_merchants_by_category")
+def q_top_merchants_by_category(spark, sf_dir):
+    df = dims.top_merchants_by_category(silver_table(spark, sf_dir, "merchants"))
+    return df.withColumn("merchant_rank_category", F.col("merchant_rank_category").cast("bigint"))
+
+
+@query("dim_merchants")
+def q_dim_merchants(spark, sf_dir):
+    return dims.merchants_enhanced(silver_table(spark, sf_dir, "merchants"), with_load_ts=False)
+
+
+@query("running_balance")
+def q_running_balance(spark, sf_dir):
+    df = dims.running_balance(silver_table(spark, sf_dir, "accounts"))
+    return plain(df.select("account_id", "customer_id", "opened_date", "balance",
+                           "running_balance"))
+
+
+@query("dim_accounts")
+def q_dim_accounts(spark, sf_dir):
+    return plain(dims.accounts_enhanced(silver_table(spark, sf_dir, "accounts"),
+                                        with_load_ts=False))
+
+
+ENRICHED_COLUMNS = ["txn_id", "customer_id", "merchant_id", "txn_date", "transaction_month",
+                    "age_group", "category", "amount", "balance", "spend_amount",
+                    "income_amount", "running_spend", "prev_txn_spend", "spend_growth"]
+
+
+@query("fact_enriched")
+def q_fact_enriched(spark, sf_dir):
+    df = facts.enriched_transactions(joined_fact_rows(spark, sf_dir))
+    df = plain(df.select(*ENRICHED_COLUMNS))
+    return df.withColumn("spend_growth", F.round("spend_growth", 6))
+
+
+@query("amount_rank")
+def q_amount_rank(spark, sf_dir):
+    return plain(facts.amount_rank(silver_table(spark, sf_dir, "transactions")))
+
+
+@query("fact_monthly")
+def q_fact_monthly(spark, sf_dir):
+    df = plain(fact_monthly_mart(spark, sf_dir))
+    return df.withColumn("amount_balance_corr", F.round("amount_balance_corr", 6))
+
+
+@query("customer_spend")
+def q_customer_spend(spark, sf_dir):
+    return plain(facts.customer_spend(joined_fact_rows(spark, sf_dir)))
+
+
+@query("customer_spend_top10")
+def q_customer_spend_top10(spark, sf_dir):
+    return plain(facts.top_customers(facts.customer_spend(joined_fact_rows(spark, sf_dir)), 10))
+
+
+@query("spend_by_category")
+def q_spend_by_category(spark, sf_dir):
+    return plain(facts.spend_by_category(fact_monthly_mart(spark, sf_dir)))
+
+
+@query("monthly_spend")
+def q_monthly_spend(spark, sf_dir):
+    return plain(facts.monthly_spend(fact_monthly_mart(spark, sf_dir)))
