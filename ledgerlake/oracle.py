@@ -244,3 +244,107 @@ SELECT category, CAST(sum(total_spend) AS DOUBLE) AS spend FROM monthly GROUP BY
 register_gold("monthly_spend", """
 SELECT transaction_month, CAST(sum(total_spend) AS DOUBLE) AS total_spend
 FROM monthly GROUP BY transaction_month""")
+
+
+# ------------------------------------------------------------ sources and loads
+TXN_ORDER = ['timestamp', 'amount', 'merchant_id', 'account_id', 'currency', 'txn_type', 'status',
+             'channel', 'city', 'country', 'description', 'txn_date', 'txn_year', 'txn_month',
+             'is_debit']
+SILVER_TXN_OUT = """txn_id, account_id, merchant_id, timestamp, CAST(amount AS DOUBLE) AS amount,
+       currency, txn_type, status, channel, city, country, description, txn_date,
+       txn_year, txn_month, is_debit"""
+FIRST_BEFORE = "TIMESTAMP '1998-01-01 00:00:00'"
+SECOND_FROM = "TIMESTAMP '1997-01-01 00:00:00'"
+
+
+def silver_txn_where(extra: str) -> str:
+    """Silver transactions (typed, valid, latest per key) over a slice of raw rows."""
+    return f"""
+  SELECT * EXCLUDE (rn)
+  FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {desc_all(TXN_ORDER)}) AS rn
+        FROM typed_transactions
+        WHERE status = 'success' AND timestamp < {AS_OF_TS} AND {extra})
+  WHERE rn = 1"""
+
+
+register("raw_csv_transactions", """
+SELECT txn_id, account_id, merchant_id, CAST(timestamp AS TIMESTAMP) AS timestamp, amount,
+       currency, txn_type, status, channel, city, country, description
+FROM raw_transactions""")
+
+register("incremental_upsert_transactions", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
+
+register("incremental_drop_transactions", f"""
+SELECT {SILVER_TXN_OUT} FROM load1
+UNION ALL
+SELECT {SILVER_TXN_OUT} FROM load2""", f"""
+load1 AS ({silver_txn_where(f"timestamp < {FIRST_BEFORE}")}),
+load2 AS ({silver_txn_where(f"timestamp >= {SECOND_FROM} AND timestamp > (SELECT max(timestamp) FROM load1)")})""")
+
+RAW_TXN_COLS = ["account_id", "merchant_id", "amount", "currency", "txn_type", "status",
+                "channel", "city", "country", "description"]
+register("append_dedup_transactions", """
+SELECT * FROM existing
+UNION ALL
+SELECT * FROM fresh""", f"""
+existing AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
+             WHERE timestamp < {FIRST_BEFORE}),
+incoming AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
+             WHERE timestamp >= {SECOND_FROM}),
+fresh AS (
+  SELECT * EXCLUDE (rn)
+  FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY
+               {", ".join(f"{c} ASC NULLS FIRST" for c in ["timestamp"] + RAW_TXN_COLS)}) AS rn
+        FROM incoming) i
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM existing e WHERE e.txn_id = i.txn_id))""")
+
+register("fk_orphans", """
+SELECT 'accounts' AS child_table, account_id AS child_key, customer_id AS parent_key
+FROM silver_accounts a
+WHERE NOT EXISTS (SELECT 1 FROM silver_customers c WHERE c.customer_id = a.customer_id)
+UNION ALL
+SELECT 'transactions', txn_id, account_id
+FROM silver_transactions t
+WHERE NOT EXISTS (SELECT 1 FROM silver_accounts a WHERE a.account_id = t.account_id)""")
+
+register("high_water_marks", """
+SELECT 'customers' AS table_name, CAST(max(created_at) AS TIMESTAMP) AS high_water_mark FROM silver_customers
+UNION ALL
+SELECT 'accounts', CAST(max(opened_date) AS TIMESTAMP) FROM silver_accounts
+UNION ALL
+SELECT 'transactions', max(timestamp) FROM silver_transactions""")
+
+register("load_metrics", f"""
+SELECT 'customers' AS table_name, (SELECT count(*) FROM raw_customers) AS raw_rows,
+       (SELECT count(*) FROM typed_customers WHERE age >= 18 AND regexp_matches(email, '@')) AS valid_rows,
+       (SELECT count(*) FROM silver_customers) AS silver_rows
+UNION ALL
+SELECT 'merchants', (SELECT count(*) FROM raw_merchants), (SELECT count(*) FROM typed_merchants),
+       (SELECT count(*) FROM silver_merchants)
+UNION ALL
+SELECT 'accounts', (SELECT count(*) FROM raw_accounts),
+       (SELECT count(*) FROM typed_accounts WHERE opened_date < {AS_OF_DATE} AND balance IS NOT NULL),
+       (SELECT count(*) FROM silver_accounts)
+UNION ALL
+SELECT 'transactions', (SELECT count(*) FROM raw_transactions),
+       (SELECT count(*) FROM typed_transactions WHERE status = 'success' AND timestamp < {AS_OF_TS}),
+       (SELECT count(*) FROM silver_transactions)""")
+
+register_gold("dashboard_filtered", """
+SELECT category, CAST(sum(total_spend) AS DOUBLE) AS spend
+FROM monthly
+WHERE contains(category, 'Econ')
+  AND transaction_month >= DATE '1996-01-01' AND transaction_month <= DATE '1999-12-01'
+GROUP BY category""")
+
+register_gold("dashboard_drilldown", """
+SELECT transaction_month, CAST(sum(total_spend) AS DOUBLE) AS total_spend
+FROM monthly
+GROUP BY transaction_month
+HAVING CAST(transaction_month AS VARCHAR) = '1997-03-01'""")
+
+register("stream_silver_transactions", f"""
+SELECT {SILVER_TXN_OUT}
+FROM typed_transactions
+WHERE txn_id IN (SELECT txn_id FROM raw_transactions GROUP BY txn_id HAVING count(*) = 1)
+  AND status = 'success' AND timestamp < {AS_OF_TS}""")

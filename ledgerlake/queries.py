@@ -158,3 +158,168 @@ def q_spend_by_category(spark, sf_dir):
 @query("monthly_spend")
 def q_monthly_spend(spark, sf_dir):
     return plain(facts.monthly_spend(fact_monthly_mart(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ sources and loads
+from ledgerlake.operators import incremental  # noqa: E402
+from ledgerlake.operators.metrics import stage_counts  # noqa: E402
+from ledgerlake.plans import dashboard  # noqa: E402
+from ledgerlake.session import scratch_dir  # noqa: E402
+from ledgerlake.sources import tables  # noqa: E402
+from ledgerlake.streaming import silver_stream  # noqa: E402
+
+# Where the test input is split into two deliveries.  The deliveries
+# overlap for one year, so the second repeats keys of the first.
+FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"
+SECOND_LOAD_FROM = "1997-01-01 00:00:00"
+
+
+def _two_deliveries(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    ts = F.col("timestamp")
+    return (raw.filter(ts < F.to_timestamp(F.lit(FIRST_LOAD_BEFORE))),
+            raw.filter(ts >= F.to_timestamp(F.lit(SECOND_LOAD_FROM))))
+
+
+@query("raw_csv_transactions")
+def q_raw_csv_transactions(spark, sf_dir):
+    """Raw transactions written as headered CSV, read back with the declared schema."""
+    path = scratch_dir(spark, "raw-csv")
+    tables.write_raw_csv(raw_table(spark, sf_dir, "transactions"), path, "overwrite")
+    return tables.read_raw_csv(spark, path, "transactions")
+
+
+def _silver_load(spark, sf_dir, late: str) -> DataFrame:
+    first, second = _two_deliveries(raw_table(spark, sf_dir, "transactions"))
+    target = scratch_dir(spark, f"silver-{late}")
+    for delivery in (first, second):
+        incremental.incremental_load(
+            spark, delivery, target, keys=["txn_id"], ts_col="timestamp",
+            order=silver.total_order_for("transactions"), late=late,
+            transform=lambda d: silver.to_silver("transactions", d, AS_OF),
+            partition_by=silver_stream.PARTITION_COLS)
+    return plain(tables.read_table(spark, target).select(*silver.SILVER_COLUMNS["transactions"]))
+
+
+@query("incremental_upsert_transactions")
+def q_incremental_upsert(spark, sf_dir):
+    """S4-S10 with the upsert policy: two overlapping deliveries == one full load."""
+    return _silver_load(spark, sf_dir, "upsert")
+
+
+@query("incremental_drop_transactions")
+def q_incremental_drop(spark, sf_dir):
+    """S4-S10 with the reference's policy: second delivery filtered to ts > mark."""
+    return _silver_load(spark, sf_dir, "drop")
+
+
+@query("append_dedup_transactions")
+def q_append_dedup(spark, sf_dir):
+    """Raw CSV append; in-batch first row (earliest) wins, known keys skipped."""
+    first, second = _two_deliveries(raw_table(spark, sf_dir, "transactions"))
+    path = scratch_dir(spark, "raw-append")
+    tables.write_raw_csv(first, path, "overwrite")
+    cols = [c for c in second.columns if c not in ("txn_id", "timestamp")]
+    order = [F.col(c).asc_nulls_first() for c in ["timestamp", *cols]]
+    incremental.append_new_rows(spark, second, path, keys=["txn_id"], order=order)
+    return tables.read_raw_csv(spark, path, "transactions")
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    """Silver rows whose foreign key has no parent row (left anti joins)."""
+    s = silver_all(spark, sf_dir)
+    acc = (s["accounts"].join(s["customers"].select("customer_id"), "customer_id", "left_anti")
+           .select(F.lit("accounts").alias("child_table"), F.col("account_id").alias("child_key"),
+                   F.col("customer_id").alias("parent_key")))
+    txn = (s["transactions"].join(s["accounts"].select("account_id"), "account_id", "left_anti")
+           .select(F.lit("transactions").alias("child_table"), F.col("txn_id").alias("child_key"),
+                   F.col("account_id").alias("parent_key")))
+    return acc.unionByName(txn)
+
+
+@query("high_water_marks")
+def q_high_water_marks(spark, sf_dir):
+    """The event-time mark of each silver table with one."""
+    out = None
+    for name in ("customers", "accounts", "transactions"):
+        ts = silver.TS_COLUMNS[name]
+        one = (silver_table(spark, sf_dir, name)
+               .agg(F.max(F.col(ts).cast("timestamp")).alias("high_water_mark"))
+               .select(F.lit(name).alias("table_name"), "high_water_mark"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("load_metrics")
+def q_load_metrics(spark, sf_dir):
+    """Raw, valid (after filters) and silver (after dedup) row counts."""
+    out = None
+    for name in ("customers", "merchants", "accounts", "transactions"):
+        raw = raw_table(spark, sf_dir, name)
+        one = stage_counts({"raw": raw, "valid": silver.TYPED[name](raw, AS_OF),
+                            "silver": silver.to_silver(name, raw, AS_OF)}, name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# The dashboard filters the registered queries exercise.
+DASHBOARD_CATEGORY = "Econ"
+DASHBOARD_START, DASHBOARD_END = "1996-01-01", "1999-12-01"
+DASHBOARD_CLICK = "1997-03-01"
+
+
+@query("dashboard_filtered")
+def q_dashboard_filtered(spark, sf_dir):
+    """F9/F10 + G7: spend by category chart with category and date filters."""
+    import datetime as dt
+    charts = dashboard.run_dashboard(
+        spark, fact_monthly_mart(spark, sf_dir), category=DASHBOARD_CATEGORY,
+        start=dt.date.fromisoformat(DASHBOARD_START), end=dt.date.fromisoformat(DASHBOARD_END))
+    return plain(charts["chart3"])
+
+
+@query("dashboard_drilldown")
+def q_dashboard_drilldown(spark, sf_dir):
+    """F11 + G7: monthly trend chart drilled down to one clicked month."""
+    charts = dashboard.run_dashboard(spark, fact_monthly_mart(spark, sf_dir),
+                                     clicked=DASHBOARD_CLICK)
+    return plain(charts["chart1"])
+
+
+@query("gold_sample_json")
+def q_gold_sample_json(spark, sf_dir):
+    """Leading fact rows as JSON records within 1000 characters."""
+    fact = plain(fact_monthly_mart(spark, sf_dir))
+    return dashboard.records_sample(fact, ["transaction_month", "age_group", "category"], 1000)
+
+
+# Event-time boundaries of the deliveries fed to the streaming load.
+STREAM_DELIVERY_BOUNDS = ["1996-01-01 00:00:00", "1998-01-01 00:00:00", "2000-01-01 00:00:00"]
+
+
+@query("stream_silver_transactions")
+def q_stream_silver_transactions(spark, sf_dir):
+    """T-1..T-3: file stream with watermark and within-watermark dedup.
+
+    Input: raw transactions whose key occurs once, each delivered twice (exact copies
+    in the same delivery).  Deliveries arrive in event-time order; after each one the
+    job runs with ``availableNow`` and resumes from its checkpoint, as a scheduled job
+    would.
+    """
+    raw = raw_table(spark, sf_dir, "transactions")
+    single = raw.join(raw.groupBy("txn_id").count().filter("count = 1").select("txn_id"),
+                      "txn_id", "left_semi")
+    doubled = single.unionByName(single)
+    src = scratch_dir(spark, "stream-src")
+    sink, ckpt = scratch_dir(spark, "stream-sink"), scratch_dir(spark, "stream-ckpt")
+    bounds = [None, *STREAM_DELIVERY_BOUNDS, None]
+    ts = F.col("timestamp")
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = doubled
+        if lo is not None:
+            part = part.filter(ts >= F.to_timestamp(F.lit(lo)))
+        if hi is not None:
+            part = part.filter(ts < F.to_timestamp(F.lit(hi)))
+        part.write.mode("append").parquet(src)
+        silver_stream.run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
+    return plain(spark.read.parquet(sink).select(*silver.SILVER_COLUMNS["transactions"]))
