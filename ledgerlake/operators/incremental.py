@@ -80,10 +80,12 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
         write_table(rows, target_path, fmt, "append", partition_by)
         return LoadResult(target_path, obs.get["rows"], False, mark)
 
-    existing = read_table(spark, target_path, fmt)
-    rows = rows.select(*existing.columns)
+    existing = read_table(spark, target_path, fmt, merge_schema=True)
+    # Columns new on either side are kept; the other side gets NULLs.
+    cols = existing.columns + [c for c in rows.columns if c not in existing.columns]
     if not partition_by:
-        merged = latest_per_key(existing.unionByName(rows), keys, order)
+        merged = latest_per_key(existing.unionByName(rows, allowMissingColumns=True)
+                                .select(*cols), keys, order)
         staged = materialize(merged, "upsert")           # never overwrite a path being read
         staged, obs = observed(staged, "load")
         write_table(staged, target_path, fmt, "overwrite")
@@ -94,7 +96,8 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
     # One row per touched partition (bounded by the partition count, e.g. months).
     touched = (rows.select(*pcols).union(holding_keys.select(*pcols)).distinct().collect())
     old = existing.filter(_partition_filter(touched, pcols))
-    merged = latest_per_key(old.unionByName(rows), keys, order)
+    merged = latest_per_key(old.unionByName(rows, allowMissingColumns=True).select(*cols),
+                            keys, order)
     staged = materialize(merged, "upsert")
     staged, obs = observed(staged, "load")
     write_table(staged, target_path, fmt, "overwrite", pcols, dynamic_overwrite=True)

@@ -38,6 +38,24 @@ _FORBIDDEN = re.compile(r";|\b(INSERT|UPDATE|DELETE|MERGE|DROP|CREATE|ALTER|TRUN
                         re.IGNORECASE)
 
 
+def parse_spec(text: str) -> dict:
+    """Parse and check a dashboard spec given as JSON text."""
+    import json
+    spec = json.loads(text)
+    charts = spec.get("charts")
+    if not isinstance(charts, list) or not charts:
+        raise ValueError("spec needs a non-empty 'charts' list")
+    for c in charts:
+        missing = {"id", "type", "sql"} - set(c)
+        if missing:
+            raise ValueError(f"chart {c.get('id')!r} lacks {sorted(missing)}")
+        if c["type"] not in ("bar", "line", "pie"):
+            raise ValueError(f"chart type {c['type']!r} is not supported")
+    spec.setdefault("summary", "")
+    spec.setdefault("recommendations", "")
+    return spec
+
+
 def category_filter(df: DataFrame, value: str | None, column: str = "category") -> DataFrame:
     """keep rows whose category contains ``value`` as literal text."""
     if not value:

@@ -76,3 +76,16 @@ def local_path(path: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def object_store_conf(endpoint: str | None = None, path_style: bool = True,
+                      timeout_ms: int = 60000) -> dict[str, str]:
+    """S3A settings for an S3-compatible store, to pass to the session builder
+    or spark-submit.  Credentials are deliberately absent: supply them through the
+    cluster's credential provider chain, never in code."""
+    conf = {"spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+            "spark.hadoop.fs.s3a.connection.timeout": str(timeout_ms),
+            "spark.hadoop.fs.s3a.connection.establish.timeout": str(timeout_ms)}
+    if endpoint:
+        conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
+    return conf

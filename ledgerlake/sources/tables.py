@@ -28,9 +28,14 @@ def write_raw_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Open a table directory as a DataFrame."""
-    return spark.read.format(fmt).load(path)
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
+               merge_schema: bool = False) -> DataFrame:
+    """Open a table directory as a DataFrame.  ``merge_schema`` unions the
+    schemas of files written before and after a column was added (S11)."""
+    reader = spark.read.format(fmt)
+    if merge_schema and fmt == "parquet":
+        reader = reader.option("mergeSchema", "true")
+    return reader.load(path)
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:

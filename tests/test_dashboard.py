@@ -1,0 +1,44 @@
+"""Dashboard runner: bound filter values, per-chart drill-down, SELECT-only SQL."""
+
+import datetime as dt
+
+import pytest
+
+from ledgerlake.plans import dashboard
+
+
+@pytest.fixture(scope="module")
+def facts_df(spark):
+    rows = [(dt.date(2000, 1, 1), "Young", "Economy Tin", 10.0),
+            (dt.date(2000, 2, 1), "Senior", "a%b'", 5.0),
+            (dt.date(2000, 2, 1), "Young", "Economy Tin", 7.0)]
+    return spark.createDataFrame(rows, "transaction_month date, age_group string, "
+                                       "category string, total_spend double")
+
+
+def test_filter_value_is_literal_text(spark, facts_df):
+    out = dashboard.run_dashboard(spark, facts_df, category="a%b'")
+    assert [tuple(r) for r in out["chart3"].collect()] == [("a%b'", 5.0)]
+    assert dashboard.run_dashboard(spark, facts_df, category="_")["chart3"].count() == 0
+
+
+def test_drilldown_uses_each_charts_first_column(spark, facts_df):
+    out = dashboard.run_dashboard(spark, facts_df, clicked="Young")
+    assert out["chart1"].count() == 0
+    assert [tuple(r) for r in out["chart2"].collect()] == [("Young", 17.0)]
+
+
+def test_only_select_is_accepted(spark, facts_df):
+    with pytest.raises(ValueError):
+        dashboard.chart_frame(spark, "DROP TABLE x", facts_df)
+    with pytest.raises(ValueError):
+        dashboard.chart_frame(spark, "SELECT 1; DROP TABLE x", facts_df)
+
+
+def test_parse_spec_and_plain_table_name(spark, facts_df):
+    spec = dashboard.parse_spec('{"charts": [{"id": "c", "type": "bar", '
+                                '"sql": "SELECT age_group, SUM(total_spend) AS s FROM df_facts GROUP BY age_group"}]}')
+    out = dashboard.run_dashboard(spark, facts_df, spec, start=dt.date(2000, 2, 1))
+    assert sorted(tuple(r) for r in out["c"].collect()) == [("Senior", 5.0), ("Young", 7.0)]
+    with pytest.raises(ValueError):
+        dashboard.parse_spec('{"charts": [{"id": "c", "type": "radar", "sql": "SELECT 1"}]}')

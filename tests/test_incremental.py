@@ -65,3 +65,16 @@ def test_rerun_changes_nothing(spark):
     before = snapshot(spark, target)
     load(spark, txn(spark, rows), target, "upsert")
     assert snapshot(spark, target) == before
+
+
+def test_upsert_merges_a_new_column(spark):
+    from pyspark.sql import functions as F
+    target = scratch_dir(spark, "t-schema")
+    d1 = dt.datetime(2000, 1, 1)
+    load(spark, txn(spark, [("T1", d1, 1.0)]), target, "upsert")
+    newer = lambda d: silver.to_silver("transactions", d, AS_OF).withColumn("fee", F.lit(0.5))
+    incremental_load(spark, txn(spark, [("T2", d1, 2.0)]), target, keys=["txn_id"],
+                     ts_col="timestamp", order=silver.total_order_for("transactions"),
+                     transform=newer, partition_by=PART)
+    got = {r.txn_id: r.fee for r in read_table(spark, target, merge_schema=True).collect()}
+    assert got == {"T1": None, "T2": 0.5}
