@@ -71,15 +71,18 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
     if late == "drop" and ts_col and exists:
         mark = high_water_mark(read_table(spark, target_path, fmt), ts_col)
         incoming = newer_than(incoming, ts_col, mark)
-    rows = transform(incoming) if transform else incoming
-    if rows.isEmpty():                                   # S8: nothing to write
+    if incoming.isEmpty():                               # S8: nothing new, no write
         return LoadResult(target_path, 0, True, mark)
+    rows = transform(incoming) if transform else incoming
 
     if not exists or late == "drop":
         rows, obs = observed(rows, "load")
         write_table(rows, target_path, fmt, "append", partition_by)
         return LoadResult(target_path, obs.get["rows"], False, mark)
 
+    # The delivery is used several times below (touched partitions, key lookup,
+    # merge): stage it once instead of recomputing the transform for each use.
+    rows = materialize(rows, "delivery")
     existing = read_table(spark, target_path, fmt, merge_schema=True)
     # Columns new on either side are kept; the other side gets NULLs.
     cols = existing.columns + [c for c in rows.columns if c not in existing.columns]

@@ -56,7 +56,14 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, mode: str =
                 partition_by: Sequence[str] | None = None,
                 dynamic_overwrite: bool = False) -> None:
     """Write a table directory, optionally partitioned.  With
-    ``dynamic_overwrite`` an overwrite replaces only the partitions that receive rows."""
+    ``dynamic_overwrite`` an overwrite replaces only the partitions that receive rows.
+
+    A partitioned write is preceded by a ``rebalance`` on the partition columns: rows
+    of a table partition are grouped into few files instead of one file per task and
+    partition, and AQE still splits a partition that is much larger than the rest.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
