@@ -89,3 +89,22 @@ def object_store_conf(endpoint: str | None = None, path_style: bool = True,
     if endpoint:
         conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
     return conf
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a run that shuffles about ``shuffle_bytes``.
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    (a size a task can sort in executor memory, spilling if needed), and never fewer
+    than two waves of the cluster's cores; AQE then coalesces toward the advisory size
+    and splits skewed partitions.  Scan splits stay at 128 MB.  For 100 TB shuffled on
+    1000 executors x 8 cores this gives ~410,000 partitions of ~256 MB.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    }
