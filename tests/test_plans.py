@@ -50,3 +50,26 @@ def test_global_position_has_no_single_partition_raw_window(spark, sf_dir):
     assert "Window [" not in p.split("SinglePartition")[0] or p.count("SinglePartition") <= 1
     got = [r._pos for r in pos.orderBy("_pos").select("_pos").collect()]
     assert got == list(range(t.count()))
+
+
+def test_fact_rows_shuffle_once_per_join_key_without_broadcasts(spark, sf_dir):
+    """With every join a sort-merge join (as at scale), the transaction rows are
+    shuffled by txn_id (dedup), account_id and merchant_id - never by customer_id:
+    the customer dimension is joined to accounts first."""
+    import re
+
+    import ledgerlake.queries as Q
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = Q.joined_fact_rows(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    top = [ln for ln in p.splitlines() if "SortMergeJoin" in ln]
+    assert len(top) == 3
+    assert re.search(r"SortMergeJoin \[merchant_id#\d+\]", top[0])
+    assert re.search(r"SortMergeJoin \[account_id#\d+\]", top[1])
+    assert re.search(r"SortMergeJoin \[customer_id#\d+\]", top[2])
