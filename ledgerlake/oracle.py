@@ -348,3 +348,12 @@ SELECT {SILVER_TXN_OUT}
 FROM typed_transactions
 WHERE txn_id IN (SELECT txn_id FROM raw_transactions GROUP BY txn_id HAVING count(*) = 1)
   AND status = 'success' AND timestamp < {AS_OF_TS}""")
+
+register("bronze_drop_transactions", """
+SELECT * FROM d1
+UNION ALL
+SELECT * FROM d2 WHERE timestamp > (SELECT max(timestamp) FROM d1)""", f"""
+d1 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
+       WHERE timestamp < {FIRST_BEFORE}),
+d2 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
+       WHERE timestamp >= {SECOND_FROM})""")

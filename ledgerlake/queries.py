@@ -201,6 +201,21 @@ def _silver_load(spark, sf_dir, late: str) -> DataFrame:
     return plain(tables.read_table(spark, target).select(*silver.SILVER_COLUMNS["transactions"]))
 
 
+@query("bronze_drop_transactions")
+def q_bronze_drop(spark, sf_dir):
+    """S1 + S5/S6/S9 at the bronze layer: two CSV deliveries appended under the
+    high-water-mark policy (rows at or below the bronze mark are skipped)."""
+    first, second = _two_deliveries(raw_table(spark, sf_dir, "transactions"))
+    target = scratch_dir(spark, "bronze-drop")
+    for i, delivery in enumerate((first, second)):
+        path = scratch_dir(spark, f"raw-delivery-{i}")
+        tables.write_raw_csv(delivery, path, "overwrite")
+        incremental.incremental_load(
+            spark, tables.read_raw_csv(spark, path, "transactions"), target,
+            keys=["txn_id"], ts_col="timestamp", order=["timestamp"], late="drop")
+    return tables.read_table(spark, target)
+
+
 @query("incremental_upsert_transactions")
 def q_incremental_upsert(spark, sf_dir):
     """S4-S10 with the upsert policy: two overlapping deliveries == one full load."""
@@ -322,6 +337,6 @@ def q_stream_silver_transactions(spark, sf_dir):
             part = part.filter(ts >= F.to_timestamp(F.lit(lo)))
         if hi is not None:
             part = part.filter(ts < F.to_timestamp(F.lit(hi)))
-        part.write.mode("append").parquet(src)
-        silver_stream.run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
+        tables.write_raw_csv(part, src, "append")          # raw deliveries are CSV files
+        silver_stream.run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF, fmt="csv")
     return plain(spark.read.parquet(sink).select(*silver.SILVER_COLUMNS["transactions"]))
