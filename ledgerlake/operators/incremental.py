@@ -24,10 +24,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedup import latest_per_key
+from ledgerlake.operators.dedup import append_new_keys, latest_per_key
 from ledgerlake.operators.metrics import observed
 from ledgerlake.operators.windows import materialize
-from ledgerlake.sources.tables import DEFAULT_FORMAT, path_exists, read_table, write_table
+from ledgerlake.schemas import RAW_SCHEMAS
+from ledgerlake.sources.tables import (DEFAULT_FORMAT, path_exists, read_raw_csv, read_table,
+                                       write_raw_csv, write_table)
 
 
 @dataclass
@@ -115,31 +117,27 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
 
 
 def append_new_rows(spark: SparkSession, incoming: DataFrame, target_path: str, *,
-                    keys: Sequence[str], order: Sequence, fmt: str = "csv") -> LoadResult:
+                    keys: Sequence[str], order: Sequence, table: str | None = None,
+                    fmt: str = "csv") -> LoadResult:
     """Raw append with key dedup.  In-batch copies keep the first row in
     ``order``; keys already in the target are left out; the target is created if
     missing.  Only the key column of the target is read."""
-    from ledgerlake.operators.dedup import append_new_keys
-    from ledgerlake.sources.tables import read_raw_csv
-    if fmt == "csv":
-        table = incoming.columns and _raw_table_name(incoming)
-        exists = path_exists(spark, target_path, "csv")
-        existing = read_raw_csv(spark, target_path, table) if exists else None
-    else:
-        exists = path_exists(spark, target_path, fmt)
-        existing = read_table(spark, target_path, fmt) if exists else None
+    exists = path_exists(spark, target_path, fmt)
+    existing = None
+    if exists:
+        existing = (read_raw_csv(spark, target_path, table or _raw_table_name(incoming))
+                    if fmt == "csv" else read_table(spark, target_path, fmt))
     fresh = (append_new_keys(existing, incoming, keys, order) if existing is not None
              else latest_per_key(incoming, keys, order))
     fresh, obs = observed(fresh, "append")
     if fmt == "csv":
-        fresh.write.mode("append").option("header", True).csv(target_path)
+        write_raw_csv(fresh, target_path, "append")
     else:
         write_table(fresh, target_path, fmt, "append")
     return LoadResult(target_path, obs.get["rows"], False)
 
 
 def _raw_table_name(df: DataFrame) -> str:
-    from ledgerlake.schemas import RAW_SCHEMAS
     cols = df.columns
     for name, schema in RAW_SCHEMAS.items():
         if [f.name for f in schema.fields] == cols:

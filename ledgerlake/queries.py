@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.plans import silver
+from ledgerlake.operators import incremental
+from ledgerlake.operators.metrics import stage_counts
+from ledgerlake.operators.windows import materialize
+from ledgerlake.plans import dashboard, dims, facts, silver
+from ledgerlake.session import scratch_dir
+from ledgerlake.sources import tables
 from ledgerlake.sources.bridge import AS_OF, raw_table
+from ledgerlake.streaming import silver_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,7 +69,6 @@ def q_silver_transactions(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- gold
-from ledgerlake.plans import dims, facts  # noqa: E402
 
 
 def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -161,13 +166,6 @@ def q_monthly_spend(spark, sf_dir):
 
 
 # ------------------------------------------------------------ sources and loads
-from ledgerlake.operators import incremental  # noqa: E402
-from ledgerlake.operators.metrics import stage_counts  # noqa: E402
-from ledgerlake.plans import dashboard  # noqa: E402
-from ledgerlake.operators.windows import materialize  # noqa: E402
-from ledgerlake.session import scratch_dir  # noqa: E402
-from ledgerlake.sources import tables  # noqa: E402
-from ledgerlake.streaming import silver_stream  # noqa: E402
 
 # Where the test input is split into two deliveries.  The deliveries
 # overlap for one year, so the second repeats keys of the first.
