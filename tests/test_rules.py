@@ -86,3 +86,29 @@ def test_accounts_opened_on_as_of_dropped(spark):
             ("A3", "C", "savings", None, dt.date(2001, 6, 1), "active")]
     out = silver.transform_accounts(spark.createDataFrame(rows, RAW_SCHEMAS["accounts"]), AS_OF).collect()
     assert [(r.account_id, r.status) for r in out] == [("A2", "inactive")]
+
+
+def test_customers_with_null_dob_or_email_are_dropped(spark):
+    from ledgerlake.schemas import RAW_SCHEMAS
+    ts = dt.datetime(2000, 1, 1)
+    rows = [("C1", "a b", None, "M", "x", "1", "a@b", ts),
+            ("C2", "a b", dt.date(1970, 1, 1), "F", "x", "1", None, ts),
+            ("C3", "a b", dt.date(1970, 1, 1), "O", "x", "1", "c@d", ts)]
+    out = silver.transform_customers(spark.createDataFrame(rows, RAW_SCHEMAS["customers"]), AS_OF)
+    assert [(r.customer_id, r.gender, r.age) for r in out.collect()] == [("C3", "Other", 31.0)]
+
+
+def test_null_merchant_keeps_its_own_category_group(spark):
+    from ledgerlake.plans import facts
+    t = spark.createDataFrame(
+        [("T1", "A1", None, Decimal("5.00"), dt.date(2000, 1, 3), True),
+         ("T2", "A1", "M1", Decimal("7.00"), dt.date(2000, 1, 4), True)],
+        "txn_id string, account_id string, merchant_id string, amount decimal(10,2), "
+        "txn_date date, is_debit boolean")
+    a = spark.createDataFrame([("A1", "C1", Decimal("100.00"))],
+                              "account_id string, customer_id string, balance decimal(12,2)")
+    c = spark.createDataFrame([("C1", 40.0)], "customer_id string, age double")
+    m = spark.createDataFrame([("M1", "Food")], "merchant_id string, category string")
+    fact = facts.transactions_enhanced(facts.joined_transactions(t, a, c, m), with_load_ts=False)
+    got = {r.category: (float(r.total_spend), float(r.max_running_spend)) for r in fact.collect()}
+    assert got == {None: (5.0, 5.0), "Food": (7.0, 12.0)}
