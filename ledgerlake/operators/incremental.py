@@ -32,6 +32,10 @@ from ledgerlake.sources.tables import (DEFAULT_FORMAT, path_exists, read_raw_csv
                                        write_raw_csv, write_table)
 
 
+# Fixed value: the directory name Spark gives a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass
 class LoadResult:
     path: str
@@ -111,7 +115,7 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
     empty = staged.limit(0).drop(*pcols)
     for r in touched:
         if tuple(r[c] for c in pcols) not in kept:
-            sub = "/".join(f"{c}={r[c]}" for c in pcols)
+            sub = "/".join(f"{c}={NULL_PARTITION if r[c] is None else r[c]}" for c in pcols)
             empty.write.format(fmt).mode("overwrite").save(f"{target_path}/{sub}")
     return LoadResult(target_path, obs.get["rows"], False, mark, [tuple(r) for r in touched])
 
