@@ -112,12 +112,19 @@ def lag_by(df: DataFrame, partition_cols: Sequence[str], order: Sequence,
     same.  ``order`` must break all ties.
     """
     pos = global_position(df, [*partition_cols, *order], "_pos")
-    prev = pos.select((F.col("_pos") + 1).alias("_pos"),
+    return lag_by_position(pos, partition_cols, value_col, out_col).drop("_pos")
+
+
+def lag_by_position(pos: DataFrame, partition_cols: Sequence[str], value_col: str,
+                    out_col: str, pos_col: str = "_pos") -> DataFrame:
+    """Previous row's ``value_col`` within the same partition key, for rows already
+    numbered by ``global_position`` over (partition_cols, order); keeps ``pos_col``."""
+    prev = pos.select((F.col(pos_col) + 1).alias(pos_col),
                       *[F.col(k).alias(f"_p_{k}") for k in partition_cols],
                       F.col(value_col).alias("_prev"))
     same = F.lit(True)
     for k in partition_cols:
         same = same & F.col(k).eqNullSafe(F.col(f"_p_{k}"))
-    return (pos.join(prev, "_pos", "left")
+    return (pos.join(prev, pos_col, "left")
                .withColumn(out_col, F.when(same, F.col("_prev")))
-               .drop("_pos", "_prev", *[f"_p_{k}" for k in partition_cols]))
+               .drop("_prev", *[f"_p_{k}" for k in partition_cols]))
