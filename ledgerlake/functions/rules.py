@@ -8,6 +8,23 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# These must equal the reference's for the same results.
+DAYS_PER_YEAR = 365.25                     # age = days / 365.25, rounded half up
+MIN_CUSTOMER_AGE = 18                      # customers younger than this are rejected
+EMAIL_PATTERN = "@"                        # an email must contain this
+NAME_DROP_PATTERN = r"[^a-zA-Z\s]"         # removed from the initcapped name
+GENDER_OTHER_CODE, GENDER_OTHER_LABEL = "O", "Other"
+ACCOUNT_CLOSED_STATUS, ACCOUNT_CLOSED_LABEL = "closed", "inactive"
+TXN_OK_STATUS = "success"                  # only these transactions reach silver
+TXN_DEBIT_TYPE = "debit"                   # debits are spend
+AGE_GROUPS = [(30, "Young"), (60, "Middle")]                     # below bound -> label
+AGE_GROUP_ELSE = "Senior"                                         # includes NULL age
+BALANCE_BUCKETS = [(0, "Negative"), (10000, "Low"), (50000, "Medium")]
+BALANCE_BUCKET_ELSE = "High"
+TOP_MERCHANT_RANKS = 5                     # dense ranks of names kept per category
+SPEND_PERCENTILE = 0.95
+STREAM_WATERMARK = "10 minutes"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -29,34 +46,41 @@ def as_of_timestamp(as_of) -> Column:
 
 def age_years(dob, as_of) -> Column:
     """Age in whole years: days / 365.25 rounded half up (not floored)."""
-    return F.round(F.datediff(as_of_date(as_of), _col(dob)) / F.lit(365.25), 0)
+    return F.round(F.datediff(as_of_date(as_of), _col(dob)) / F.lit(DAYS_PER_YEAR), 0)
 
 
 def name_clean(name) -> Column:
     """initcap, then keep only ASCII letters and whitespace."""
-    return F.regexp_replace(F.initcap(_col(name)), r"[^a-zA-Z\s]", "")
+    return F.regexp_replace(F.initcap(_col(name)), NAME_DROP_PATTERN, "")
 
 
 def gender_label(gender) -> Column:
     g = _col(gender)
-    return F.when(g == "O", F.lit("Other")).otherwise(g)
+    return F.when(g == GENDER_OTHER_CODE, F.lit(GENDER_OTHER_LABEL)).otherwise(g)
 
 
 def account_status(status) -> Column:
     s = _col(status)
-    return F.when(s == "closed", F.lit("inactive")).otherwise(s)
+    return F.when(s == ACCOUNT_CLOSED_STATUS, F.lit(ACCOUNT_CLOSED_LABEL)).otherwise(s)
+
+
+def _bands(c: Column, bands, otherwise: str) -> Column:
+    """First label whose upper bound the value is below; ``otherwise`` for the rest."""
+    out = None
+    for bound, label in bands:
+        out = (F.when(c < bound, label) if out is None else out.when(c < bound, label))
+    return out.otherwise(otherwise)
 
 
 def age_group(age) -> Column:
     """<30 Young, <60 Middle, everything else (NULL included) Senior."""
     a = _col(age)
-    return F.when(a < 30, "Young").when(a < 60, "Middle").otherwise("Senior")
+    return _bands(_col(age), AGE_GROUPS, AGE_GROUP_ELSE)
 
 
 def balance_bucket(balance) -> Column:
     b = _col(balance)
-    return (F.when(b < 0, "Negative").when(b < 10000, "Low")
-            .when(b < 50000, "Medium").otherwise("High"))
+    return _bands(b, BALANCE_BUCKETS, BALANCE_BUCKET_ELSE)
 
 
 def spend_amount(is_debit, amount) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import rules
 from ledgerlake.operators.windows import row_number_by, with_running_total
 
-TOP_MERCHANT_RANKS = 5
+TOP_MERCHANT_RANKS = rules.TOP_MERCHANT_RANKS
 
 
 def customers_with_group(customers: DataFrame) -> DataFrame:

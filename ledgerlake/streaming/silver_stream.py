@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.rules import STREAM_WATERMARK
 from ledgerlake.plans.silver import SILVER_COLUMNS, transactions_typed
 from ledgerlake.schemas import RAW_SCHEMAS
 
@@ -34,7 +35,7 @@ def raw_transaction_stream(spark: SparkSession, source_dir: str, fmt: str = "par
 
 
 def silver_transaction_stream(raw: DataFrame, as_of=None,
-                              watermark: str = "10 minutes") -> DataFrame:
+                              watermark: str = STREAM_WATERMARK) -> DataFrame:
     """T-1/T-2: event time as TIMESTAMP, watermark, validation, key dedup."""
     typed = (raw.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
                 .withWatermark("timestamp", watermark))
@@ -45,7 +46,7 @@ def silver_transaction_stream(raw: DataFrame, as_of=None,
 
 def run_silver_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                       checkpoint_dir: str, *, as_of=None, fmt: str = "parquet",
-                      sink_format: str = "parquet", watermark: str = "10 minutes",
+                      sink_format: str = "parquet", watermark: str = STREAM_WATERMARK,
                       max_files_per_trigger: int | None = None, timeout_s: int = 3600):
     """T-3: run to the end of the available input and stop.  Returns the finished
     StreamingQuery (its ``recentProgress`` holds the per-batch row counts)."""
