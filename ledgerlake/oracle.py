@@ -357,3 +357,5 @@ d1 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_tra
        WHERE timestamp < {FIRST_BEFORE}),
 d2 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
        WHERE timestamp >= {SECOND_FROM})""")
+
+register("reload_merchants", "SELECT * FROM silver_merchants")

@@ -220,6 +220,19 @@ def q_bronze_drop(spark, sf_dir):
     return tables.read_table(spark, target)
 
 
+@query("reload_merchants")
+def q_reload_merchants(spark, sf_dir):
+    """A table without event time is delivered in full on every run; the upsert by
+    key makes the second full delivery change nothing."""
+    target = scratch_dir(spark, "silver-merchants")
+    for _ in range(2):
+        incremental.incremental_load(
+            spark, raw_table(spark, sf_dir, "merchants"), target, keys=["merchant_id"],
+            ts_col=None, order=silver.total_order_for("merchants"), late="upsert",
+            transform=lambda d: silver.to_silver("merchants", d, AS_OF))
+    return tables.read_table(spark, target).select(*silver.SILVER_COLUMNS["merchants"])
+
+
 @query("incremental_upsert_transactions")
 def q_incremental_upsert(spark, sf_dir):
     """S4-S10 with the upsert policy: two overlapping deliveries == one full load."""
