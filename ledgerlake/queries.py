@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators import incremental
+from ledgerlake.operators.joins import join_spreading_nulls
 from ledgerlake.operators.metrics import stage_counts
 from ledgerlake.operators.windows import materialize
 from ledgerlake.plans import dashboard, dims, facts, silver
@@ -261,10 +262,12 @@ def q_append_dedup(spark, sf_dir):
 def q_fk_orphans(spark, sf_dir):
     """Silver rows whose foreign key has no parent row (left anti joins)."""
     s = silver_all(spark, sf_dir)
-    acc = (s["accounts"].join(s["customers"].select("customer_id"), "customer_id", "left_anti")
+    acc = (join_spreading_nulls(s["accounts"], s["customers"].select("customer_id"),
+                                "customer_id", "account_id", "left_anti")
            .select(F.lit("accounts").alias("child_table"), F.col("account_id").alias("child_key"),
                    F.col("customer_id").alias("parent_key")))
-    txn = (s["transactions"].join(s["accounts"].select("account_id"), "account_id", "left_anti")
+    txn = (join_spreading_nulls(s["transactions"], s["accounts"].select("account_id"),
+                                "account_id", "txn_id", "left_anti")
            .select(F.lit("transactions").alias("child_table"), F.col("txn_id").alias("child_key"),
                    F.col("account_id").alias("parent_key")))
     return acc.unionByName(txn)
