@@ -23,7 +23,7 @@ def summarize(plan: str) -> dict:
                       for part in plan.split("== Final Plan =="))
     reused = plan.count("ReusedExchange")
     plan = re.sub(r"ReusedExchange \[[^\]]*\], [^\n]*", "ReusedExchange", plan)
-    hash_keys = re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", plan)
+    hash_keys = re.findall(r"Exchange hashpartitioning\((.*), \d+\), [A-Z_]+", plan)
     hash_keys = [re.sub(r"#\d+L?", "", k) for k in hash_keys]
     return {
         "hash shuffles": len(hash_keys),
