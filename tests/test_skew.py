@@ -64,3 +64,18 @@ def test_customer_spend_collapses_a_hot_account_before_joining(spark, sf_dir):
     join_at = plan.index("SortMergeJoin")
     below = plan[join_at:]
     assert "HashAggregate(keys=[account_id" in below     # per-account partial sums feed the join
+
+
+def test_hot_merchant_is_split_in_the_merchant_join(spark, sf_dir):
+    from ledgerlake.plans import facts
+
+    def run():
+        t, a, c = _hot_inputs(spark, sf_dir)
+        hot = F.when(F.abs(F.hash("txn_id")) % 3 == 1, F.lit("M1")).otherwise(F.col("merchant_id"))
+        t = t.withColumn("merchant_id", hot)
+        m = silver.to_silver("merchants", raw_table(spark, sf_dir, "merchants"), AS_OF)
+        joined = facts.joined_transactions(t, a, c, m)
+        assert len(joined.collect()) == t.count()
+        return joined._jdf.queryExecution().executedPlan().toString()
+    plan = _with_conf(spark, SKEW_CONF, run)
+    assert "SortMergeJoin(skew=true) [coalesce(merchant_id" in plan
