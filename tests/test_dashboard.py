@@ -42,3 +42,16 @@ def test_parse_spec_and_plain_table_name(spark, facts_df):
     assert sorted(tuple(r) for r in out["c"].collect()) == [("Senior", 5.0), ("Young", 7.0)]
     with pytest.raises(ValueError):
         dashboard.parse_spec('{"charts": [{"id": "c", "type": "radar", "sql": "SELECT 1"}]}')
+
+
+def test_row_cap_bounds_what_a_chart_returns(spark, facts_df):
+    out = dashboard.run_dashboard(spark, facts_df, row_cap=1)
+    assert all(df.count() <= 1 for df in out.values())
+
+
+def test_records_sample_fits_the_character_budget(spark, facts_df):
+    import json
+    recs = [r.record for r in dashboard.records_sample(
+        facts_df, ["transaction_month", "category"], max_chars=120).collect()]
+    assert recs and len("[" + ",".join(recs) + "]") <= 121
+    assert json.loads(recs[0])["total_spend"] == 10.0          # the first row in order
