@@ -32,3 +32,16 @@ def test_restart_adds_no_duplicates_and_late_rows_are_dropped(spark):
     spark.createDataFrame(second, RAW_SCHEMAS["transactions"]).write.mode("append").parquet(src)
     run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
     assert sorted(r.txn_id for r in spark.read.parquet(sink).collect()) == ["T1", "T2", "T4"]
+
+
+def test_csv_deliveries_and_rerun_without_new_files(spark):
+    from ledgerlake.sources.tables import write_raw_csv
+    src, sink, ckpt = (scratch_dir(spark, p) for p in ("c-src", "c-sink", "c-ckpt"))
+    t0 = dt.datetime(2000, 3, 1, 8, 0)
+    write_raw_csv(spark.createDataFrame(rows([("T1", t0), ("T1", t0), ("T2", t0)]),
+                                        RAW_SCHEMAS["transactions"]), src, "append")
+    run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF, fmt="csv")
+    run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF, fmt="csv")
+    got = spark.read.parquet(sink)
+    assert sorted(r.txn_id for r in got.collect()) == ["T1", "T2"]
+    assert {(r.txn_year, r.txn_month) for r in got.collect()} == {(2000, 3)}
