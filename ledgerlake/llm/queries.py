@@ -3,20 +3,69 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm.tables import read
 
+#: Key of the registered query; a real run passes its own secret.
+PII_KEY = "example-key"
+
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.llm.fingerprint import edited_neighbours
     return edited_neighbours(read(spark, sf_dir, "documents"))
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.licenses import scan
+    return scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.urls import judge, labelled_pages
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    judged = judge(pages, labelled_pages(pages, read(spark, sf_dir, "labels")))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.quality import classify
+    return classify(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")).drop("text")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.html import extract
+    return extract(read(spark, sf_dir, "pages"))
+
+
+#: Sources are grouped into four domains by their number; the mixture they shall have.
+DOMAINS = ("web", "news", "reference", "forum")
+WEIGHTS = {"domain": {"web": 4, "news": 3, "reference": 2, "forum": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
+
+
+def domain_of_source(source=F.col("source")):
+    number = F.pmod(F.coalesce(F.regexp_extract(source, "([0-9]{1,9})$", 1).try_cast("long"), F.lit(0)), F.lit(len(DOMAINS)))
+    return F.element_at(F.array(*[F.lit(d) for d in DOMAINS]), (number + 1).cast("int"))
+
+
+def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.mixing import mix
+    mixed = mix(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), domain_of_source(), weights=WEIGHTS)
+    return mixed.select("doc_id", "domain", "lang", "source", "tokens", "epoch")
+
+
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.pii import pseudonymise
+    return pseudonymise(read(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.llm.decontam import decontaminate
     return decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_document_fingerprints, op10_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_document_fingerprints, op2_license_scans, op3_url_filters, op5_quality_classifier, op6_html_extraction, op8_source_mixture,
+    op9_pii_pseudonyms, op10_benchmark_decontamination)}
 
 ORACLE: dict[str, str] = {}
