@@ -38,6 +38,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.jaccard import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
 #: Sources are grouped into four domains by their number; the mixture they shall have.
 DOMAINS = ("web", "news", "reference", "forum")
 WEIGHTS = {"domain": {"web": 4, "news": 3, "reference": 2, "forum": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
@@ -65,7 +70,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_license_scans, op3_url_filters, op5_quality_classifier, op6_html_extraction, op8_source_mixture,
+    op1_document_fingerprints, op2_license_scans, op3_url_filters, op5_quality_classifier, op6_html_extraction, op7_ngram_jaccard_join, op8_source_mixture,
     op9_pii_pseudonyms, op10_benchmark_decontamination)}
 
 ORACLE: dict[str, str] = {}
