@@ -1,26 +1,64 @@
 """The corpus pipeline: five stages over the table ``documents``, each calling one operator
-of ``ledgerlake.llm`` on everything its predecessor kept."""
+of ``ledgerlake.llm`` on everything its predecessor kept.
+
+All stages but the last return the columns of ``documents``.  Nulls, empty texts, repeated
+rows and extra columns are handled as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlake.llm.decontam import decontaminate
+from ledgerlake.llm.jaccard import deduplicated
+from ledgerlake.llm.mixing import mix
+from ledgerlake.llm.pii import pseudonymise
+from ledgerlake.llm.quality import classify
+from ledgerlake.llm.queries import PII_KEY, WEIGHTS, domain_of_source
 from ledgerlake.llm.tables import read, written
 
 
-def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents contaminated by benchmark items."""
-    from ledgerlake.llm.decontam import decontaminate
-    return decontaminate(docs, read(spark, sf_dir, "benchmark")).where("not contaminated").select(*docs.columns)
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return classify(docs, read(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    return deduplicated(docs).select(*docs.columns)
+
+
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by benchmark items go."""
+    return decontaminate(docs, read(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by pseudonyms; n_chars follows the text."""
+    hidden = pseudonymise(docs, PII_KEY)
+    if "n_chars" in docs.columns:
+        hidden = hidden.withColumn("n_chars", F.when(F.col("n_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return hidden.select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, in the wanted mixture: each chosen document once per
+    epoch, with its domain, tokens, epoch and place in the epoch's order."""
+    return mix(docs, domain_of_source(), weights=WEIGHTS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("benchmark decontamination", decontaminate_stage),
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("benchmark decontamination", keep_uncontaminated),
+    ("PII", hide_personal_data),
+    ("mixing sources to target weights", mix_sources),
 ]
 
-#: No stage can be written in SQL alone.
+#: No stage but the last can be written in SQL alone.
 ORACLE_SQL = None
 
 

@@ -28,6 +28,11 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.substrings import duplicate_passages
+    return duplicate_passages(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlake.llm.quality import classify
     return classify(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")).drop("text")
@@ -70,7 +75,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_document_fingerprints, op2_license_scans, op3_url_filters, op5_quality_classifier, op6_html_extraction, op7_ngram_jaccard_join, op8_source_mixture,
+    op1_document_fingerprints, op2_license_scans, op3_url_filters, op4_substring_dedup, op5_quality_classifier, op6_html_extraction, op7_ngram_jaccard_join, op8_source_mixture,
     op9_pii_pseudonyms, op10_benchmark_decontamination)}
 
 ORACLE: dict[str, str] = {}

@@ -134,7 +134,10 @@ def whole(hashes: np.ndarray) -> np.uint64:
 
 def of_texts(texts: pa.Array, kind: str) -> Words:
     """Words of an Arrow string column; a null has none."""
-    texts = texts.cast(pa.large_string()).fill_null("") if texts.null_count or not pa.types.is_large_string(texts.type) else texts
+    if pa.types.is_string(texts.type) or pa.types.is_binary(texts.type):
+        texts = texts.cast(pa.large_binary())
+    if texts.null_count:
+        texts = texts.fill_null("" if pa.types.is_large_string(texts.type) else b"")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if offsets else np.zeros(1, np.int64)
     lo, hi = int(offsets[0]), int(offsets[-1])
@@ -152,3 +155,28 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+
+
+def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Like ``grams`` at a cost that does not depend on the size (other hash values)."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.empty(0, U)
+    power, inverse = _powers(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, U)
+    np.cumsum(hashes * power[:len(hashes)], out=total[1:])
+    return mix((total[size:] - total[:n]) * inverse[:n])
+
+
+def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
+    """Smallest of each ``size`` consecutive values, by minima from both ends of blocks."""
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.empty(0, values.dtype)
+    blocks = -(-len(values) // size)
+    padded = np.full(blocks * size, np.iinfo(values.dtype).max, values.dtype)
+    padded[:len(values)] = values
+    grid = padded.reshape(blocks, size)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[size - 1:size - 1 + n])
