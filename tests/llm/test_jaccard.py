@@ -1,0 +1,82 @@
+from collections import Counter, defaultdict
+
+import numpy as np
+
+from ledgerlake.llm.graph import components
+from ledgerlake.llm import jaccard
+from ledgerlake.llm.tables import LAST_ID
+from tests.llm.cases import docs, empty, words  # noqa: F401
+
+
+def brute(rows, threshold=0.8):
+    sets = []
+    for _, t in rows:
+        w = words(t)
+        sets.append(frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset([("text", t or "")]))
+    inv = defaultdict(list)
+    for k, s in enumerate(sets):
+        for g in s:
+            inv[g].append(k)
+    root, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, s in enumerate(sets):
+        for b, n in Counter(b for g in s for b in inv[g] if b > a).items():
+            if n / (len(s) + len(sets[b]) - n) >= threshold:
+                links[a] += 1
+                links[b] += 1
+                root[find(b)] = find(a)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), LAST_ID), LAST_ID if i is None else i)
+    return [(i, None if least[find(k)] == LAST_ID else least[find(k)], links[k]) for k, (i, _) in enumerate(rows)]
+
+
+def test_against_brute_force(spark, docs):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = jaccard.near_duplicates(docs.withColumnRenamed("lang", "class_id")).select("doc_id", "class_id", "n_links").collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted(brute(rows), key=str)
+
+
+def test_blocks_do_not_change_the_result(spark, monkeypatch):
+    base = [f"w{k}" for k in range(120)]
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in rng.integers(0, 120, int(rng.integers(0, 4))):
+            w[at] = f"new{i}-{at}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.near_duplicates(df, recall=0.99999).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows))
+
+
+def test_one_of_each_class_stays(spark, docs):
+    kept = jaccard.deduplicated(docs)
+    assert kept.columns == docs.columns
+    classes = {(r["doc_id"], r["_key"]) for r in jaccard.near_duplicates(docs).where("first").collect()}
+    ids = Counter(r["doc_id"] for r in kept.collect())
+    assert ids[1] == 1 and ids[2] == 0 and ids[3] == 0 and ids[16] == 2 and sum(ids.values()) == len(classes)
+
+
+def test_bands_reach_the_recall():
+    for threshold in (0.5, 0.8, 0.9):
+        bands, rows = jaccard.bands_and_rows(threshold, 0.999, 60)
+        assert 1 - (1 - threshold ** rows) ** bands >= 0.999
+
+
+def test_components_of_long_chains_and_stars(spark):
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (300, 200)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert all(got[k] == 0 for k in range(41)) and all(got[100 + k] == 100 for k in range(30)) and got[300] == got[200] == 200
+
+
+def test_empty_table(spark):
+    assert jaccard.near_duplicates(empty(spark)).count() == 0
+    assert jaccard.deduplicated(empty(spark)).count() == 0

@@ -1,0 +1,46 @@
+import hashlib
+
+from ledgerlake.llm.substrings import duplicate_passages
+from ledgerlake.llm.tables import LAST_ID
+from tests.llm.cases import SPACED, docs, empty, words  # noqa: F401
+
+
+def brute(rows, n=50):
+    first = {}
+    split = [(LAST_ID if i is None else i, i, words(t, SPACED)) for i, t in rows]
+    for o, _, w in split:
+        for p in range(len(w) - n + 1):
+            key = tuple(w[p:p + n])
+            first[key] = min(first.get(key, o), o)
+    for o, i, w in split:
+        gone = [False] * len(w)
+        for p in range(len(w) - n + 1):
+            if first[tuple(w[p:p + n])] < o:
+                gone[p:p + n] = [True] * n
+        yield i, len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()
+
+
+def test_against_brute_force(spark, docs):
+    expected = sorted(brute([(r["doc_id"], r["text"]) for r in docs.collect()]), key=str)
+    got = duplicate_passages(docs.withColumnRenamed("lang", "n_removed")).drop("factors")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected
+    assert sum(1 for r in expected if 0 < r[2] < r[1]) >= 5 and any(r[2] == r[1] > 0 for r in expected)
+
+
+def test_factors_name_their_sources(spark):
+    passage = [f"p{k}" for k in range(60)]
+    more = [f"q{k}" for k in range(55)]
+    rows = [(1, " ".join(["x", *passage])), (2, " ".join([*more, "y"])), (3, " ".join([*passage, *more, "z"]))]
+    got = {r["doc_id"]: r for r in duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(f) for f in got[3]["factors"]] == [(0, 60, 1, 1), (60, 55, 2, 0)]
+    assert got[3]["n_removed"] == 115 and got[1]["n_removed"] == 0
+
+
+def test_a_passage_over_a_factor_boundary_is_found(spark):
+    a, b = [f"a{k}" for k in range(80)], [f"b{k}" for k in range(80)]
+    rows = [(1, " ".join(a)), (2, " ".join([*a[40:], *b[:40]])), (3, " ".join([*a, *b[:45]]))]
+    assert sorted((r["doc_id"], r["n_removed"]) for r in duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [(1, 0), (2, 0), (3, 120)]
+
+
+def test_empty_table(spark):
+    assert duplicate_passages(empty(spark)).count() == 0
