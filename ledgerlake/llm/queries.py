@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.tables import read
@@ -53,8 +53,8 @@ DOMAINS = ("web", "news", "reference", "forum")
 WEIGHTS = {"domain": {"web": 4, "news": 3, "reference": 2, "forum": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
 
 
-def domain_of_source(source=F.col("source")):
-    number = F.pmod(F.coalesce(F.regexp_extract(source, "([0-9]{1,9})$", 1).try_cast("long"), F.lit(0)), F.lit(len(DOMAINS)))
+def domain_of_source(source: str = "source") -> Column:
+    number = F.pmod(F.coalesce(F.regexp_extract(F.col(source), "([0-9]{1,9})$", 1).try_cast("long"), F.lit(0)), F.lit(len(DOMAINS)))
     return F.element_at(F.array(*[F.lit(d) for d in DOMAINS]), (number + 1).cast("int"))
 
 

@@ -1,0 +1,60 @@
+import pytest
+
+from ledgerlake.llm import licenses
+from tests.llm.cases import docs, empty, words  # noqa: F401
+
+
+def brute(text):
+    w = words(text)
+    starts, labels = [], set()
+    for phrase, label in (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")):
+        p = phrase.split()
+        at = [k for k in range(len(w) - len(p) + 1) if w[k:k + len(p)] == p]
+        starts += at
+        labels |= {label} if at else set()
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_base_columns_against_brute_force(spark, docs):
+    extra = [(i, t) for i, t in enumerate([
+        "CC BY", "cc-by-sa 4.0 CC\nBY cc by cc by", "GNU Lesser General  Public, License.", "ALL RIGHTS RESERVED all rights reserved all rights", "general public licenses", "éall rights reserved",
+        "all rights reserved" * 2, "cc", "", None, "ＣＣ by", "the general public license all rights reserved cc by"])]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).selectExpr("doc_id", "text", "'x' AS labels")
+    got = licenses.scan(df).select("text", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score").collect()
+    for r in got:
+        assert tuple(r)[1:6] == brute(r["text"])
+        assert set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+        assert r["labels"].split(",") == sorted(set(r["labels"].split(",")))
+    assert sum(r["n_base"] > 0 for r in got) > 8
+
+
+@pytest.mark.parametrize("expression, value, names", [
+    ("MIT", 0.95, {"mit"}),
+    ("MIT OR GPL-2.0-only", 0.95, {"mit", "gpl-2.0-only"}),
+    ("MIT AND GPL-2.0-only", 0.4, {"mit", "gpl-2.0-only"}),
+    ("(MIT OR Proprietary) AND Apache-2.0", 0.9, {"mit", "proprietary", "apache-2.0"}),
+    ("MIT OR Proprietary AND Apache-2.0", 0.95, {"mit", "proprietary", "apache-2.0"}),
+    ("GPL-2.0-or-later WITH Classpath-exception-2.0 OR Proprietary", 0.5, {"gpl-2.0-or-later", "gpl-2.0-or-later-with-classpath-exception-2.0", "proprietary"}),
+    ("LicenseRef-Own", 0.5, {"licenseref-own"}),
+    ("MIT */ // more words", 0.95, {"mit"}),
+])
+def test_expressions(expression, value, names):
+    got = licenses.evaluate(licenses.postfix(expression))
+    assert got[0] == pytest.approx(value) and got[1] == names
+
+
+@pytest.mark.parametrize("expression", ["", "AND MIT", "(MIT", "MIT OR", "()", "OR", "(", "MIT AND (", ") MIT"])
+def test_broken_expressions_name_nothing(expression):
+    assert licenses.postfix(expression) is None
+
+
+def test_tags_and_notices(spark):
+    rows = [(1, "// SPDX-License-Identifier: MIT OR Apache-2.0\nint x;\n# spdx-license-identifier: CC-BY-4.0"), (2, "Permission is hereby granted, free of charge, to any person obtaining a copy of"),
+            (3, "SPDX-License-Identifier:"), (4, "All rights reserved. SPDX-License-Identifier: MIT")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["labels"] == "cc-by,spdx:apache-2.0,spdx:cc-by-4.0,spdx:mit" and got[1]["score"] == pytest.approx(0.85)
+    assert got[2]["labels"] == "mit" and got[3]["labels"] == "" and got[4]["score"] == pytest.approx(0.1)
+
+
+def test_empty_table(spark):
+    assert licenses.scan(empty(spark)).count() == 0

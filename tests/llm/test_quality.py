@@ -1,0 +1,44 @@
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import quality
+from tests.llm.cases import docs, empty  # noqa: F401
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.classify(docs.select("doc_id", "text").withColumn("score", F.lit("clash")), labels)
+    rows = got.join(labels, "doc_id").collect()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+    held = [r for r in rows if r["held_out"]]
+    good = [r["predicted"] for r in held if r["quality"] == 1]
+    bad = [r["predicted"] for r in held if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.4
+
+
+def test_held_out_labels_are_never_learned(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    turned = labels.withColumn("quality", F.when(quality.fold() == quality.HELD, 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.classify(docs.select("doc_id", "text"), x).agg(F.sum("score"), F.sum("predicted")).first() for x in (labels, turned))
+    assert a == b
+
+
+def test_edge_cases(spark, docs):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (None, 1), (5, None), (999, 0)], "doc_id long, quality int")
+    rows = quality.classify(docs.select("doc_id", "text"), labels).collect()
+    assert len(rows) == docs.count() and all(r["score"] is not None and r["held_out"] is not None for r in rows)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r["score"] for r in quality.classify(docs.limit(3), none).collect()} == {0.5}
+    one = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert {r["score"] for r in quality.classify(docs, one).collect()} == {1.0}
+    assert quality.classify(empty(spark), labels).count() == 0
+
+
+def test_a_constant_score_without_one_class():
+    assert quality.train([("good text", 1)], {1: 5}).scores([b"x"]) == pytest.approx([1.0])
