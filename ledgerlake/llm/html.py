@@ -43,6 +43,7 @@ ADDED = ("text", "n_chars")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+UNSEEN = frozenset("script style template noscript".split())
 SKIPPED = frozenset("script style noscript template head title nav footer aside form button select textarea input iframe object embed svg canvas dialog menu xmp noembed noframes".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 SKIPPED_CLASS = re.compile(
@@ -53,7 +54,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           **{t: {"p"} for t in "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()}}
 #: ... but not beyond these.
 SCOPES = frozenset("table ul ol dl div article section main body html td th aside nav footer header form blockquote".split())
-_PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s>/]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
+_PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s<>/]*)[^<>]*(?:>|(?=<)|\Z)|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.IGNORECASE)
 
 
@@ -134,6 +135,8 @@ def blocks(node: Node, inside: bool = False) -> list[tuple[Node, bool, str]]:
     work: list = [(node, node, inside)]
     while work:
         x, within, kept = work.pop()
+        if isinstance(x, Node) and x.tag in UNSEEN:
+            continue  # takes no room, so it ends no block either
         if x is None or isinstance(x, Node) and x.tag not in INLINE:
             end(owner, held)
             owner, held = within, kept

@@ -77,12 +77,13 @@ def _level(groups: DataFrame, key: str, parents: DataFrame, parent_key: str) ->
 
 
 def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Posterior mean and lower bound of every host of ``hosts`` (a column host).
+    """Posterior mean and lower bound of every host of ``hosts`` (a column host) or with
+    an outcome.
 
     ``outcomes``: host and good (0 or 1, nulls ignored).
     """
     sums = outcomes.where("good IN (0, 1)").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
-    per_host = hosts.select("host").join(sums, "host", "left").select(
+    per_host = hosts.select("host").union(sums.select("host")).distinct().join(sums, "host", "left").select(
         "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
         F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("good", F.lit(0)).alias("good"))
     per_host = written(per_host, "host-outcomes")
