@@ -33,6 +33,9 @@ from ledgerlake.llm.tables import LAST_ID, order_id, row_key, written
 THRESHOLD, SHINGLE, RECALL = 0.8, 5, 0.999
 #: A block has about so many documents and shingles at most; two of them meet in a task.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
+#: ... and a cluster is cut into up to SPREAD blocks of SMALL_BLOCK documents, so that its
+#: work is shared by many tasks; a document is sent once for each block of its cluster.
+SMALL_BLOCK, SPREAD = 128, 12
 _COLUMNS = 4096  # shingles compared at a time
 U = W.U
 
@@ -174,7 +177,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
     members = clusters.join(reps.select("node", "id", "key", "n", "many"), "node")
     members = written(members, "members")
-    cut = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.least(F.ceil(F.count(F.lit(1)) / SMALL_BLOCK), F.lit(SPREAD))).cast("int").alias("blocks"))
     placed = members.join(written(cut, "blocks"), "cluster").select("cluster", "node", "id", "key", "many", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     full = placed.join(plain, ["id", "key"]).select("cluster", "node", "many", "blocks", "block", "text")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
