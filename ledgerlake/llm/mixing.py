@@ -12,9 +12,9 @@ length) and taken until the leaf's budget is reached: the longest prefix whose t
 do not exceed it, whole epochs first.
 
 Everything is DataFrame expressions.  A leaf may hold a third of all rows, so running
-sums are not taken over its rows: rows are summed per leaf, epoch and slice of the hash
-(``SLICES`` per leaf), the slice in which the budget ends is found among those sums, and
-only that slice's rows are ordered.
+sums are not taken over its rows: rows are summed per leaf and slice of the hash, the
+slice in which the budget ends is found among these sums and sliced again (``SLICES``),
+and only the last slice's rows are ordered.
 
 Tokens are the runs of characters other than ASCII white space.  Null texts and texts without tokens
 have zero tokens and are never chosen; null keys form leaves of their own; rows that
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.tables import written
 
-#: Hexadecimal digits of the hash that name a slice: 16 ** 3 slices a leaf and epoch.
-SLICE_DIGITS = 3
+#: Hexadecimal digits of the hash that name a slice, level by level: 256 slices of a leaf,
+#: then 256 of the one in which its budget ends.
+SLICES = (2, 4)
 ADDED = ("domain", "tokens", "epoch", "place")
 
 
@@ -104,18 +105,20 @@ def mix(docs: DataFrame, domain: Column, budget: float | None = None, weights: d
     named, same = _same_leaf(leaves)
     place = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("n").cast("string")))
     ordered = count.join(named, same).where("rest > 0").select("domain", "lang", "source", "tokens", "rest", place.alias("place"))
-    ordered = ordered.withColumn("slice", F.substring("place", 1, SLICE_DIGITS))
     key = ["domain", "lang", "source"]
-    sums = ordered.groupBy(*key, "slice", "rest").agg(F.sum("tokens").alias("t"))
-    running = F.sum("t").over(Window.partitionBy(*key).orderBy("slice"))
-    sums = sums.withColumn("upto", running).where(F.col("upto") > F.col("rest")).groupBy(*key).agg(F.min(F.struct("slice", (F.col("upto") - F.col("t")).alias("before"))).alias("c"))
-    last = sums.select(*key, F.col("c.slice").alias("cut_slice"), F.col("c.before").alias("before"))
-    named_cut, same_cut = _same_leaf(last)
-    inside = ordered.join(named_cut, same_cut & (F.col("slice") == F.col("cut_slice"))).withColumn(
-        "upto", F.col("before") + F.sum("tokens").over(Window.partitionBy(*key).orderBy("place")))  # equal places count together
+    # The slice in which the budget ends, found level by level; ``before``: tokens ahead of it.
+    inside, before = ordered, F.lit(0).cast("long")
+    for digits in SLICES:
+        sums = inside.groupBy(*key, "rest", before.alias("ahead"), F.substring("place", 1, digits).alias("slice")).agg(F.sum("tokens").alias("t"))
+        sums = sums.withColumn("upto", F.col("ahead") + F.sum("t").over(Window.partitionBy(*key).orderBy("slice"))).where("upto > rest")
+        last = written(sums.groupBy(*key).agg(F.min(F.struct("slice", (F.col("upto") - F.col("t")).alias("before"))).alias("c")).select(*key, "c.slice", "c.before"), "mix-slices")
+        named_cut, same_cut = _same_leaf(last)
+        inside = ordered.join(named_cut, same_cut & F.col("place").startswith(F.col("slice"))).select(*ordered.columns, "before")
+        before = F.col("before")
+    inside = inside.withColumn("upto", F.col("before") + F.sum("tokens").over(Window.partitionBy(*key).orderBy("place")))  # equal places count together
     cut = inside.where(F.col("upto") <= F.col("rest")).groupBy(*key).agg(F.max("place").alias("cut_place"))
     # Without a row of the slice that fits, the prefix ends where the slice begins.
-    ends = last.join(cut.withColumnsRenamed({"domain": "_d", "lang": "_l", "source": "_s"}), same, "left").select(*key, F.coalesce("cut_place", "cut_slice").alias("end"))
+    ends = last.join(cut.withColumnsRenamed({"domain": "_d", "lang": "_l", "source": "_s"}), same, "left").select(*key, F.coalesce("cut_place", "slice").alias("end"))
     named_end, same_end = _same_leaf(ends)
     plan = written(leaves.join(named_end, same_end, "left").select(*key, "whole", "rest", "end"), "mix-plan")
     named_plan, same_plan = _same_leaf(plan)
