@@ -74,7 +74,6 @@ def _bands(c: Column, bands, otherwise: str) -> Column:
 
 def age_group(age) -> Column:
     """<30 Young, <60 Middle, everything else (NULL included) Senior."""
-    a = _col(age)
     return _bands(_col(age), AGE_GROUPS, AGE_GROUP_ELSE)
 
 

@@ -1,39 +1,40 @@
 """Incremental loads into a table directory.
 
-Policies for rows that arrive late (event time at or below what the target holds):
-
-* ``late="drop"`` — the reference's coded behaviour: keep only rows with
-  ``ts > max(target.ts)`` (a NULL or missing mark means a full load) and append them.
-* ``late="upsert"`` (default) — no time filter; the newest version of every key wins
-  (the table's survivor order), so an older late version never replaces a newer one.
-  Only the partitions that receive rows, or that hold an older version of an incoming
-  key, are rewritten (dynamic partition overwrite); a key that moves to another
-  partition is removed from its old one.
-* Tables without an event-time column are upserted by key.
-* Empty input writes nothing.
-
-Limits: without a transactional table format the rewrite of a partition is not atomic
-for concurrent readers; use ``fmt="delta"`` with MERGE where that matters.
+``late`` says which delivered rows are read:
+
+* ``"upsert"`` (default): all of them;
+* ``"drop"``: only rows whose event time is after the target's high-water mark; the
+  others are left out and counted (``LoadResult.late_rows``).
+
+What is read is upserted by key: the newest version of every key wins (the table's
+survivor order), so a target holds each key once, however the rows were split into
+deliveries.  ``write="append"`` adds the rows as they are, for a layer that keeps every
+delivered row.  A table without an event-time column has no late rows.
+
+Only partitions whose rows change are rewritten: those that receive rows and those
+that hold an older version of a delivered key are merged, compared with what is
+there, and overwritten where they differ.  A load that changes nothing writes nothing.
+If a load is interrupted, repeating it completes it.  Formats that bring their own
+MERGE and log are refused; use theirs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import append_new_keys, latest_per_key
 from ledgerlake.operators.metrics import observed
 from ledgerlake.operators.windows import materialize
 from ledgerlake.schemas import RAW_SCHEMAS
-from ledgerlake.sources.tables import (DEFAULT_FORMAT, path_exists, read_raw_csv, read_table,
-                                       write_raw_csv, write_table)
+from ledgerlake.sources.tables import (DEFAULT_FORMAT, delete_path, path_exists, read_raw_csv, read_table,
+                                       replace_directory, write_raw_csv, write_table)
 
-
-# Fixed value: the directory name Spark gives a NULL partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+FILE_FORMATS = ("parquet", "orc")
 
 
 @dataclass
@@ -43,6 +44,8 @@ class LoadResult:
     skipped: bool = False
     high_water_mark: object = None
     rewritten_partitions: list = field(default_factory=list)
+    late_rows: int = 0
+    rejected: dict = field(default_factory=dict)
 
 
 def high_water_mark(target: DataFrame, ts_col: str):
@@ -55,69 +58,99 @@ def newer_than(df: DataFrame, ts_col: str, mark) -> DataFrame:
     return df if mark is None else df.filter(F.col(ts_col) > F.lit(mark))
 
 
-def _partition_filter(values: list, cols: Sequence[str]):
-    cond = F.lit(False)
-    for row in values:
-        one = F.lit(True)
-        for c in cols:
-            one = one & F.col(c).eqNullSafe(F.lit(row[c]))
-        cond = cond | one
-    return cond
+def _partition_name(cols: Sequence[str]) -> Column:
+    """One text per partition.  A filter on it uses partition columns only, so it prunes
+    partitions, and takes any number of names as one list."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def _digests(df: DataFrame, columns: list[str], name: Column) -> DataFrame:
+    """Row count and combined hash of each partition."""
+    return df.groupBy(name.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("x"))
+
+
+def _changed(old: DataFrame, new: DataFrame, columns: list[str], name: Column) -> list:
+    """Partitions that differ, one row each: part, and whether the new rows have it."""
+    both = [d.select(*[F.col(c) if c in d.columns else F.lit(None).alias(c) for c in columns]) for d in (old, new)]
+    a, b = (_digests(d, columns, name) for d in both)
+    b = b.withColumnsRenamed({"part": "p2", "n": "n2", "x": "x2"})
+    differ = ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("x").eqNullSafe(F.col("x2")))
+    return a.join(b, F.col("part") == F.col("p2"), "full").where(differ).select(
+        F.coalesce("part", "p2").alias("part"), F.col("n2").isNotNull().alias("kept")).collect()
+
+
+def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequence[str], order: Sequence,
+           fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None) -> LoadResult:
+    """Merge ``rows`` into the target, newest version of every key first in ``order``."""
+    if fmt not in FILE_FORMATS:
+        raise ValueError(f"upserts rewrite files of {FILE_FORMATS}; {fmt!r} has its own MERGE")
+    rows = materialize(latest_per_key(rows, keys, order), "delivery")
+    pcols = list(partition_by or ())
+    if not path_exists(spark, target_path, fmt):
+        counted, obs = observed(rows, "load")
+        write_table(counted, target_path, fmt, "append", pcols)
+        return LoadResult(target_path, obs.get["rows"])
+
+    existing = read_table(spark, target_path, fmt, merge_schema=True)
+    # Columns new on either side are kept; the other side gets NULLs.
+    cols = existing.columns + [c for c in rows.columns if c not in existing.columns]
+    merge = lambda old: latest_per_key(old.unionByName(rows, allowMissingColumns=True).select(*cols), keys, order)
+    if not pcols:
+        staged = materialize(merge(existing), "upsert")
+        if not _changed(existing, staged, cols, F.lit("")):
+            return LoadResult(target_path, 0, True)
+        counted, obs = observed(staged, "load")
+        replace_directory(spark, counted, target_path, fmt)
+        return LoadResult(target_path, obs.get["rows"])
+
+    name = _partition_name(pcols)
+    # Which partitions hold a delivered key: reads the key and partition columns only; a
+    # delivery that is small when measured is broadcast, so the target is not shuffled.
+    holding = existing.select(*keys, *pcols).join(rows.select(*keys), list(keys), "left_semi")
+    touched = [r["part"] for r in rows.select(name.alias("part")).union(holding.select(name.alias("part"))).distinct().collect()]
+    old = existing.where(name.isin(touched))
+    staged = materialize(merge(old), "upsert")
+    changed = _changed(old, staged, cols, name)
+    kept = [r["part"] for r in changed if r["kept"]]
+    emptied = [r["part"] for r in changed if not r["kept"]]
+    written = 0
+    # Directories of partitions that no row stays in, as Spark lists them.
+    folders = [r["f"] for r in existing.where(name.isin(emptied)).select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("f")).distinct().collect()] if emptied else []
+    if kept:
+        counted, obs = observed(staged.where(name.isin(kept)), "load")
+        write_table(counted, target_path, fmt, "overwrite", pcols, dynamic_overwrite=True)
+        written = obs.get["rows"]
+    for folder in folders:
+        delete_path(spark, unquote(folder))
+    spark.catalog.refreshByPath(target_path)
+    return LoadResult(target_path, written, not changed, rewritten_partitions=kept + emptied)
 
 
 def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str, *,
                      keys: Sequence[str], ts_col: str | None, order: Sequence,
                      late: str = "upsert", transform: Callable[[DataFrame], DataFrame] | None = None,
-                     fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None) -> LoadResult:
+                     fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None,
+                     write: str = "upsert") -> LoadResult:
     """Load ``incoming`` (optionally transformed, e.g. to silver) into ``target_path``."""
-    if late not in ("drop", "upsert"):
-        raise ValueError(f"unknown late-row policy {late!r}")
-    exists = path_exists(spark, target_path, fmt)
-    mark = None
-    if late == "drop" and ts_col and exists:
+    if late not in ("drop", "upsert") or write not in ("upsert", "append"):
+        raise ValueError(f"unknown policy late={late!r}, write={write!r}")
+    mark, late_rows = None, 0
+    if late == "drop" and ts_col and path_exists(spark, target_path, fmt):
         mark = high_water_mark(read_table(spark, target_path, fmt), ts_col)
+        if mark is not None:
+            late_rows = incoming.where(~F.coalesce(F.col(ts_col) > F.lit(mark), F.lit(False))).count()
         incoming = newer_than(incoming, ts_col, mark)
     if incoming.isEmpty():                               # S8: nothing new, no write
-        return LoadResult(target_path, 0, True, mark)
+        return LoadResult(target_path, 0, True, mark, late_rows=late_rows)
     rows = transform(incoming) if transform else incoming
-
-    if not exists or late == "drop":
-        rows, obs = observed(rows, "load")
-        write_table(rows, target_path, fmt, "append", partition_by)
-        return LoadResult(target_path, obs.get["rows"], False, mark)
-
-    # The delivery is used several times below (touched partitions, key lookup,
-    # merge): stage it once instead of recomputing the transform for each use.
-    rows = materialize(rows, "delivery")
-    existing = read_table(spark, target_path, fmt, merge_schema=True)
-    # Columns new on either side are kept; the other side gets NULLs.
-    cols = existing.columns + [c for c in rows.columns if c not in existing.columns]
-    if not partition_by:
-        merged = latest_per_key(existing.unionByName(rows, allowMissingColumns=True)
-                                .select(*cols), keys, order)
-        staged = materialize(merged, "upsert")           # never overwrite a path being read
-        staged, obs = observed(staged, "load")
-        write_table(staged, target_path, fmt, "overwrite")
-        return LoadResult(target_path, obs.get["rows"], False, mark)
-
-    pcols = list(partition_by)
-    holding_keys = existing.join(rows.select(*keys).distinct(), list(keys), "left_semi")
-    # One row per touched partition (bounded by the partition count, e.g. months).
-    touched = (rows.select(*pcols).union(holding_keys.select(*pcols)).distinct().collect())
-    old = existing.filter(_partition_filter(touched, pcols))
-    merged = latest_per_key(old.unionByName(rows, allowMissingColumns=True).select(*cols),
-                            keys, order)
-    staged = materialize(merged, "upsert")
-    staged, obs = observed(staged, "load")
-    write_table(staged, target_path, fmt, "overwrite", pcols, dynamic_overwrite=True)
-    # A partition whose every row moved elsewhere got no rows: clear it explicitly.
-    kept = {tuple(r) for r in staged.select(*pcols).distinct().collect()}
-    empty = staged.limit(0).drop(*pcols)
-    for r in touched:
-        if tuple(r[c] for c in pcols) not in kept:
-            sub = "/".join(f"{c}={NULL_PARTITION if r[c] is None else r[c]}" for c in pcols)
-            empty.write.format(fmt).mode("overwrite").save(f"{target_path}/{sub}")
-    return LoadResult(target_path, obs.get["rows"], False, mark, [tuple(r) for r in touched])
+    if write == "append":
+        counted, obs = observed(rows, "load")
+        write_table(counted, target_path, fmt, "append", partition_by)
+        result = LoadResult(target_path, obs.get["rows"])
+    else:
+        result = upsert(spark, rows, target_path, keys=keys, order=order, fmt=fmt, partition_by=partition_by)
+    result.high_water_mark, result.late_rows = mark, late_rows
+    return result
 
 
 def append_new_rows(spark: SparkSession, incoming: DataFrame, target_path: str, *,

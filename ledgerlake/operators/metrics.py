@@ -1,5 +1,5 @@
-"""Load metrics collected by ``observe`` while the write runs, so counting
-never costs an extra scan of the data."""
+"""Load metrics.  Counts of a write are collected by ``observe`` while it runs;
+``load_counts`` grades a whole table in one scan."""
 
 from __future__ import annotations
 
@@ -13,11 +13,21 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def stage_counts(stages: dict[str, DataFrame], table: str) -> DataFrame:
-    """One row of counts for the named stages of one table (e.g. raw, valid, silver),
-    computed as aggregates joined on the table name — all distributed."""
-    out = None
-    for stage, df in stages.items():
-        one = df.agg(F.count(F.lit(1)).alias(f"{stage}_rows")).withColumn("table_name", F.lit(table))
-        out = one if out is None else out.join(one, "table_name")
-    return out
+def load_counts(graded: DataFrame, key: str, table: str) -> DataFrame:
+    """One row per table: raw rows, valid rows, rejected rows and silver rows (distinct
+    keys of the valid rows; a NULL key is one key), from one pass."""
+    ok = F.col("reject_reason").isNull()
+    return graded.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(ok).alias("valid_rows"),
+        F.count_if(~ok).alias("rejected_rows"),
+        (F.count_distinct(F.when(ok, F.col(key))) + F.max(F.when(ok & F.col(key).isNull(), 1).otherwise(0))).cast("bigint").alias("_keys"),
+    ).select(F.lit(table).alias("table_name"), "raw_rows", "valid_rows", "rejected_rows",
+             F.coalesce("_keys", F.lit(0)).alias("silver_rows"))
+
+
+def reject_counts(graded: DataFrame, table: str) -> DataFrame:
+    """Rejected rows per reason."""
+    return (graded.where("reject_reason IS NOT NULL").groupBy("reject_reason")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(table).alias("table_name"), "reject_reason", "rows"))

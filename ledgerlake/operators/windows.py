@@ -13,8 +13,9 @@ give the same results with work spread by data volume:
   spreads rows by value; within each partition the position is the partition's offset
   plus the row's index.  Offsets come from a table with one row per partition, the only
   broadcast, whose size is bounded by the partition count.
-* ``row_number_by`` / ``lag_by`` — segmented row numbers and previous values derived
-  from the global position through equi-joins on evenly spread keys.
+* ``row_number_by`` — segmented row numbers derived from the global position.
+* ``with_running_and_previous`` — running sum and previous value by way of one row per
+  (key, order value).
 """
 
 from __future__ import annotations
@@ -28,7 +29,14 @@ from ledgerlake.session import scratch_dir
 
 
 def _sort_cols(order: Sequence) -> list[Column]:
-    return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    """Columns as they are; names ascending, NULLs first; (name, ascending) pairs, NULLs
+    first if ascending, else last."""
+    out = []
+    for c in order:
+        if isinstance(c, tuple):
+            c = F.col(c[0]).asc_nulls_first() if c[1] else F.col(c[0]).desc_nulls_last()
+        out.append(F.col(c).asc_nulls_first() if isinstance(c, str) else c)
+    return out
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -97,34 +105,32 @@ def row_number_by(df: DataFrame, partition_cols: Sequence[str], order: Sequence,
     """``row_number() over (partition by partition_cols order by order)`` without
     gathering a partition key in one task.  ``order`` must break all ties."""
     pos = global_position(df, [*partition_cols, *order], "_pos")
-    starts = pos.groupBy(*partition_cols).agg(F.min("_pos").alias("_start"))
+    # Written, so its size is known when the join is planned: few keys are broadcast and
+    # the rows are not dealt out again; very many are joined by shuffles Spark can split.
+    starts = materialize(pos.groupBy(*partition_cols).agg(F.min("_pos").alias("_start")), "starts")
     return (join_null_safe(pos, starts, list(partition_cols), "inner")
             .withColumn(out_col, F.col("_pos") - F.col("_start") + 1)
             .drop("_pos", "_start"))
 
 
-def lag_by(df: DataFrame, partition_cols: Sequence[str], order: Sequence,
-           value_col: str, out_col: str) -> DataFrame:
-    """``lag(value_col, 1) over (partition by partition_cols order by order)``.
+def with_running_and_previous(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_col: str,
+                              value_col: str, running_col: str, previous_col: str) -> DataFrame:
+    """``df`` plus the RANGE-frame running sum of ``value_col`` and
+    ``lag(value_col) over (partition by keys order by order_col, tie_col)``.
 
-    Each row looks up the row one position earlier in the global order (an equi-join
-    on a unique, evenly spread key) and keeps its value when the partition key is the
-    same.  ``order`` must break all ties.
+    Rows are first reduced to one per (key, order value): its sum and its last value in
+    ``tie_col`` order.  A window over these gives the running sum and the last value
+    before; the lag among rows of one order value is a window dealt by key *and* order
+    value, like the join just before it.  So a key's rows are spread over its order
+    values (for dates: its days).  ``tie_col`` must not repeat within an order value.
     """
-    pos = global_position(df, [*partition_cols, *order], "_pos")
-    return lag_by_position(pos, partition_cols, value_col, out_col).drop("_pos")
-
-
-def lag_by_position(pos: DataFrame, partition_cols: Sequence[str], value_col: str,
-                    out_col: str, pos_col: str = "_pos") -> DataFrame:
-    """Previous row's ``value_col`` within the same partition key, for rows already
-    numbered by ``global_position`` over (partition_cols, order); keeps ``pos_col``."""
-    prev = pos.select((F.col(pos_col) + 1).alias(pos_col),
-                      *[F.col(k).alias(f"_p_{k}") for k in partition_cols],
-                      F.col(value_col).alias("_prev"))
-    same = F.lit(True)
-    for k in partition_cols:
-        same = same & F.col(k).eqNullSafe(F.col(f"_p_{k}"))
-    return (pos.join(prev, pos_col, "left")
-               .withColumn(out_col, F.when(same, F.col("_prev")))
-               .drop("_prev", *[f"_p_{k}" for k in partition_cols]))
+    last = F.max_by(F.struct(F.col(value_col).alias("v")), F.struct(F.col(tie_col).isNotNull().alias("k"), F.col(tie_col).alias("t")))
+    steps = df.groupBy(*partition_cols, order_col).agg(F.sum(value_col).alias("_sum"), last.alias("_last"))
+    w = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).asc_nulls_first())
+    single_level = df.select(F.sum(value_col)).schema.fields[0].dataType
+    running = F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    steps = steps.select(*partition_cols, order_col, running.cast(single_level).alias(running_col), F.lag("_last").over(w).alias("_before"))
+    rows = join_null_safe(df, steps, [*partition_cols, order_col], "left")
+    inner = Window.partitionBy(*partition_cols, order_col).orderBy(F.col(tie_col).asc_nulls_first())
+    previous = F.when(F.row_number().over(inner) == 1, F.col("_before.v")).otherwise(F.lag(value_col).over(inner))
+    return rows.withColumn(previous_col, previous).drop("_before")

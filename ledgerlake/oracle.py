@@ -83,10 +83,6 @@ silver_transactions AS (
   WHERE rn = 1)"""
 
 
-def with_silver(select_sql: str) -> str:
-    return f"WITH {RAW_CTES},\n{SILVER_CTES}\n{select_sql}"
-
-
 ORACLE: dict[str, str] = {}
 
 
@@ -181,9 +177,11 @@ WHERE merchant_rank_category <= 5"""
 register("top_merchants_by_category", TOP_MERCHANTS)
 
 register("dim_merchants", f"""
-SELECT category, country, count(merchant_id) AS merchant_count,
-       list_sort(list(merchant_name) FILTER (WHERE merchant_name IS NOT NULL)) AS top_merchants
-FROM ({TOP_MERCHANTS})
+SELECT category, country, CAST(sum(ids) AS BIGINT) AS merchant_count,
+       list(merchant_name ORDER BY merchant_name) FILTER (WHERE merchant_name IS NOT NULL) AS top_merchants,
+       list(n ORDER BY merchant_name) FILTER (WHERE merchant_name IS NOT NULL) AS top_merchant_counts
+FROM (SELECT category, country, merchant_name, count(merchant_id) AS ids, count(*) AS n
+      FROM ({TOP_MERCHANTS}) GROUP BY category, country, merchant_name)
 GROUP BY category, country""")
 
 RUNNING_BALANCE = """
@@ -213,7 +211,8 @@ SELECT txn_id, customer_id, merchant_id, txn_date, transaction_month, age_group,
        CAST(prev_txn_spend AS DOUBLE) AS prev_txn_spend,
        round(CASE WHEN prev_txn_spend IS NOT NULL AND prev_txn_spend <> 0
                   THEN (spend_amount - prev_txn_spend) / prev_txn_spend ELSE 0 END, 6)
-           AS spend_growth
+           AS spend_growth,
+       row_number() OVER (ORDER BY amount DESC NULLS LAST, txn_id ASC NULLS FIRST) AS amount_rank
 FROM enriched""")
 
 register_gold("amount_rank", """
@@ -275,10 +274,11 @@ FROM raw_transactions""")
 register("incremental_upsert_transactions", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
 
 register("incremental_drop_transactions", f"""
-SELECT {SILVER_TXN_OUT} FROM load1
-UNION ALL
-SELECT {SILVER_TXN_OUT} FROM load2""", f"""
-load1 AS ({silver_txn_where(f"timestamp < {FIRST_BEFORE}")}),
+SELECT {SILVER_TXN_OUT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {desc_all(TXN_ORDER)}) AS latest
+  FROM (SELECT * FROM load1 UNION ALL SELECT * FROM load2))
+WHERE latest = 1""", f"""
+load1 AS ({silver_txn_where(f"(timestamp < {FIRST_BEFORE} OR timestamp IS NULL)")}),
 load2 AS ({silver_txn_where(f"timestamp >= {SECOND_FROM} AND timestamp > (SELECT max(timestamp) FROM load1)")})""")
 
 RAW_TXN_COLS = ["account_id", "merchant_id", "amount", "currency", "txn_type", "status",
@@ -288,7 +288,7 @@ SELECT * FROM existing
 UNION ALL
 SELECT * FROM fresh""", f"""
 existing AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
-             WHERE timestamp < {FIRST_BEFORE}),
+             WHERE timestamp < {FIRST_BEFORE} OR timestamp IS NULL),
 incoming AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
              WHERE timestamp >= {SECOND_FROM}),
 fresh AS (
@@ -314,21 +314,31 @@ SELECT 'accounts', CAST(max(opened_date) AS TIMESTAMP) FROM silver_accounts
 UNION ALL
 SELECT 'transactions', max(timestamp) FROM silver_transactions""")
 
-register("load_metrics", f"""
-SELECT 'customers' AS table_name, (SELECT count(*) FROM raw_customers) AS raw_rows,
-       (SELECT count(*) FROM typed_customers WHERE age >= 18 AND regexp_matches(email, '@')) AS valid_rows,
-       (SELECT count(*) FROM silver_customers) AS silver_rows
-UNION ALL
-SELECT 'merchants', (SELECT count(*) FROM raw_merchants), (SELECT count(*) FROM typed_merchants),
-       (SELECT count(*) FROM silver_merchants)
-UNION ALL
-SELECT 'accounts', (SELECT count(*) FROM raw_accounts),
-       (SELECT count(*) FROM typed_accounts WHERE opened_date < {AS_OF_DATE} AND balance IS NOT NULL),
-       (SELECT count(*) FROM silver_accounts)
-UNION ALL
-SELECT 'transactions', (SELECT count(*) FROM raw_transactions),
-       (SELECT count(*) FROM typed_transactions WHERE status = 'success' AND timestamp < {AS_OF_TS}),
-       (SELECT count(*) FROM silver_transactions)""")
+# First rule that a raw row fails, per table (NULL: valid).
+REASONS = {
+    "customers": "CASE WHEN coalesce(age >= 18, false) = false THEN 'under_age' "
+                 "WHEN coalesce(regexp_matches(email, '@'), false) = false THEN 'bad_email' END",
+    "merchants": "CASE WHEN merchant_name IS NULL THEN 'no_name' END",
+    "accounts": f"CASE WHEN coalesce(opened_date < {AS_OF_DATE}, false) = false THEN 'not_opened_yet' "
+                "WHEN balance IS NULL THEN 'no_balance' END",
+    "transactions": "CASE WHEN coalesce(status = 'success', false) = false THEN 'not_successful' "
+                    f"WHEN coalesce(timestamp < {AS_OF_TS}, false) = false THEN 'in_the_future' END",
+}
+
+
+def graded(table: str) -> str:
+    source = "raw_merchants" if table == "merchants" else f"typed_{table}"
+    return f"(SELECT {REASONS[table]} AS reason FROM {source})"
+
+
+register("load_metrics", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS raw_rows, count(*) FILTER (WHERE reason IS NULL) AS valid_rows, "
+    f"count(*) FILTER (WHERE reason IS NOT NULL) AS rejected_rows, (SELECT count(*) FROM silver_{t}) AS silver_rows "
+    f"FROM {graded(t)}" for t in REASONS))
+
+register("load_rejects", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, reason AS reject_reason, count(*) AS rows FROM {graded(t)} "
+    "WHERE reason IS NOT NULL GROUP BY reason" for t in REASONS))
 
 register_gold("dashboard_filtered", """
 SELECT category, CAST(sum(total_spend) AS DOUBLE) AS spend
@@ -343,18 +353,32 @@ FROM monthly
 GROUP BY transaction_month
 HAVING CAST(transaction_month AS VARCHAR) = '1997-03-01'""")
 
-register("stream_silver_transactions", f"""
-SELECT {SILVER_TXN_OUT}
-FROM typed_transactions
-WHERE txn_id IN (SELECT txn_id FROM raw_transactions GROUP BY txn_id HAVING count(*) = 1)
-  AND status = 'success' AND timestamp < {AS_OF_TS}""")
+register("stream_silver_transactions", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
+
+register("job_silver_transactions", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
+
+register("job_bronze_transactions", f"""
+SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp), 0::BIGINT AS load_id FROM raw_transactions
+WHERE timestamp < {FIRST_BEFORE} OR timestamp IS NULL
+UNION ALL
+SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp), 1::BIGINT FROM raw_transactions WHERE timestamp >= {SECOND_FROM}""")
+
+ORACLE["gold_catalog_tables"] = ORACLE["fact_monthly"]
+
+register_gold("fact_report", """
+SELECT transaction_month, age_group, category, CAST(total_spend AS DOUBLE) AS total_spend, transaction_count
+FROM monthly ORDER BY transaction_month DESC NULLS LAST, age_group NULLS FIRST, category NULLS FIRST""")
+
+register_gold("dashboard_customers", f"""
+SELECT customer_id, total_spend FROM ({CUSTOMER_SPEND})
+ORDER BY total_spend DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10""")
 
 register("bronze_drop_transactions", """
 SELECT * FROM d1
 UNION ALL
 SELECT * FROM d2 WHERE timestamp > (SELECT max(timestamp) FROM d1)""", f"""
 d1 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
-       WHERE timestamp < {FIRST_BEFORE}),
+       WHERE timestamp < {FIRST_BEFORE} OR timestamp IS NULL),
 d2 AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp) FROM raw_transactions
        WHERE timestamp >= {SECOND_FROM})""")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import rules
-from ledgerlake.operators.windows import row_number_by, with_running_total
+from ledgerlake.operators.windows import join_null_safe, row_number_by, with_running_total
 
 TOP_MERCHANT_RANKS = rules.TOP_MERCHANT_RANKS
 
@@ -33,35 +33,44 @@ def customers_enhanced(customers: DataFrame, with_load_ts: bool = True) -> DataF
     return out.withColumn("load_ts", F.current_timestamp()) if with_load_ts else out
 
 
-def top_merchants_by_category(merchants: DataFrame, top: int = TOP_MERCHANT_RANKS) -> DataFrame:
-    """W2 + F8: merchants whose name is among the ``top`` names (dense_rank, name
-    descending, NULL names last) of their category.
+def _ranked_names(merchants: DataFrame, top: int) -> DataFrame:
+    """The ``top`` names of each category (names descending, NULL last) and their ranks.
 
-    ``dense_rank() <= k`` becomes a WindowGroupLimit, with a partial limit before the
-    shuffle, so a large category is cut down on the map side.
+    Names are made distinct first, so ranking sees a name once however many merchants
+    bear it, and ``row_number() <= top`` limits each category before the shuffle.
     """
     w = Window.partitionBy("category").orderBy(F.col("merchant_name").desc_nulls_last())
-    return (merchants.withColumn("merchant_rank_category", F.dense_rank().over(w))
-                     .filter(F.col("merchant_rank_category") <= top))
+    names = merchants.select("category", "merchant_name").distinct()
+    return (names.withColumn("merchant_rank_category", F.row_number().over(w))
+                 .filter(F.col("merchant_rank_category") <= top))
+
+
+def top_merchants_by_category(merchants: DataFrame, top: int = TOP_MERCHANT_RANKS) -> DataFrame:
+    """W2 + F8: merchants whose name is among the ``top`` names (dense_rank, name
+    descending, NULL names last) of their category.  The ranks are dealt anew before the
+    join, so Spark can split a name that very many merchants bear."""
+    ranks = _ranked_names(merchants, top).hint("rebalance")
+    return join_null_safe(merchants, ranks, ["category", "merchant_name"], "inner")
 
 
 def merchants_enhanced(merchants: DataFrame, top: int = TOP_MERCHANT_RANKS,
                        with_load_ts: bool = True) -> DataFrame:
-    """Per (category, country): merchant count and the sorted list of names of
-    the top-ranked merchants (duplicates kept, as collect_list does).
+    """Per (category, country): merchant count and the names of the top-ranked
+    merchants, each once, with how many merchants bear it in ``top_merchant_counts``.
 
-    Rows are first counted per name, so the list is assembled from at most ``top``
-    distinct names per group instead of collecting every row.
+    Rows are counted per name before anything else, so a group's lists have at most
+    ``top`` elements.
     """
-    ranked = top_merchants_by_category(merchants, top)
-    per_name = (ranked.groupBy("category", "country", "merchant_name")
-                      .agg(F.count("merchant_id").alias("_ids"), F.count(F.lit(1)).alias("_rows")))
-    names = F.when(F.col("merchant_name").isNotNull(),
-                   F.array_repeat("merchant_name", F.col("_rows").cast("int")))
+    per_name = (merchants.groupBy("category", "country", "merchant_name")
+                         .agg(F.count("merchant_id").alias("_ids"), F.count(F.lit(1)).alias("_rows")))
+    per_name = join_null_safe(per_name, _ranked_names(merchants, top), ["category", "merchant_name"], "inner")
+    named = F.col("merchant_name").isNotNull()
+    lists = F.sort_array(F.collect_list(F.when(named, F.struct("merchant_name", F.col("_rows").alias("n")))))
     out = (per_name.groupBy("category", "country")
-                   .agg(F.sum("_ids").alias("merchant_count"),
-                        F.sort_array(F.flatten(F.collect_list(names))).alias("top_merchants")))
-    out = out.withColumn("merchant_count", F.col("merchant_count").cast("bigint"))
+                   .agg(F.sum("_ids").cast("bigint").alias("merchant_count"), lists.alias("_lists"))
+                   .select("category", "country", "merchant_count",
+                           F.transform("_lists", lambda x: x["merchant_name"]).alias("top_merchants"),
+                           F.transform("_lists", lambda x: x["n"]).alias("top_merchant_counts")))
     return out.withColumn("load_ts", F.current_timestamp()) if with_load_ts else out
 
 

@@ -72,10 +72,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/ledgerlake/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.append(f"{base.rstrip('/')}/ledgerlake/{purpose}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this process has got from ``scratch_dir``.  DataFrames that
+    still read them cannot be used afterwards: call it when their results are written."""
+    from ledgerlake.sources.tables import delete_path
+    n = 0
+    while _SCRATCH:
+        n += bool(delete_path(spark, _SCRATCH.pop()))
+    return n
 
 
 def local_path(path: str) -> str:

@@ -89,6 +89,3 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return df
 
-
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: raw_table(spark, sf_dir, name) for name in RAW_SQL}

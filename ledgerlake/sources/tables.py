@@ -1,27 +1,35 @@
 """Table I/O: raw CSV scans, format-neutral reads and writes, catalog tables.
 
-The storage format is a parameter (``parquet`` by default; ``delta`` works when its
-package is on the classpath).  Paths are plain strings: object-store settings belong
-in the Spark configuration (``spark.hadoop.*``), not in code.
+Tables are directories of Parquet (or another Spark file format).  Paths are plain strings:
+object-store settings belong in the Spark configuration (``spark.hadoop.*``), not in code.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerlake.schemas import RAW_SCHEMAS
 
 DEFAULT_FORMAT = "parquet"
+CORRUPT_COLUMN = "_corrupt_record"
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Headered CSV with the table's declared schema (no inference pass).
-    Malformed fields become NULL and are rejected by the silver filters."""
-    return (spark.read.schema(RAW_SCHEMAS[table]).option("header", True)
-                 .option("mode", "PERMISSIVE").csv(path))
+def raw_schema(table: str, keep_unreadable: bool = False) -> T.StructType:
+    """The raw columns; with ``keep_unreadable`` also one for the text of a record that
+    has a field of the wrong type (such a field itself is NULL)."""
+    fields = list(RAW_SCHEMAS[table].fields)
+    return T.StructType(fields + ([T.StructField(CORRUPT_COLUMN, T.StringType())] if keep_unreadable else []))
+
+
+def read_raw_csv(spark: SparkSession, path: str, table: str, keep_unreadable: bool = False) -> DataFrame:
+    """Headered CSV with the table's declared schema (no inference pass)."""
+    return (spark.read.schema(raw_schema(table, keep_unreadable)).option("header", True)
+                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).csv(path))
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -39,12 +47,41 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
 
 
 def path_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """S3 for paths: a guarded read (schema resolution only, no job)."""
+    """S3 for paths: a guarded read (schema resolution only, no job).  Only a missing or
+    empty directory counts as absent; a table that is there but cannot be read raises."""
     try:
         spark.read.format(fmt).load(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a directory through the file system that Spark reads it with."""
+    p, fs = _file_system(spark, path)
+    return fs.delete(p, True)
+
+
+def replace_directory(spark: SparkSession, df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
+    """Write ``df`` beside ``path`` and then swap the two by renaming: the old table stays
+    until the new one is complete."""
+    token = uuid.uuid4().hex
+    fresh, gone = f"{path}.new-{token}", f"{path}.old-{token}"
+    df.write.format(fmt).save(fresh)
+    (p, fs), (new, _), (old, _) = (_file_system(spark, x) for x in (path, fresh, gone))
+    if fs.exists(p) and not fs.rename(p, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, p):
+        raise OSError(f"cannot move {fresh} to {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

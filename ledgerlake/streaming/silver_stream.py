@@ -1,26 +1,37 @@
 """Streaming raw transactions -> silver transactions.
 
-readStream (CSV or parquet files, declared schema) -> cast event time first ->
-``withWatermark`` -> the same typing/validation rules as the batch silver job ->
-``dropDuplicatesWithinWatermark(["txn_id"])`` -> partitioned sink with a checkpoint.
-``trigger(availableNow=True)`` processes what is there and stops, so a scheduled job
-resumes from its checkpoint: a rerun over the same files adds nothing.
-
-Within-watermark dedup keeps the *first* copy seen and only catches copies closer in
-event time than the watermark delay; the batch upsert (latest version per key) stays
-the backstop for copies farther apart.  Rows older than the watermark are late and
-dropped by the stateful dedup.
+readStream (CSV or parquet files, declared schema) -> event time as TIMESTAMP and
+``withWatermark`` -> the validity rules of the batch silver job -> drop of exact copies
+within the watermark -> upsert by key into the partitioned silver table, batch by batch,
+with a checkpoint.  ``trigger(availableNow=True)`` processes what is there and stops, so
+a scheduled job resumes from its checkpoint: a rerun over the same files adds nothing.
+
+A copy is a row equal in all columns; two versions of a key are not copies, the upsert
+keeps the newer one, in whatever order they arrive.  Rows older than the watermark are
+late: the stateful step drops them, and their number is in the result.  The state is kept
+by RocksDB, not in the executors' heap.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.rules import STREAM_WATERMARK
-from ledgerlake.plans.silver import SILVER_COLUMNS, transactions_typed
+from ledgerlake.operators.incremental import upsert
+from ledgerlake.operators.windows import materialize
+from ledgerlake.plans.silver import total_order_for, valid
 from ledgerlake.schemas import RAW_SCHEMAS
 
+#: Set while a query starts.  All progress reports are kept, to count late rows in them.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.numRecentProgressUpdates": "1000000",
+}
+
 PARTITION_COLS = ["txn_year", "txn_month"]
 
 
@@ -36,32 +47,49 @@ def raw_transaction_stream(spark: SparkSession, source_dir: str, fmt: str = "par
 
 def silver_transaction_stream(raw: DataFrame, as_of=None,
                               watermark: str = STREAM_WATERMARK) -> DataFrame:
-    """T-1/T-2: event time as TIMESTAMP, watermark, validation, key dedup."""
-    typed = (raw.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    """T-1/T-2: event time as TIMESTAMP, watermark, validation, drop of copies."""
+    timed = (raw.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
                 .withWatermark("timestamp", watermark))
-    return (transactions_typed(typed, as_of)
-            .dropDuplicatesWithinWatermark(["txn_id"])
-            .select(*SILVER_COLUMNS["transactions"]))
+    return valid("transactions", timed, as_of).dropDuplicatesWithinWatermark()
+
+
+@dataclass
+class StreamResult:
+    path: str
+    batches: int = 0
+    read_rows: int = 0
+    late_rows: int = 0
 
 
 def run_silver_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                       checkpoint_dir: str, *, as_of=None, fmt: str = "parquet",
-                      sink_format: str = "parquet", watermark: str = STREAM_WATERMARK,
-                      max_files_per_trigger: int | None = None, timeout_s: int = 3600):
-    """T-3: run to the end of the available input and stop.  Returns the finished
-    StreamingQuery (its ``recentProgress`` holds the per-batch row counts)."""
+                      watermark: str = STREAM_WATERMARK,
+                      max_files_per_trigger: int | None = None) -> StreamResult:
+    """T-3: run to the end of the available input and stop."""
     stream = silver_transaction_stream(
         raw_transaction_stream(spark, source_dir, fmt, max_files_per_trigger), as_of, watermark)
-    q = (stream.writeStream.format(sink_format)
-               .option("checkpointLocation", checkpoint_dir)
-               .partitionBy(*PARTITION_COLS)
-               .outputMode("append")
-               .trigger(availableNow=True)
-               .start(sink_dir))
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming load did not finish in time")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        # Written first: a batch of a stateful query can be read once only.
+        rows = materialize(batch, "stream-batch")
+        if not rows.isEmpty():
+            upsert(spark, rows, sink_dir, keys=["txn_id"], order=total_order_for("transactions"), partition_by=PARTITION_COLS)
+
+    before = {k: spark.conf.get(k, None) for k in STREAM_CONF}
+    for k, v in STREAM_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
+                   .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return q
+    out = StreamResult(sink_dir)
+    for p in q.recentProgress:
+        out.batches += 1
+        out.read_rows += p["numInputRows"]
+        out.late_rows += sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+    return out

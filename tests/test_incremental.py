@@ -37,6 +37,7 @@ def test_drop_skips_rows_at_the_mark_and_empty_loads(spark):
     assert r1.written_rows == 2
     r2 = load(spark, txn(spark, [("T3", d2, 3.0), ("T4", d1, 4.0)]), target, "drop")
     assert r2.skipped and r2.high_water_mark == d2          # equal to the mark: skipped
+    assert r2.late_rows == 2
     assert [t for t, *_ in snapshot(spark, target)] == ["T1", "T2"]
 
 
@@ -54,7 +55,7 @@ def test_upsert_removes_a_key_from_the_partition_it_left(spark):
     jan, mar = dt.datetime(2000, 1, 5), dt.datetime(2000, 3, 5)
     load(spark, txn(spark, [("T1", jan, 1.0)]), target, "upsert")
     res = load(spark, txn(spark, [("T1", mar, 2.0)]), target, "upsert")
-    assert (2000, 1) in res.rewritten_partitions
+    assert '{"txn_year":2000,"txn_month":1}' in res.rewritten_partitions
     assert snapshot(spark, target) == [("T1", mar, 2.0)]
 
 
@@ -63,7 +64,8 @@ def test_rerun_changes_nothing(spark):
     rows = [("T1", dt.datetime(2000, 1, 1), 1.0), ("T2", dt.datetime(2000, 5, 1), 2.0)]
     load(spark, txn(spark, rows), target, "upsert")
     before = snapshot(spark, target)
-    load(spark, txn(spark, rows), target, "upsert")
+    res = load(spark, txn(spark, rows), target, "upsert")
+    assert res.skipped and res.written_rows == 0 and not res.rewritten_partitions
     assert snapshot(spark, target) == before
 
 
@@ -78,3 +80,60 @@ def test_upsert_merges_a_new_column(spark):
                      transform=newer, partition_by=PART)
     got = {r.txn_id: r.fee for r in read_table(spark, target, merge_schema=True).collect()}
     assert got == {"T1": None, "T2": 0.5}
+
+
+def plain_load(spark, rows, target, late="upsert", part=None, ts="t"):
+    df = spark.createDataFrame(rows, "k string, p string, t int, v int")
+    return incremental_load(spark, df, target, keys=["k"], ts_col=ts, order=["t", "p", "v"], late=late, partition_by=part)
+
+
+def content(spark, target):
+    return sorted(tuple(r) for r in read_table(spark, target).select("k", "p", "t", "v").collect())
+
+
+def test_copies_in_the_first_delivery_are_merged(spark):
+    target = scratch_dir(spark, "t-first")
+    plain_load(spark, [("a", "x", 1, 1), ("a", "x", 2, 2)], target)
+    assert content(spark, target) == [("a", "x", 2, 2)]
+    res = plain_load(spark, [("b", "x", 1, 1)], target)          # unpartitioned: whole table replaced
+    assert res.written_rows == 2 and content(spark, target) == [("a", "x", 2, 2), ("b", "x", 1, 1)]
+
+
+def test_drop_keeps_keys_unique(spark):
+    target = scratch_dir(spark, "t-drop-keys")
+    plain_load(spark, [("a", "x", 1, 1), ("b", "x", 1, 1)], target, "drop")
+    res = plain_load(spark, [("a", "x", 5, 2), ("b", "x", 1, 9)], target, "drop")
+    assert res.late_rows == 1 and content(spark, target) == [("a", "x", 5, 2), ("b", "x", 1, 1)]
+
+
+def test_a_table_without_event_time_is_upserted_under_either_policy(spark):
+    for late in ("drop", "upsert"):
+        target = scratch_dir(spark, "t-no-ts")
+        for _ in range(2):
+            plain_load(spark, [("a", "x", 1, 1), ("b", "x", 1, 1)], target, late, ts=None)
+        assert len(content(spark, target)) == 2
+
+
+def test_partition_values_that_need_escaping(spark):
+    """Keys that leave such a partition, or one without a value, leave nothing behind."""
+    target = scratch_dir(spark, "t-escape")
+    names = ["a:b", "c%d/e", "f g=h", None, "é\"'", "plain"]
+    plain_load(spark, [(f"k{i}", p, 1, 1) for i, p in enumerate(names)], target, part=["p"])
+    plain_load(spark, [(f"k{i}", "moved", 2, 2) for i in range(len(names))], target, part=["p"])
+    assert content(spark, target) == sorted((f"k{i}", "moved", 2, 2) for i in range(len(names)))
+
+
+def test_thousands_of_partitions_in_one_filter(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.incremental import _partition_name
+    df = spark.range(4000).select(F.col("id").cast("string").alias("p"))
+    names = [r[0] for r in df.select(_partition_name(["p"])).collect()]
+    assert df.where(_partition_name(["p"]).isin(names)).count() == 4000
+
+
+def test_formats_with_their_own_merge_are_refused(spark):
+    import pytest
+    df = spark.createDataFrame([("a", "x", 1, 1)], "k string, p string, t int, v int")
+    with pytest.raises(ValueError):
+        incremental_load(spark, df, scratch_dir(spark, "t-fmt") + "/none", keys=["k"], ts_col=None, order=["t"], fmt="csv")

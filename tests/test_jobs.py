@@ -1,34 +1,92 @@
-"""The ordered run raw CSV -> bronze -> silver -> gold, twice (the rerun adds
-nothing), against the on-the-fly queries."""
+"""The ordered run raw CSV -> bronze -> silver -> gold over several deliveries."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
 import ledgerlake.queries as Q
-from ledgerlake.plans import jobs
+from ledgerlake.plans import jobs, silver
+from ledgerlake.schemas import RAW_SCHEMAS
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources import tables
 from ledgerlake.sources.bridge import AS_OF, raw_table
 
 
-def test_run_all_matches_queries_and_rerun_is_stable(spark, sf_dir):
+def _run(spark, raw_dir, lake):
+    return (jobs.ingest_bronze(spark, raw_dir, lake, names=["transactions"])["transactions"],
+            jobs.build_silver(spark, lake, as_of=AS_OF, names=["transactions"])["transactions"])
+
+
+def test_all_layers_match_the_queries_and_a_rerun_writes_nothing(spark, sf_dir):
     raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
     for t in jobs.TABLES:
         tables.write_raw_csv(raw_table(spark, sf_dir, t), f"{raw_dir}/{t}", "overwrite")
+    for stage in (jobs.ingest_bronze(spark, raw_dir, lake), jobs.build_silver(spark, lake, as_of=AS_OF)):
+        assert all(r.written_rows > 0 for r in stage.values())
     db = "gold_test_" + lake.rsplit("-", 1)[-1][:8]
-    first = jobs.run_all(spark, raw_dir, lake, as_of=AS_OF, database=db)
-    assert first["silver"]["transactions"].written_rows > 0
+    jobs.build_gold(spark, lake, database=db)
 
-    fact = spark.table(f"{db}.transactions_enhanced").drop("load_ts")
     expect = Q.fact_monthly_mart(spark, sf_dir)
     key = ["transaction_month", "age_group", "category"]
     cols = ["total_spend", "transaction_count", "unique_customers", "max_running_spend"]
-    got = {tuple(r[:3]): tuple(r[3:]) for r in fact.select(*key, *cols).collect()}
     exp = {tuple(r[:3]): tuple(r[3:]) for r in expect.select(*key, *cols).collect()}
-    assert got == exp
-
-    silver_before = tables.read_table(spark, f"{lake}/silver/transactions").count()
-    jobs.run_all(spark, raw_dir, lake, as_of=AS_OF, database=db)      # same input again
-    assert tables.read_table(spark, f"{lake}/silver/transactions").count() == silver_before
-    assert tables.read_table(spark, f"{lake}/bronze/transactions").select(
-        F.countDistinct("txn_id")).first()[0] == tables.read_table(
-        spark, f"{lake}/bronze/transactions").count()
+    for name in ("transactions_enhanced", "fact_transaction_summary"):
+        got = {tuple(r[:3]): tuple(r[3:]) for r in spark.table(f"{db}.{name}").select(*key, *cols).collect()}
+        assert got == exp
+    assert spark.table(f"{db}.transactions_enhanced").select("load_ts").distinct().count() == 1
+
+    for stage in (jobs.ingest_bronze(spark, raw_dir, lake), jobs.build_silver(spark, lake, as_of=AS_OF)):
+        assert all(r.skipped and r.written_rows == 0 for r in stage.values())
+    for t in jobs.TABLES:                                     # bronze keeps every raw row
+        assert tables.read_table(spark, f"{lake}/bronze/{t}").count() == raw_table(spark, sf_dir, t).count()
+
+
+def test_deliveries_in_any_split_give_the_same_silver(spark, sf_dir):
+    """Rows split at random: versions of a key arrive in both deliveries."""
+    raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
+    raw = raw_table(spark, sf_dir, "transactions")
+    half = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+    for n in (0, 1):
+        tables.write_raw_csv(raw.where(half == n), f"{raw_dir}/transactions", "append")
+        _run(spark, raw_dir, lake)
+    got = tables.read_table(spark, f"{lake}/silver/transactions").select(*silver.SILVER_COLUMNS["transactions"])
+    exp = silver.to_silver("transactions", raw, AS_OF)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, exp.collect()), key=str)
+
+
+def txn(i, ts, amount, status="success"):
+    return (i, "A", "M", ts, amount, "USD", "debit", status, "pos", "c", "k", "d")
+
+
+def _deliver(spark, raw_dir, rows):
+    tables.write_raw_csv(spark.createDataFrame(rows, RAW_SCHEMAS["transactions"]), f"{raw_dir}/transactions", "append")
+
+
+def test_a_rejected_version_does_not_erase_a_valid_one(spark):
+    raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
+    old, new = dt.datetime(2000, 1, 1), dt.datetime(2000, 2, 1)
+    _deliver(spark, raw_dir, [txn("T1", old, 1.0), txn("T2", old, 2.0)])
+    _run(spark, raw_dir, lake)
+    _deliver(spark, raw_dir, [txn("T1", new, 9.0, "failed"), txn("T2", new, 3.0)])
+    bronze, load = _run(spark, raw_dir, lake)
+    assert bronze.written_rows == 2 and load.rejected == {"not_successful": 1}
+    rows = tables.read_table(spark, f"{lake}/silver/transactions").collect()
+    assert sorted((r.txn_id, float(r.amount)) for r in rows) == [("T1", 1.0), ("T2", 3.0)]
+
+
+def test_unreadable_records_are_kept_in_bronze_and_counted(spark):
+    raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
+    text = spark.createDataFrame([("T1", "A", "M", "2000-01-01T00:00:00.000Z", "much", "USD", "debit", "success", "pos", "c", "k", "d"),
+                                  ("T2", "A", "M", "2000-01-01T00:00:00.000Z", "5", "USD", "debit", "success", "pos", "c", "k", "d")], RAW_SCHEMAS["transactions"].fieldNames())
+    tables.write_raw_csv(text, f"{raw_dir}/transactions", "append")
+    bronze, load = _run(spark, raw_dir, lake)
+    assert bronze.written_rows == 2 and load.rejected == {"unreadable": 1} and load.written_rows == 1
+
+
+def test_high_water_mark_policy_counts_what_it_leaves_out(spark):
+    raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
+    _deliver(spark, raw_dir, [txn("T1", dt.datetime(2000, 2, 1), 1.0)])
+    jobs.ingest_bronze(spark, raw_dir, lake, late="drop", names=["transactions"])
+    _deliver(spark, raw_dir, [txn("T2", dt.datetime(2000, 1, 1), 1.0), txn("T3", dt.datetime(2000, 3, 1), 1.0)])
+    done = jobs.ingest_bronze(spark, raw_dir, lake, late="drop", names=["transactions"])["transactions"]
+    assert (done.written_rows, done.late_rows) == (1, 1)

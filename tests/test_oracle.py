@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck_connect
-
-NAMES = sorted(E.queries())
+from ledgerlake.oracle import ORACLE
+from ledgerlake.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,16 +13,15 @@ def con(sf_dir):
     return duck_connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, sf_dir, name):
-    res = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), sf_dir)
-    assert res["ok"] is not False, res
-    assert res["rows"] >= 0
+    res = compare(spark, con, name, QUERIES[name], ORACLE[name], sf_dir)
+    assert res["ok"] is True and res["rows"] > 0, res
 
 
-def test_every_query_but_the_sample_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"gold_sample_json"}
+def test_queries_and_oracles_are_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

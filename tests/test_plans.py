@@ -47,7 +47,10 @@ def test_global_position_has_no_single_partition_raw_window(spark, sf_dir):
     pos = global_position(t.select("txn_id", "amount"), [F.col("amount").desc(), "txn_id"])
     p = plan(pos)
     # The only single-partition step is the offsets window over one row per partition.
-    assert "Window [" not in p.split("SinglePartition")[0] or p.count("SinglePartition") <= 1
+    assert p.count("SinglePartition") == 1
+    single = p[:p.index("SinglePartition")]
+    assert "_pid" in single[single.rindex("Window ["):]
+    assert "HashAggregate(keys=[_pid" in p[p.index("SinglePartition"):]       # what it receives
     got = [r._pos for r in pos.orderBy("_pos").select("_pos").collect()]
     assert got == list(range(t.count()))
 
@@ -74,3 +77,10 @@ def test_fact_rows_shuffle_once_per_join_key_without_broadcasts(spark, sf_dir):
     assert re.search(r"SortMergeJoin \[coalesce\(merchant_id#\d+, txn_id#\d+\)\]", top[0])
     assert re.search(r"SortMergeJoin \[account_id#\d+\]", top[1])
     assert re.search(r"SortMergeJoin \[customer_id#\d+\]", top[2])
+
+
+def test_one_chart_needs_no_customer_rows(spark, sf_dir):
+    import ledgerlake.queries as Q
+    p = plan(Q.fact_spend(spark, sf_dir).groupBy("category").agg(F.sum("total_spend")))
+    assert "txn_date" not in p.split("HashAggregate")[1] and "Window" not in p.split("SortMergeJoin")[0]
+    assert "percentile" not in p and "max_running_spend" not in p

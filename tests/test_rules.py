@@ -64,7 +64,7 @@ def test_transactions_amount_abs_half_up_and_filters(spark):
             ("T3", "A", "M", dt.datetime(2000, 1, 1), 1.0, "USD", "debit", "failed", "pos", "c", "k", "d")]
     from ledgerlake.schemas import RAW_SCHEMAS
     df = spark.createDataFrame(rows, RAW_SCHEMAS["transactions"])
-    out = silver.transform_transactions(df, AS_OF).collect()
+    out = silver.to_silver("transactions", df, AS_OF).collect()
     assert [r.txn_id for r in out] == ["T1"]          # as-of is strict, failed dropped
     assert out[0].amount == Decimal("12.35") and out[0].is_debit is None
 
@@ -75,7 +75,7 @@ def test_dedup_latest_version_wins(spark):
     rows = [base[:3] + (dt.datetime(1999, 1, 1),) + base[4:],
             base[:3] + (dt.datetime(2000, 1, 1),) + (6.0,) + base[5:]]
     df = spark.createDataFrame(rows, RAW_SCHEMAS["transactions"])
-    out = silver.transform_transactions(df, AS_OF).collect()
+    out = silver.to_silver("transactions", df, AS_OF).collect()
     assert len(out) == 1 and out[0].amount == Decimal("6.00")
 
 
@@ -84,7 +84,7 @@ def test_accounts_opened_on_as_of_dropped(spark):
     rows = [("A1", "C", "savings", Decimal("1"), dt.date(2001, 6, 30), "closed"),
             ("A2", "C", "savings", Decimal("1"), dt.date(2001, 6, 29), "closed"),
             ("A3", "C", "savings", None, dt.date(2001, 6, 1), "active")]
-    out = silver.transform_accounts(spark.createDataFrame(rows, RAW_SCHEMAS["accounts"]), AS_OF).collect()
+    out = silver.to_silver("accounts", spark.createDataFrame(rows, RAW_SCHEMAS["accounts"]), AS_OF).collect()
     assert [(r.account_id, r.status) for r in out] == [("A2", "inactive")]
 
 
@@ -94,7 +94,7 @@ def test_customers_with_null_dob_or_email_are_dropped(spark):
     rows = [("C1", "a b", None, "M", "x", "1", "a@b", ts),
             ("C2", "a b", dt.date(1970, 1, 1), "F", "x", "1", None, ts),
             ("C3", "a b", dt.date(1970, 1, 1), "O", "x", "1", "c@d", ts)]
-    out = silver.transform_customers(spark.createDataFrame(rows, RAW_SCHEMAS["customers"]), AS_OF)
+    out = silver.to_silver("customers", spark.createDataFrame(rows, RAW_SCHEMAS["customers"]), AS_OF)
     assert [(r.customer_id, r.gender, r.age) for r in out.collect()] == [("C3", "Other", 31.0)]
 
 
@@ -112,3 +112,18 @@ def test_null_merchant_keeps_its_own_category_group(spark):
     fact = facts.transactions_enhanced(facts.joined_transactions(t, a, c, m), with_load_ts=False)
     got = {r.category: (float(r.total_spend), float(r.max_running_spend)) for r in fact.collect()}
     assert got == {None: (5.0, 5.0), "Food": (7.0, 12.0)}
+
+
+def test_unreadable_text_is_rejected_and_named(spark):
+    """Text that is no date, number or time never fails a load; the row is counted."""
+    customers = spark.createDataFrame([("C1", "a", "notadate", "M", "x", "1", "a@b", "2000-01-01"), ("C2", "a", "1970-01-01", "M", "x", "1", "ab", "never"),
+                                       ("C3", "a", "1970-01-01", "M", "x", "1", "a@b", "2000-01-01")],
+                                      "customer_id string, name string, dob string, gender string, address string, phone string, email string, created_at string")
+    got = {r.customer_id: r.reject_reason for r in silver.graded("customers", customers, AS_OF).collect()}
+    assert got == {"C1": "under_age", "C2": "bad_email", "C3": None}
+    accounts = spark.createDataFrame([("A1", "C", "s", "many", "2000-01-01", "x"), ("A2", "C", "s", "1.5", "soon", "x")], "account_id string, customer_id string, account_type string, balance string, opened_date string, status string")
+    assert {r.account_id: r.reject_reason for r in silver.graded("accounts", accounts, AS_OF).collect()} == {"A1": "no_balance", "A2": "not_opened_yet"}
+    raw = spark.createDataFrame([("T1", "A", "M", "late", "x", "USD", "debit", "success", "pos", "c", "k", "d")],
+                                "txn_id string, account_id string, merchant_id string, timestamp string, amount string, currency string, txn_type string, status string, channel string, city string, country string, description string")
+    assert silver.graded("transactions", raw, AS_OF).first().reject_reason == "in_the_future"
+    assert silver.to_silver("transactions", raw, AS_OF).count() == 0

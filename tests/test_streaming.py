@@ -25,13 +25,15 @@ def test_restart_adds_no_duplicates_and_late_rows_are_dropped(spark):
     run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)          # nothing new
     assert spark.read.parquet(sink).count() == 2
 
-    # T1 again 3 minutes later (inside the 10-minute watermark): a copy, dropped;
-    # T3 a day earlier than the watermark: late, dropped; T4 new: kept.
+    # T1 in a newer version: replaces the older one; T3 a day before the watermark: late,
+    # dropped and counted; T4 new: kept.
     second = rows([("T1", t0 + dt.timedelta(minutes=3)), ("T3", t0 - dt.timedelta(days=1)),
                    ("T4", t0 + dt.timedelta(hours=1))])
     spark.createDataFrame(second, RAW_SCHEMAS["transactions"]).write.mode("append").parquet(src)
-    run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
-    assert sorted(r.txn_id for r in spark.read.parquet(sink).collect()) == ["T1", "T2", "T4"]
+    done = run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
+    got = {r.txn_id: r.timestamp for r in spark.read.parquet(sink).collect()}
+    assert got == {"T1": t0 + dt.timedelta(minutes=3), "T2": t0 + dt.timedelta(minutes=5), "T4": t0 + dt.timedelta(hours=1)}
+    assert done.late_rows == 1 and done.read_rows == 3
 
 
 def test_csv_deliveries_and_rerun_without_new_files(spark):

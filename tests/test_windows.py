@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.windows import lag_by, materialize, row_number_by, with_running_total
+from ledgerlake.operators.windows import (materialize, row_number_by, with_running_and_previous,
+                                          with_running_total)
 
 
 @pytest.fixture(scope="module")
@@ -43,5 +44,7 @@ def test_row_number_equals_window(spark, skewed):
 def test_lag_equals_window(spark, skewed):
     w = Window.partitionBy("k").orderBy("d", "id")
     plain = skewed.withColumn("p", F.lag("v").over(w))
-    ours = lag_by(skewed, ["k"], ["d", "id"], "v", "p")
+    ours = with_running_and_previous(skewed, ["k"], "d", "id", "v", "rt", "p")
     assert rows(ours, ["id", "p"]) == rows(plain, ["id", "p"])
+    plain = skewed.withColumn("rt", F.sum("v").over(Window.partitionBy("k").orderBy("d")))
+    assert rows(ours, ["id", "rt"]) == rows(plain, ["id", "rt"])

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.windows import lag_by, row_number_by, with_running_total
+from ledgerlake.operators.windows import row_number_by, with_running_and_previous, with_running_total
 
 row = st.tuples(st.sampled_from(["HOT", "HOT", "HOT", "a", "b", None]),
                 st.integers(min_value=0, max_value=6),
@@ -30,6 +30,6 @@ def test_operators_equal_plain_windows(spark, rows):
         Window.partitionBy("k").orderBy(F.col("v").desc(), "id")))
     assert dict(rn.select("id", "x").collect()) == dict(exp.select("id", "x").collect())
 
-    lg = lag_by(df, ["k"], ["d", "id"], "v", "x")
+    lg = with_running_and_previous(df, ["k"], "d", "id", "v", "rt", "x")
     exp = df.withColumn("x", F.lag("v").over(Window.partitionBy("k").orderBy("d", "id")))
     assert dict(lg.select("id", "x").collect()) == dict(exp.select("id", "x").collect())
