@@ -7,6 +7,7 @@ folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -82,14 +83,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return _SCRATCH[-1]
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the folders that this process has got from ``scratch_dir``.  DataFrames that
-    still read them cannot be used afterwards: call it when their results are written."""
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch folders made inside the block when it ends.  DataFrames that
+    read them cannot be used afterwards: write their results within the block."""
     from ledgerlake.sources.tables import delete_path
-    n = 0
-    while _SCRATCH:
-        n += bool(delete_path(spark, _SCRATCH.pop()))
-    return n
+    kept = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        while len(_SCRATCH) > kept:
+            delete_path(spark, _SCRATCH.pop())
 
 
 def local_path(path: str) -> str:

@@ -1,6 +1,6 @@
 """Session helpers: sizing, object-store settings, shared checkpoint folder."""
 
-from ledgerlake.session import ensure_checkpoint_dir, object_store_conf, scale_conf, scratch_dir
+from ledgerlake.session import ensure_checkpoint_dir, object_store_conf, scale_conf, scratch_dir, scratch_scope
 
 
 def test_scale_conf_sizes_partitions_by_volume_and_cores():
@@ -20,3 +20,14 @@ def test_scratch_dirs_live_under_the_checkpoint_folder(spark):
     base = ensure_checkpoint_dir(spark)
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a.startswith(base) and b.startswith(base) and a != b
+
+
+def test_scratch_made_in_a_scope_is_deleted_at_its_end(spark):
+    from ledgerlake.sources.tables import path_exists
+    kept = scratch_dir(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with scratch_scope(spark):
+        gone = scratch_dir(spark, "gone")
+        spark.range(3).write.parquet(gone)
+        assert path_exists(spark, gone)
+    assert path_exists(spark, kept) and not path_exists(spark, gone)
