@@ -20,6 +20,7 @@ text "".  Repeated pages are each extracted, a null URL belongs to the host "".
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 from collections.abc import Iterator
@@ -34,6 +35,8 @@ from ledgerlake.llm.tables import written
 from ledgerlake.llm.urls import host_of
 
 FEWEST, SAME = 5, 0.9
+#: Siblings are aligned by a table of all pairs up to this many.
+MOST_CELLS = 250_000
 #: Elements that an article holds as its own text, whatever other pages say.
 TEXTUAL = frozenset("article main p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption address".split())
 #: References of all hosts are broadcast up to this many bytes, else joined by host.
@@ -58,6 +61,9 @@ _PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.IGNORECASE)
 
 
+_NUMBER = re.compile("[0-9]+")
+
+
 class Node:
     __slots__ = ("tag", "kind", "children", "skipped")
 
@@ -71,7 +77,7 @@ def _start(tag: str, attributes: str, inside: bool) -> Node:
     skipped = tag in SKIPPED or found.get("role", "").lower() in SKIPPED_ROLES or (tag == "header" and not inside) or "hidden" in found or found.get("aria-hidden") == "true"
     if names and tag not in ("html", "body", "main", "article"):
         skipped = skipped or bool(SKIPPED_CLASS.search(names))
-    return Node(tag, f"{tag}.{found.get('class', '')}", skipped)
+    return Node(tag, f"{tag}.{_NUMBER.sub('0', found.get('class', ''))}", skipped)  # numbered classes are one kind
 
 
 def parse(page: str) -> Node:
@@ -206,6 +212,8 @@ def matching(a: Group, b: Group, depth: int = 60) -> tuple[int, list[tuple[Group
     if a.kind != b.kind or depth == 0:
         return 0, []
     m, n = len(a.children), len(b.children)
+    if m * n > MOST_CELLS:
+        return _in_order(a, b, depth)
     best = [[0] * (n + 1) for _ in range(m + 1)]
     pairs: dict[tuple[int, int], tuple[int, list]] = {}
     for i in range(1, m + 1):
@@ -225,6 +233,23 @@ def matching(a: Group, b: Group, depth: int = 60) -> tuple[int, list[tuple[Group
     return best[m][n] + 1, out
 
 
+def _in_order(a: Group, b: Group, depth: int) -> tuple[int, list[tuple[Group, Group]]]:
+    """As ``matching`` for very many kinds of siblings: each child of b meets the next child
+    of its kind in a, which costs no table of all pairs."""
+    places: dict[str, list[int]] = {}
+    for i, c in enumerate(a.children):
+        places.setdefault(c.kind, []).append(i)
+    total, out, last = 1, [(a, b)], -1
+    for c in b.children:
+        own = places.get(c.kind, [])
+        k = bisect.bisect_right(own, last)
+        if k < len(own):
+            last = own[k]
+            count, pairs = matching(a.children[last], c, depth - 1)
+            total, out = total + count, out + pairs
+    return total, out
+
+
 def numbered(top: Group) -> dict[int, int]:
     """Place of each group of a reference tree, in page order."""
     places, work = {}, [top]

@@ -78,5 +78,13 @@ def test_simple_tree_matching_counts_nodes():
     assert n == len(pairs) == 5 and {p.kind for p, _ in pairs} == {"#", "div.", "p.", "ul.", "li."}
 
 
+def test_very_many_kinds_of_siblings_and_deep_pages():
+    a, b = (html.reduced(html.parse("".join(f"<p class='{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}'>x</p>" for i in range(k, 2000 + k)))) for k in (0, 5))
+    n, pairs = html.matching(a, b)
+    assert n == len(pairs) == 1996
+    assert html.blocks(html.parse("<div>" * 20_000 + "deep"))[0][2] == "deep"
+    assert html.reduced(html.parse("<p class=a1>x<p class=a2>y")).children[0].kind == "p.a0"
+
+
 def test_empty_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
