@@ -182,7 +182,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     full = placed.join(plain, ["id", "key"]).select("cluster", "node", "many", "blocks", "block", "text")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = full.withColumn("other", other).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "many", "text")
-    dealt = dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
+    # By range, so that tasks get equal numbers of rows: a key is never cut, and by hash
+    # several pairs of blocks of one large cluster would meet in a task.
+    dealt = dealt.repartitionByRange("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
