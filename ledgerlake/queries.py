@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ledgerlake.operators import incremental
 from ledgerlake.operators.joins import join_spreading_nulls
 from ledgerlake.operators.metrics import load_counts, reject_counts
+from ledgerlake.operators.windows import materialize
 from ledgerlake.plans import dashboard, dims, facts, jobs, silver
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources import tables
@@ -412,7 +413,7 @@ def q_stream_silver_transactions(spark, sf_dir):
     Deliveries arrive in event-time order; after each one the job runs with
     ``availableNow`` and resumes from its checkpoint, as a scheduled job would.
     """
-    raw = raw_table(spark, sf_dir, "transactions")
+    raw = materialize(raw_table(spark, sf_dir, "transactions"), "stream-input")   # read by every delivery
     src = scratch_dir(spark, "stream-src")
     sink, ckpt = scratch_dir(spark, "stream-sink"), scratch_dir(spark, "stream-ckpt")
     bounds = [None, *STREAM_DELIVERY_BOUNDS, None]
