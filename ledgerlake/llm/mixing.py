@@ -72,8 +72,8 @@ def leaf_budgets(leaves: DataFrame, budget: float | None, weights: dict[str, dic
     leaf = leaf.withColumn("supply", F.when((F.col("w1") > 0) & (F.col("w2") > 0) & (F.col("w3") > 0), F.col("tokens") * max_epochs).otherwise(F.lit(0)))
     lang = leaf.groupBy("domain", "lang", "w1", "w2").agg(F.sum("supply").alias("supply"))
     domain = lang.groupBy("domain", "w1").agg(F.sum("supply").alias("supply"))
-    whole = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("budget")) if budget is None else leaves.sparkSession.range(1).select(F.lit(float(budget)).alias("budget"))
-    top = shares(domain.crossJoin(F.broadcast(whole)).withColumn("weight", F.col("w1")).withColumn("root", F.lit(0)), ["root"], "domain", "share")  # one row
+    whole = float(budget if budget is not None else leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0])  # one number
+    top = shares(domain.withColumn("budget", F.lit(whole)).withColumn("weight", F.col("w1")).withColumn("root", F.lit(0)), ["root"], "domain", "share")
     top = top.select(F.col("domain").alias("_d"), F.col("share").alias("budget"))
     mid = shares(lang.join(top, F.col("domain").eqNullSafe(F.col("_d"))).drop("_d").withColumn("weight", F.col("w2")), ["domain"], "lang", "share")
     mid = mid.select(F.col("domain").alias("_d"), F.col("lang").alias("_l"), F.col("share").alias("budget"))
@@ -100,7 +100,8 @@ def mix(docs: DataFrame, domain: Column, budget: float | None = None, weights: d
     rows = docs.withColumn("domain", domain).select(*kept, "domain")
     count = written(rows.select("doc_id", "domain", "lang", "source", F.col(text).alias("text")).select(
         "doc_id", "domain", "lang", "source", n_tokens(F.col("text")).alias("tokens"), F.length(F.coalesce("text", F.lit(""))).alias("n")).where("tokens > 0"), "mix-rows")
-    leaves = written(leaf_budgets(count.groupBy("domain", "lang", "source").agg(F.sum("tokens").alias("tokens")), budget, weights or {}, max_epochs).select(
+    totals = written(count.groupBy("domain", "lang", "source").agg(F.sum("tokens").alias("tokens")), "mix-totals")
+    leaves = written(leaf_budgets(totals, budget, weights or {}, max_epochs).select(
         "domain", "lang", "source", F.floor(F.col("budget") / F.col("tokens")).alias("whole"), F.expr("budget - floor(budget / tokens) * tokens").alias("rest")), "mix-leaves")
     named, same = _same_leaf(leaves)
     place = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("n").cast("string")))

@@ -71,9 +71,9 @@ def _level(groups: DataFrame, key: str, parents: DataFrame, parent_key: str) ->
         F.sum(chance).alias("by_chance"), F.sum((F.col("n") - 1) * chance).alias("room"))
     k = k.select(F.when((F.col("room") > 0) & (F.col("spread") > F.col("by_chance")),
                         F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.col("room") / (F.col("spread") - F.col("by_chance")) - 1)))
-                 .when(F.col("room") > 0, F.lit(MOST)).otherwise(F.lit(USUAL)).alias("k"))
-    return both.join(F.broadcast(k)).select(  # one row
-        *groups.columns, ((F.col("good") + F.col("k") * F.col("_m")) / (F.col("n") + F.col("k"))).alias("mean"), (F.col("n") + F.col("k")).alias("weight"))
+                 .when(F.col("room") > 0, F.lit(MOST)).otherwise(F.lit(USUAL)).alias("k")).first()["k"]  # one number a level
+    return both.select(
+        *groups.columns, ((F.col("good") + F.lit(k) * F.col("_m")) / (F.col("n") + F.lit(k))).alias("mean"), (F.col("n") + F.lit(k)).alias("weight"))
 
 
 def reputations(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
