@@ -179,16 +179,19 @@ class Group:
 
     __slots__ = ("kind", "children", "members", "own")
 
-    def __init__(self, kind: str, members: list[Node]):
+    def __init__(self, kind: str, members: list[Node], texts: dict[int, list[str]]):
         self.kind, self.members = kind, members
-        self.own = " ".join(" ".join(c for c in m.children if isinstance(c, str)) for m in members)
-        self.own = " ".join(self.own.split())
+        self.own = "\n".join(t for m in members for t in texts.get(id(m), ()))
         self.children = []
 
 
 def reduced(root: Node) -> Group:
-    """The tree of groups, made from the top so that deep pages need no recursion."""
-    top = Group(root.kind, [root])
+    """The tree of groups, made from the top so that deep pages need no recursion.  A
+    group's own text is that of its members' blocks, inline descendants included."""
+    texts: dict[int, list[str]] = {}
+    for node, _, text in blocks(root):
+        texts.setdefault(id(node), []).append(text)
+    top = Group(root.kind, [root], texts)
     work = [top]
     while work:
         g = work.pop()
@@ -202,7 +205,7 @@ def reduced(root: Node) -> Group:
                     same[1].append(c)
                 else:
                     runs.append((c.kind, [c]))
-        g.children = [Group(k, ms) for k, ms in runs]
+        g.children = [Group(k, ms, texts) for k, ms in runs]
         work.extend(g.children)
     return top
 

@@ -62,6 +62,19 @@ def test_constant_parts_of_articles(spark):
     assert got == {f"Same title text {i}" for i in range(10)}
 
 
+def _extracted(spark, pages):
+    rows = [(i, "http://t.net/", p) for i, p in enumerate(pages)]
+    return [r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_text_in_inline_elements_varies_too(spark):
+    """A block's text counts with that of its inline descendants."""
+    pages = [f"<body><div class=top>Welcome</div><p><span>story {i}</span></p><div>By <a>Name {i}</a></div></body>" for i in range(8)]
+    assert _extracted(spark, pages) == [f"story {i} By Name {i}" for i in range(8)]
+    pages = [f"<article><h1>title {i}</h1><div class=box><b>Read all</b></div><div><span>text {i}</span></div></article>" for i in range(8)]
+    assert _extracted(spark, pages) == [f"title {i} text {i}" for i in range(8)]
+
+
 def test_given_pages_against_plain_cutting(spark):
     pages = spark.read.parquet(f"{SMALL_SF}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
