@@ -3,11 +3,12 @@
 Pages of one host share a template.  Each page's DOM is reduced to a tree in which runs
 of siblings of the same kind are one node (a list has any number of items), and aligned
 with the tree of the host's reference page by simple tree matching: the largest set of
-node pairs that keeps parents, order and kind.  Counted over all pages of a host, a node
-whose text is the same in nearly all pages it occurs in is template; the others are
-slots that hold content.
+node pairs that keeps parents, order and kind.  Counted over all distinct pages of a
+host (pages of the same texts count once), a node has a template text if this stands in
+nearly all pages that the node occurs in; it is left out where a page has this text, and
+all else is content, also another text at the same node.
 
-The main text is the slots in the page's article (or main) element, or all slots of a
+The main text is the content in the page's article (or main) element, or all content of a
 page without one; an article's own paragraphs, headings and lists are always content,
 so copies of one article on a host don't turn into template.  Scripts, styles, menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments are known by element, role or class and never
@@ -21,6 +22,7 @@ text "".  Repeated pages are each extracted, a null URL belongs to the host "".
 from __future__ import annotations
 
 import bisect
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -263,19 +265,25 @@ def numbered(top: Group) -> dict[int, int]:
     return places
 
 
-def aligned(page: str, reference: Group, places: dict[int, int]) -> tuple[list[tuple[int, str]], list[tuple[int, bool]]]:
-    """The page's text blocks, each with the place of its element in the reference's
-    tree (-1: none, or never template), and for every aligned node whether its text is
-    the reference's."""
+def _mark(text: str) -> int:
+    """A 64-bit hash that is the same in all tasks; 0 for no text."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) if text else 0
+
+
+def aligned(page: str, reference: Group, places: dict[int, int]) -> tuple[list[tuple[int, int, str]], list[tuple[int, int]], int]:
+    """The page's text blocks, each with the place of its element in the reference's tree
+    (-1: none, or never template) and the hash of that node's text on this page; place
+    and hash of every aligned node; the hash of all blocks' texts."""
     root = parse(page)
     found = articles(root)
+    every = blocks(root)
     own, nodes = {}, []
     for r, g in matching(reference, reduced(root))[1]:
-        nodes.append((places[id(r)], r.own == g.own))
+        nodes.append((places[id(r)], _mark(g.own)))
         for m in g.members:
-            own[id(m)] = places[id(r)]
-    parts = [b for a in found for b in blocks(a, True)] if found else blocks(root)
-    return [(-1 if held and node.tag in TEXTUAL else own.get(id(node), -1), text) for node, held, text in parts], nodes
+            own[id(m)] = nodes[-1]
+    parts = [b for a in found for b in blocks(a, True)] if found else every
+    return [(*((-1, 0) if held and node.tag in TEXTUAL else own.get(id(node), (-1, 0))), text) for node, held, text in parts], nodes, _mark("\n".join(t for _, _, t in every))
 
 
 def _with_references(pages: DataFrame, references: DataFrame, small: bool) -> DataFrame:
@@ -289,39 +297,44 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
 
     The reference of a host is one of its pages (the first in the order of a hash).  The
     table of references is broadcast if its measured size allows, else joined by host.
-    Each page is parsed and aligned once; its blocks and node counts are written, the
-    counts are summed per host and node, and what turns out template is left out.
+    Each page is parsed and aligned once; its blocks and the hashes of its nodes' texts are
+    written, texts are counted per host and node over distinct pages, and a block whose
+    text turns out template is left out.
     """
     kept = [c for c in pages.columns if c not in (*ADDED, html)]
     rows = pages.select(*kept, host_of(F.col(url)).alias("_host"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("_page"))
     first = rows.groupBy("_host").agg(F.min(F.struct(F.xxhash64("_page").alias("order"), F.col("_page").alias("page"))).alias("r"))
     references = written(first.select(F.col("_host").alias("_h"), F.col("r.page").alias("_reference")), "page-references")
     small = (references.agg(F.sum(F.length("_reference") + 100)).first()[0] or 0) <= BROADCAST_BYTES
-    more = T.StructType.fromDDL("_host string, _blocks array<struct<place: int, text: string>>, _nodes array<struct<place: int, same: boolean>>")
+    more = T.StructType.fromDDL("_host string, _blocks array<struct<place: int, mark: bigint, text: string>>, _nodes array<struct<place: int, mark: bigint>>, _said bigint")
     schema = T.StructType([*pages.select(*kept).schema.fields, *more.fields])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: dict[str, tuple] = {}
         for batch in W.pieces(batches, "_page"):
-            blocks_of, nodes_of = [], []
+            blocks_of, nodes_of, said = [], [], []
             for host, page, reference in zip(*(batch.column(c).to_pylist() for c in ("_host", "_page", "_reference"))):
                 if host not in trees:
                     if len(trees) >= 64:
                         trees.clear()
                     tree = reduced(parse(reference))
                     trees[host] = tree, numbered(tree)
-                parts, nodes = aligned(page, *trees[host])
-                blocks_of.append([{"place": p, "text": t} for p, t in parts])
-                nodes_of.append([{"place": p, "same": e} for p, e in nodes])
+                parts, nodes, whole = aligned(page, *trees[host])
+                blocks_of.append([{"place": p, "mark": m, "text": t} for p, m, t in parts])
+                nodes_of.append([{"place": p, "mark": m} for p, m in nodes])
+                said.append(whole)
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(c) for c in kept), batch.column("_host"),
-                pa.array(blocks_of, pa.list_(pa.struct([("place", pa.int32()), ("text", pa.string())]))),
-                pa.array(nodes_of, pa.list_(pa.struct([("place", pa.int32()), ("same", pa.bool_())])))], schema.names)
+                pa.array(blocks_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64()), ("text", pa.string())]))),
+                pa.array(nodes_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64())]))), pa.array(said, pa.int64())], schema.names)
 
     parsed = written(_with_references(rows, references, small).select(*kept, "_host", "_page", "_reference").mapInArrow(align, schema), "page-blocks")
-    nodes = parsed.select("_host", F.explode("_nodes").alias("n")).groupBy("_host", "n.place").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n.same").cast("int")).alias("same"))
-    template = nodes.where((F.col("n") >= FEWEST) & (F.col("same") >= SAME * F.col("n"))).groupBy(F.col("_host").alias("_h")).agg(F.collect_list("place").alias("_template"))  # nodes of one page
-    marked = _with_references(parsed.drop("_nodes"), written(template, "page-templates"), small)
-    slots = F.filter("_blocks", lambda b: ~F.coalesce(F.array_contains("_template", b["place"]), F.lit(False)))
+    distinct = parsed.groupBy("_host", "_said").agg(F.min("_nodes").alias("_nodes"))
+    texts = distinct.select("_host", F.explode("_nodes").alias("n")).groupBy("_host", "n.place", "n.mark").agg(F.count(F.lit(1)).alias("n"))
+    nodes = texts.groupBy("_host", "place").agg(F.sum("n").alias("n"), F.max(F.struct("n", "mark")).alias("most"))
+    template = nodes.where((F.col("n") >= FEWEST) & (F.col("most.n") >= SAME * F.col("n")) & (F.col("most.mark") != 0))
+    template = template.groupBy(F.col("_host").alias("_h")).agg(F.map_from_entries(F.collect_list(F.struct("place", "most.mark"))).alias("_template"))  # nodes of one page
+    marked = _with_references(parsed.drop("_nodes", "_said"), written(template, "page-templates"), small)
+    slots = F.filter("_blocks", lambda b: ~F.coalesce(F.try_element_at("_template", b["place"]) == b["mark"], F.lit(False)))
     chosen = F.when(F.size(slots) > 0, slots).otherwise(F.col("_blocks"))  # where nothing varies, nothing is template
     return marked.select(*kept, F.array_join(F.transform(chosen, lambda b: b["text"]), " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))

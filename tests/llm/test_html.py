@@ -75,6 +75,14 @@ def test_text_in_inline_elements_varies_too(spark):
     assert _extracted(spark, pages) == [f"title {i} text {i}" for i in range(8)]
 
 
+def test_only_the_template_text_is_left_out(spark):
+    """Other texts at a template's node stay, and copies of a page make no template."""
+    pages = [f"<body><div class=top>{'Welcome' if i else 'Site closed'}</div><p>story {i}</p></body>" for i in range(20)]
+    assert _extracted(spark, pages) == ["Site closed story 0"] + [f"story {i}" for i in range(1, 20)]
+    pages = ["<body><div><p>copied</p></div></body>"] * 40 + [f"<body><div><p>own {i}</p></div><h2>more {i}</h2></body>" for i in range(3)]
+    assert _extracted(spark, pages) == ["copied"] * 40 + [f"own {i} more {i}" for i in range(3)]
+
+
 def test_given_pages_against_plain_cutting(spark):
     pages = spark.read.parquet(f"{SMALL_SF}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
