@@ -2,9 +2,10 @@
 
 Pages of one host share a template.  Each page's DOM is reduced to a tree in which runs
 of siblings of the same kind are one node (a list has any number of items), and aligned
-with the tree of the host's reference page by simple tree matching: the largest set of
-node pairs that keeps parents, order and kind.  Counted over all distinct pages of a
-host (pages of the same texts count once), a node has a template text if this stands in
+with the tree of a reference page by simple tree matching: the largest set of node pairs
+that keeps parents, order and kind.  Each layout of a host that ``FEWEST`` distinct pages
+have gets its own reference.  Counted over all distinct pages with one reference (pages
+of the same texts count once), a node has a template text if this stands in
 nearly all pages that the node occurs in; it is left out where a page has this text, and
 all else is content, also another text at the same node.
 
@@ -26,6 +27,7 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +45,9 @@ MOST_CELLS = 250_000
 TEXTUAL = frozenset("article main p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption address".split())
 #: References of all hosts are broadcast up to this many bytes, else joined by host.
 BROADCAST_BYTES = 32 << 20
+#: Parsed references that a task keeps, in characters of their pages.
+TREE_CHARS = 4 << 20
+LEVELS = ("_k0", "_k1", "_k2", "_k3")
 ADDED = ("text", "n_chars")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -286,55 +291,129 @@ def aligned(page: str, reference: Group, places: dict[int, int]) -> tuple[list[t
     return [(*((-1, 0) if held and node.tag in TEXTUAL else own.get(id(node), (-1, 0))), text) for node, held, text in parts], nodes, _mark("\n".join(t for _, _, t in every))
 
 
-def _with_references(pages: DataFrame, references: DataFrame, small: bool) -> DataFrame:
-    side = F.broadcast(references) if small else references
-    return pages.join(side, pages["_host"] == side["_h"], "left").drop("_h")
+@lru_cache(100_000)
+def _kind(kind: str) -> int:
+    return _mark(kind)
+
+
+def layout(root: Node) -> tuple[list[int], int]:
+    """Hashes of a page's layout, from the finest to the coarsest, and its number of paths.
+    A layout is the set of the paths (of kinds) to elements that may hold a block: all of
+    them, those without text elements, and these down to two elements and to one."""
+    every, boxes, depths = set(), set(), ({1}, {1})
+    work = [(c, 1, 0, True) for c in root.children if not isinstance(c, str)]
+    while work:
+        x, path, depth, box = work.pop()
+        if x.skipped or x.tag in VOID:
+            continue
+        if x.tag not in INLINE and x.tag not in ("html", "body"):
+            path, depth = (path * 0x9E3779B97F4A7C15 + _kind(x.kind)) % (1 << 64), depth + 1
+            box = box and (x.tag not in TEXTUAL or x.tag in ("article", "main"))
+            every.add(path)
+            if box:
+                boxes.add(path)
+                if depth <= 2:
+                    depths[0].add(path)
+                if depth <= 1:
+                    depths[1].add(path)
+        work.extend((c, path, depth, box) for c in x.children if not isinstance(c, str))
+    return [_mark(f"{k} {sorted(paths)}") for k, paths in enumerate((every, boxes, *depths))], len(every)
+
+
+def _layouts(rows: DataFrame) -> DataFrame:
+    """Per page with text: host, layout hashes, number of paths, hash of its texts, order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.pieces(batches, "_page"):
+            out = []
+            for page in batch.column("_page").to_pylist():
+                root = parse(page)
+                keys, paths = layout(root)
+                out.append((*keys, paths, _mark("\n".join(t for _, _, t in blocks(root)))))
+            yield pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_order"), *(pa.array(c, pa.int64()) for c in zip(*out))], ["_host", "_order", *LEVELS, "_paths", "_said"])
+
+    return rows.select("_host", "_order", "_page").mapInArrow(run, "_host string, _order long, " + ", ".join(f"{k} long" for k in (*LEVELS, "_paths", "_said"))).where("_said <> 0")
+
+
+def _with_layout(rows: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.pieces(batches, "_page"):
+            keys = [layout(parse(page))[0][0] for page in batch.column("_page").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "_layout"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("_layout", T.LongType())]))
+
+
+def _looked_up(pages: DataFrame, table: DataFrame, keys: dict[str, str], small: bool) -> DataFrame:
+    """``pages`` with the columns of ``table``, whose columns ``keys`` names."""
+    side = F.broadcast(table) if small else table
+    on = [pages[k] == side[v] for k, v in keys.items()]
+    return pages.join(side, on, "left").drop(*keys.values())
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """All columns of ``pages`` but the HTML, with text and n_chars; input columns of
     these names are replaced.
 
-    The reference of a host is one of its pages (the first in the order of a hash).  The
-    table of references is broadcast if its measured size allows, else joined by host.
-    Each page is parsed and aligned once; its blocks and the hashes of its nodes' texts are
-    written, texts are counted per host and node over distinct pages, and a block whose
-    text turns out template is left out.
+    A first pass hashes the pages' layouts.  A page belongs to the finest of its layouts
+    that ``FEWEST`` distinct pages of the host have, or else to the host.  The reference of
+    such a group is its page with the most paths (ties: the first in the order of a hash);
+    pages without text are none and belong to no group.  The tables of layouts and
+    references are broadcast if their measured size allows, else joined by their keys.
+    Each page is aligned once; its blocks and the hashes of its nodes' texts are written,
+    texts are counted per group and node over distinct pages, and a block whose text turns
+    out template is left out.
     """
     kept = [c for c in pages.columns if c not in (*ADDED, html)]
     rows = pages.select(*kept, host_of(F.col(url)).alias("_host"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("_page"))
-    first = rows.groupBy("_host").agg(F.min(F.struct(F.xxhash64("_page").alias("order"), F.col("_page").alias("page"))).alias("r"))
-    references = written(first.select(F.col("_host").alias("_h"), F.col("r.page").alias("_reference")), "page-references")
+    hashed = rows.select("_host", "_page", F.xxhash64("_page").alias("_order"))
+    seen = written(_layouts(hashed).groupBy("_host", *LEVELS, "_paths", "_said").agg(F.min("_order").alias("_order")), "page-layouts")
+    level = F.posexplode(F.array(*LEVELS, F.lit(0).cast("long"))).alias("level", "group")
+    members = seen.select("_host", "_said", F.struct((-F.col("_paths")).alias("paths"), F.col("_order").alias("order")).alias("r"), level)
+    members = members.groupBy("_host", "level", "group", "_said").agg(F.min("r").alias("r"))
+    groups = members.groupBy("_host", "level", "group").agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("r")).where((F.col("n") >= FEWEST) | (F.col("level") == len(LEVELS)))
+    known = seen.select("_host", F.col(LEVELS[0]).alias("_l"), level).distinct().join(written(groups, "page-groups"), ["_host", "level", "group"])
+    known = known.groupBy("_host", "_l").agg(F.min(F.struct("level", "group", "r")).alias("g"))
+    known = written(known.select(F.col("_host").alias("_h"), "_l", F.col("g.group").alias("_group"), F.col("g.r.order").alias("_first")), "page-group-of-layout")
+    wanted = known.select("_h", "_first").distinct()
+    few = (known.agg(F.sum(F.length("_h") + 100)).first()[0] or 0) <= BROADCAST_BYTES
+    wanted = F.broadcast(wanted) if few else wanted
+    references = hashed.join(wanted, (hashed["_host"] == wanted["_h"]) & (hashed["_order"] == wanted["_first"])).groupBy("_h", F.col("_first").alias("_f")).agg(F.min("_page").alias("_reference"))
+    references = written(references, "page-references")
     small = (references.agg(F.sum(F.length("_reference") + 100)).first()[0] or 0) <= BROADCAST_BYTES
-    more = T.StructType.fromDDL("_host string, _blocks array<struct<place: int, mark: bigint, text: string>>, _nodes array<struct<place: int, mark: bigint>>, _said bigint")
+    more = T.StructType.fromDDL("_host string, _group bigint, _blocks array<struct<place: int, mark: bigint, text: string>>, _nodes array<struct<place: int, mark: bigint>>, _said bigint")
     schema = T.StructType([*pages.select(*kept).schema.fields, *more.fields])
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, tuple] = {}
+        trees: dict[tuple, tuple] = {}
+        room = TREE_CHARS
         for batch in W.pieces(batches, "_page"):
             blocks_of, nodes_of, said = [], [], []
-            for host, page, reference in zip(*(batch.column(c).to_pylist() for c in ("_host", "_page", "_reference"))):
-                if host not in trees:
-                    if len(trees) >= 64:
+            for host, first, page, reference in zip(*(batch.column(c).to_pylist() for c in ("_host", "_first", "_page", "_reference"))):
+                if (host, first) not in trees:
+                    room -= len(reference or "")
+                    if room < 0:
                         trees.clear()
-                    tree = reduced(parse(reference))
-                    trees[host] = tree, numbered(tree)
-                parts, nodes, whole = aligned(page, *trees[host])
+                        room = TREE_CHARS - len(reference or "")
+                    tree = reduced(parse(reference or ""))
+                    trees[host, first] = tree, numbered(tree)
+                parts, nodes, whole = aligned(page, *trees[host, first])
                 blocks_of.append([{"place": p, "mark": m, "text": t} for p, m, t in parts])
                 nodes_of.append([{"place": p, "mark": m} for p, m in nodes])
                 said.append(whole)
             yield pa.RecordBatch.from_arrays([
-                *(batch.column(c) for c in kept), batch.column("_host"),
+                *(batch.column(c) for c in kept), batch.column("_host"), batch.column("_group"),
                 pa.array(blocks_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64()), ("text", pa.string())]))),
                 pa.array(nodes_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64())]))), pa.array(said, pa.int64())], schema.names)
 
-    parsed = written(_with_references(rows, references, small).select(*kept, "_host", "_page", "_reference").mapInArrow(align, schema), "page-blocks")
-    distinct = parsed.groupBy("_host", "_said").agg(F.min("_nodes").alias("_nodes"))
-    texts = distinct.select("_host", F.explode("_nodes").alias("n")).groupBy("_host", "n.place", "n.mark").agg(F.count(F.lit(1)).alias("n"))
-    nodes = texts.groupBy("_host", "place").agg(F.sum("n").alias("n"), F.max(F.struct("n", "mark")).alias("most"))
+    grouped = _looked_up(_with_layout(rows), known, {"_host": "_h", "_layout": "_l"}, few)
+    given = _looked_up(grouped, references, {"_host": "_h", "_first": "_f"}, small)
+    parsed = written(given.select(*kept, "_host", "_group", "_first", "_page", "_reference").mapInArrow(align, schema), "page-blocks")
+    distinct = parsed.where("_group IS NOT NULL").groupBy("_host", "_group", "_said").agg(F.min("_nodes").alias("_nodes"))
+    texts = distinct.select("_host", "_group", F.explode("_nodes").alias("n")).groupBy("_host", "_group", "n.place", "n.mark").agg(F.count(F.lit(1)).alias("n"))
+    nodes = texts.groupBy("_host", "_group", "place").agg(F.sum("n").alias("n"), F.max(F.struct("n", "mark")).alias("most"))
     template = nodes.where((F.col("n") >= FEWEST) & (F.col("most.n") >= SAME * F.col("n")) & (F.col("most.mark") != 0))
-    template = template.groupBy(F.col("_host").alias("_h")).agg(F.map_from_entries(F.collect_list(F.struct("place", "most.mark"))).alias("_template"))  # nodes of one page
-    marked = _with_references(parsed.drop("_nodes", "_said"), written(template, "page-templates"), small)
+    template = template.groupBy(F.col("_host").alias("_h"), F.col("_group").alias("_g")).agg(F.map_from_entries(F.collect_list(F.struct("place", "most.mark"))).alias("_template"))  # nodes of one page
+    marked = _looked_up(parsed.drop("_nodes", "_said"), written(template, "page-templates"), {"_host": "_h", "_group": "_g"}, small)
     slots = F.filter("_blocks", lambda b: ~F.coalesce(F.try_element_at("_template", b["place"]) == b["mark"], F.lit(False)))
     chosen = F.when(F.size(slots) > 0, slots).otherwise(F.col("_blocks"))  # where nothing varies, nothing is template
     return marked.select(*kept, F.array_join(F.transform(chosen, lambda b: b["text"]), " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -83,6 +83,20 @@ def test_only_the_template_text_is_left_out(spark):
     assert _extracted(spark, pages) == ["copied"] * 40 + [f"own {i} more {i}" for i in range(3)]
 
 
+def test_empty_pages_and_other_layouts_have_templates_too(spark):
+    """Neither pages without text nor one deviating page are the reference of all others."""
+    one = [f"<body><div class=top>Welcome</div><p>story {i}</p></body>" for i in range(8)]
+    two = [f"<body><section><h2>Our shop</h2><table><tr><td>item {i}</table></section></body>" for i in range(8)]
+    odd = ["", "<body></body>", "<body><pre>odd</pre></body>"]
+    assert _extracted(spark, odd + one + two) == ["", "", "odd"] + [f"story {i}" for i in range(8)] + [f"item {i}" for i in range(8)]
+
+
+def test_pages_of_rare_layouts_share_a_coarser_one(spark):
+    extra = ["", "<h2>a</h2>", "<pre>b</pre>", "<ul><li>c</ul>", "<dl><dt>d</dl>", "<h3>e</h3>"]
+    pages = [f"<body><div class=top>Welcome</div><div class=m><p>story {i}</p>{x}</div></body>" for i, x in enumerate(extra)]
+    assert _extracted(spark, pages) == [f"story {i}" + f" {' abcde'[i]}".rstrip() for i in range(6)]
+
+
 def test_given_pages_against_plain_cutting(spark):
     pages = spark.read.parquet(f"{SMALL_SF}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
