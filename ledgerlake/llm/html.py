@@ -22,7 +22,6 @@ text "".  Repeated pages are each extracted, a null URL belongs to the host "".
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import html as entities
 import re
@@ -39,8 +38,6 @@ from ledgerlake.llm.tables import written
 from ledgerlake.llm.urls import host_of
 
 FEWEST, SAME = 5, 0.9
-#: Siblings are aligned by a table of all pairs up to this many.
-MOST_CELLS = 250_000
 #: Elements that an article holds as its own text, whatever other pages say.
 TEXTUAL = frozenset("article main p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption address".split())
 #: References of all hosts are broadcast up to this many bytes, else joined by host.
@@ -184,7 +181,7 @@ def articles(root: Node) -> list[Node]:
 class Group:
     """A run of siblings of one kind: a node of the reduced tree."""
 
-    __slots__ = ("kind", "children", "members", "own")
+    __slots__ = ("kind", "children", "members", "own", "shape", "size")
 
     def __init__(self, kind: str, members: list[Node], texts: dict[int, list[str]]):
         self.kind, self.members = kind, members
@@ -199,9 +196,10 @@ def reduced(root: Node) -> Group:
     for node, _, text in blocks(root):
         texts.setdefault(id(node), []).append(text)
     top = Group(root.kind, [root], texts)
-    work = [top]
+    work, order = [top], []
     while work:
         g = work.pop()
+        order.append(g)
         runs: list[tuple[str, list[Node]]] = []
         for member in g.members:
             for c in member.children:
@@ -214,50 +212,89 @@ def reduced(root: Node) -> Group:
                     runs.append((c.kind, [c]))
         g.children = [Group(k, ms, texts) for k, ms in runs]
         work.extend(g.children)
+    for g in reversed(order):
+        g.size = 1 + sum(c.size for c in g.children)
+        g.shape = hash((g.kind, *(c.shape for c in g.children)))
     return top
 
 
-def matching(a: Group, b: Group, depth: int = 60) -> tuple[int, list[tuple[Group, Group]]]:
-    """Simple tree matching: the number of matched nodes and the pairs."""
-    if a.kind != b.kind or depth == 0:
-        return 0, []
-    m, n = len(a.children), len(b.children)
-    if m * n > MOST_CELLS:
-        return _in_order(a, b, depth)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    pairs: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(1, m + 1):
-        for j in range(1, n + 1):
-            if a.children[i - 1].kind == b.children[j - 1].kind:
-                pairs[i, j] = matching(a.children[i - 1], b.children[j - 1], depth - 1)
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + pairs.get((i, j), (0,))[0])
-    out, i, j = [(a, b)], m, n
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            out += pairs[i, j][1]
-            i, j = i - 1, j - 1
-    return best[m][n] + 1, out
-
-
-def _in_order(a: Group, b: Group, depth: int) -> tuple[int, list[tuple[Group, Group]]]:
-    """As ``matching`` for very many kinds of siblings: each child of b meets the next child
-    of its kind in a, which costs no table of all pairs."""
+def _alike(a: Group, b: Group) -> bool:
+    """Whether the trees are the same, so that every node meets its twin."""
+    return a.shape == b.shape and a.size == b.size
+
+
+def _ends(a: list[Group], b: list[Group]) -> tuple[int, int]:
+    """How many siblings at the start and at the end are the same trees: an optimal
+    matching pairs them."""
+    n = min(len(a), len(b))
+    head = next((i for i in range(n) if not _alike(a[i], b[i])), n)
+    tail = next((i for i in range(n - head) if not _alike(a[-1 - i], b[-1 - i])), n - head)
+    return head, tail
+
+
+def _places(groups: list[Group], start: int, stop: int) -> dict[str, list[int]]:
     places: dict[str, list[int]] = {}
-    for i, c in enumerate(a.children):
-        places.setdefault(c.kind, []).append(i)
-    total, out, last = 1, [(a, b)], -1
-    for c in b.children:
-        own = places.get(c.kind, [])
-        k = bisect.bisect_right(own, last)
-        if k < len(own):
-            last = own[k]
-            count, pairs = matching(a.children[last], c, depth - 1)
-            total, out = total + count, out + pairs
-    return total, out
+    for j in range(stop - 1, start - 1, -1):
+        places.setdefault(groups[j].kind, []).append(j)
+    return places
+
+
+def matching(a: Group, b: Group) -> tuple[int, list[tuple[Group, Group]]]:
+    """Simple tree matching: the number of matched nodes and the pairs.
+
+    Pairs of nodes whose parents may be matched are listed from the top and weighed from
+    the bottom, without recursion.  Siblings are matched by their heaviest common
+    subsequence, found over the pairs of one kind only (as Hunt and Szymanski do).
+    """
+    if a.kind != b.kind:
+        return 0, []
+    listed = [] if _alike(a, b) else [(a, b)]
+    for x, y in listed:  # grows
+        head, tail = _ends(x.children, y.children)
+        places = _places(y.children, head, len(y.children) - tail)
+        for c in x.children[head:len(x.children) - tail]:
+            if c.children:
+                listed += [(c, y.children[j]) for j in places.get(c.kind, ()) if y.children[j].children and not _alike(c, y.children[j])]
+    weight: dict[tuple[int, int], int] = {}
+    chosen: dict[tuple[int, int], list[tuple[Group, Group]]] = {}
+
+    def weighed(c: Group, d: Group) -> int:
+        return c.size if _alike(c, d) else weight.get((id(c), id(d)), 1)
+
+    for x, y in reversed(listed):
+        xs, ys = x.children, y.children
+        head, tail = _ends(xs, ys)
+        stop = len(ys) - tail
+        places = _places(ys, head, stop)
+        best: list[tuple[int, tuple | None]] = [(0, None)] * (stop - head + 1)  # maxima of prefixes, as a Fenwick tree
+        for c in xs[head:len(xs) - tail]:
+            for j in places.get(c.kind, ()):  # from the last, so none builds on another of c
+                total, chain, k = 0, None, j - head
+                while k:
+                    if best[k][0] > total:
+                        total, chain = best[k]
+                    k &= k - 1
+                entry = total + weighed(c, ys[j]), (chain, c, ys[j])
+                k = j - head + 1
+                while k < len(best):
+                    if best[k][0] < entry[0]:
+                        best[k] = entry
+                    k += k & -k
+        total, chain, k = 0, None, stop - head
+        while k:
+            if best[k][0] > total:
+                total, chain = best[k]
+            k &= k - 1
+        pairs = [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail:], ys[stop:])]
+        weight[id(x), id(y)] = 1 + total + sum(c.size for c, _ in pairs)
+        while chain:
+            chain, c, d = chain
+            pairs.append((c, d))
+        chosen[id(x), id(y)] = pairs
+    out = [(a, b)]
+    for x, y in out:  # grows
+        out += zip(x.children, y.children) if _alike(x, y) else chosen.get((id(x), id(y)), ())
+    return len(out), out
 
 
 def numbered(top: Group) -> dict[int, int]:

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -121,5 +122,39 @@ def test_very_many_kinds_of_siblings_and_deep_pages():
     assert html.reduced(html.parse("<p class=a1>x<p class=a2>y")).children[0].kind == "p.a0"
 
 
+def _most(a, b):
+    """Simple tree matching by definition."""
+    if a.kind != b.kind:
+        return 0
+    best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+    for i, c in enumerate(a.children):
+        for j, d in enumerate(b.children):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + _most(c, d))
+    return best[-1][-1] + 1
+
+
+def test_matching_is_the_largest():
+    rng = random.Random(7)
+
+    def made(depth):
+        return "".join(f"<div class={rng.choice('abc')}>{made(depth - 1) if depth and rng.random() < 0.7 else 'x'}</div>" for _ in range(rng.randint(1, 5)))
+
+    for _ in range(60):
+        a, b = (html.reduced(html.parse(made(4))) for _ in range(2))
+        n, pairs = html.matching(a, b)
+        assert n == len(pairs) == _most(a, b) and all(c.kind == d.kind for c, d in pairs)
+        assert len({id(c) for c, _ in pairs}) == len({id(d) for _, d in pairs}) == n
+
+
+def test_wide_and_deep_pages_are_matched_whole():
+    wide = "".join(f"<p class='{chr(97 + i % 26)}{chr(97 + i // 26)}'>x</p>" for i in range(650))
+    a, b = (html.reduced(html.parse(t)) for t in (f"{wide}<p class=late>y</p>", f"<p class=late>y</p>{wide}"))
+    assert html.matching(a, b)[0] == 651
+    a, b = (html.reduced(html.parse("<div>" * 5000 + f"<p>{k}</p>{k * '<hr>'}")) for k in (1, 2))
+    assert html.matching(a, b)[0] == 5003
+    a, b = (html.reduced(html.parse("<div>" * 5000 + f"<p>1</p>{x}")) for x in ("<h1>t", "<h2>t"))
+    assert html.matching(a, b)[0] == 5002
+
+
 def test_empty_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
