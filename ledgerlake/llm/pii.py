@@ -20,9 +20,11 @@ A value of n = a + b digits is a pair (left, right) modulo 10**a and 10**b; each
 rounds adds a keyed SHA-256 of one half to the other.  The mapping is a permutation by
 construction, so no two values of a format meet.
 
-Only SQL expressions are used: one pattern cuts a text into matches and what lies between
-them, the matches are mapped, and the pieces are joined again, all within the row.  A
-null text stays null with no matches; an empty text stays empty.
+Only SQL expressions are used: one pattern cuts a text before every place where a
+candidate begins, candidates are mapped, and from left to right each valid one that does
+not begin inside another replaces its characters, all within the row; one that fails its
+check takes nothing from those that begin inside it.  A null text stays null with no
+matches; an empty text stays empty.
 """
 
 from __future__ import annotations
@@ -39,8 +41,10 @@ _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 _DATE_ANY = r"(?:19|20)[0-9]{2}(?:-[0-9]{2}-[0-9]{2}|/[0-9]{2}/[0-9]{2})|[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)(?:19|20)[0-9]{2}"
 _MAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.){1,8}[A-Za-z]{2,24}"
-_SECRET = r"[0-9a-f]{32,64}+|[0-9A-F]{32,64}+"
-PATTERN = rf"(?<![A-Za-z0-9._%+-])(?:{_MAIL})|(?<![A-Za-z0-9])(?:{_SECRET})(?![A-Za-z0-9])|(?<![A-Za-z0-9+.])(?:{_IP}|(?:{_DATE_ANY}|{_SSN}|{_PHONE}|{_CARD})(?![A-Za-z0-9]))"
+_SECRET = r"[0-9a-f]{32,}+|[0-9A-F]{32,}+"
+_ANY = rf"(?<![A-Za-z0-9._%+-])(?:{_MAIL})|(?<![A-Za-z0-9])(?:{_SECRET})(?![A-Za-z0-9])|(?<![A-Za-z0-9+.])(?:{_IP}|(?:{_DATE_ANY}|{_SSN}|{_PHONE}|{_CARD})(?![A-Za-z0-9]))"
+#: The place before each candidate, which is group 1; candidates may overlap.
+PATTERN = rf"(?<![A-Za-z0-9])(?=({_ANY}))"
 
 
 def _whole(pattern: str) -> str:
@@ -141,13 +145,14 @@ def _mail(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    made = F.substr(_hash(key, F.lit("secret"), F.lower(value)), F.lit(1), F.length(value))
+    more = F.transform(F.sequence(F.lit(1), F.floor((F.length(value) + 63) / 64).cast("int")), lambda i: F.when(i == 1, _hash(key, F.lit("secret"), F.lower(value))).otherwise(_hash(key, F.lit("secret"), F.lower(value), i.cast("string"))))
+    made = F.substr(F.array_join(more, ""), F.lit(1), F.length(value))
     mixed = value.rlike("[0-9]") & value.rlike("[a-fA-F]")
     return F.when(mixed, F.when(value.rlike("[A-F]"), F.upper(made)).otherwise(made)).otherwise(value)
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one match of PATTERN, or the value itself if it is not valid."""
+    """The pseudonym of one candidate, or the value itself if it is not valid."""
     return (F.when(value.contains("@"), _mail(value, key))
             .when(value.rlike(_whole(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}")), _ip(value, key))
             .when(value.rlike(_whole(_DATE_ANY)), _date(value, key))
@@ -157,15 +162,32 @@ def pseudonym(value: Column, key: str) -> Column:
             .otherwise(_secret(value, key)))
 
 
+def _taken(pieces: Column) -> Column:
+    """For each piece (with piece, found, new): whether its candidate is replaced, and how
+    many characters at its start belong to this or an earlier replaced candidate."""
+    def step(state: Column, x: Column) -> Column:
+        hit = (state["rest"] == 0) & (x["found"] != x["new"])
+        covered = F.when(hit, F.length(x["found"])).otherwise(state["rest"])
+        size = F.length(x["piece"])
+        one = F.struct(hit.alias("hit"), F.least(covered, size).alias("cut"))
+        return F.struct(F.greatest(covered - size, F.lit(0)).alias("rest"), F.array_append(state["all"], one).alias("all"))
+
+    none = F.array().cast("array<struct<hit: boolean, cut: int>>")
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("rest"), none.alias("all")), step, lambda state: state["all"])
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the text's personal data replaced and ``n_found``, how many values
     were; an input column n_found is replaced.  Other columns pass through."""
     kept = [c for c in docs.columns if c != "n_found"]
     raw = F.col(text).cast("string")
-    cut = docs.select(*kept, F.coalesce(F.regexp_extract_all(raw, F.lit(PATTERN), F.lit(0)), F.array().cast("array<string>")).alias("_found"))
-    mapped = cut.select("*", F.transform("_found", lambda v: pseudonym(v, key)).alias("_new"))
-    between = F.split(raw, PATTERN, -1)
-    joined = F.array_join(F.flatten(F.zip_with(between, F.col("_new"), lambda a, b: F.array(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))), "")
-    changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-    whole = F.when(F.size("_found") == 0, raw).otherwise(joined)
-    return mapped.select(*[whole.alias(text) if c == text else F.col(c) for c in kept], changed.alias("n_found"))
+    found = docs.select(*kept, F.coalesce(F.regexp_extract_all(raw, F.lit(PATTERN), F.lit(1)), F.array().cast("array<string>")).alias("_found"))
+    cut = found.select("*", F.transform("_found", lambda v: pseudonym(v, key)).alias("_new"), F.when(F.size("_found") > 0, F.split(raw, PATTERN, -1)).alias("_cut"))
+    before = F.size("_cut") > F.size("_found")  # the text does not begin with a candidate
+    pieces = F.arrays_zip(F.when(before, F.slice("_cut", 2, F.size("_found"))).otherwise(F.col("_cut")).alias("piece"), F.col("_found").alias("found"), F.col("_new").alias("new"))
+    zipped = cut.select(*kept, F.when(before, F.col("_cut")[0]).otherwise("").alias("_head"), F.when(F.size("_found") > 0, pieces).alias("_pieces"))
+    marked = zipped.select("*", _taken(F.col("_pieces")).alias("_taken"))
+    joined = F.zip_with("_pieces", "_taken", lambda x, t: F.concat(F.when(t["hit"], x["new"]).otherwise(""), F.substr(x["piece"], t["cut"] + 1)))
+    whole = F.when(F.col("_pieces").isNull(), raw).otherwise(F.concat("_head", F.array_join(joined, "")))
+    n_found = F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(F.size(F.filter("_taken", lambda t: t["hit"])))
+    return marked.select(*[whole.alias(text) if c == text else F.col(c) for c in kept], n_found.alias("n_found"))

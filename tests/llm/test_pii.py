@@ -46,6 +46,24 @@ def test_other_numbers_stay(spark):
     assert run(spark, *CLEAN) == CLEAN
 
 
+def test_failed_candidates_hide_no_valid_ones(spark):
+    card = run(spark, "4111 1111 1111 1111")[0]
+    assert run(spark, "2020 4111 1111 1111 1111", "é 2020 4111 1111 1111 1111 2021 ü") == [f"2020 {card}", f"é 2020 {card} 2021 ü"]
+    phone = run(spark, "524-555-7373")[0]
+    assert run(spark, "1234 5678 9012 524-555-7373")[0] == f"1234 5678 9012 {phone}"
+    assert run(spark, "666-12-4111 1111 1111 1111")[0] == f"666-12-{card}"
+    df = spark.createDataFrame([(1, "2020 4111 1111 1111 1111 x 4111111111111112")], "doc_id long, text string")
+    assert pii.pseudonymise(df, "key").first()["n_found"] == 1
+
+
+def test_secrets_of_any_length(spark):
+    keys = [("0123456789abcdef" * 20)[:n] for n in (32, 64, 65, 96, 128, 320)]
+    out = run(spark, *keys, keys[3].upper())
+    for old, new in zip([*keys, keys[3]], out):
+        assert len(new) == len(old) and new.lower() != old and re.fullmatch("[0-9a-f]+|[0-9A-F]+", new)
+    assert out[6] == out[3].upper() and out[4][:64] != out[4][64:]
+
+
 def test_links_and_neighbours(spark):
     a, b, c, d = run(spark, "4111111111111111 4111111111111111", "see 4111111111111111", "", None)
     one = b.removeprefix("see ")
