@@ -7,14 +7,17 @@ the same difference and the compressed size per byte are the others, since repet
 junk shrinks under any dictionary.  A logistic curve fitted on labelled rows that the
 dictionaries have not seen turns the features into a calibrated score.
 
-Training reads at most ``PER_CLASS`` rows of each label, chosen by the hash of doc_id,
-and ``TRAIN_CHARS`` characters of each; class shares are counted over all labels.  Every
-text is scored whole.  Nulls count as empty texts and get a score like any other.  If
+Training reads at most ``PER_CLASS`` rows of each label, chosen by the hash of doc_id;
+class shares are counted over all labels.  A label's dictionary is trained on all pieces
+of its texts, or, beyond ``TRAIN_BYTES``, on as many spread over the whole texts by a hash.
+The curve's features are those of whole texts, computed in tasks, and every text is
+scored whole.  Nulls count as empty texts and get a score like any other.  If
 only one label occurs, every score is that label's share (0.5 without any labels).
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.llm import words as W
+from ledgerlake.llm.tables import written
 
-PER_CLASS, TRAIN_CHARS = 3000, 20_000
+PER_CLASS, TRAIN_BYTES = 3000, 16 << 20
 DICTIONARY, LEVEL, SAMPLE = 1 << 16, 3, 2048
 FOLDS, HELD, CUT = 5, 0, 0.3
 ADDED = ("held_out", "score", "predicted")
@@ -37,24 +41,26 @@ def fold(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """(text, label) rows to learn from, and how many labels of each kind there are."""
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame | None, dict[int, int]]:
+    """Rows to learn from (id, quality and the whole text; written), and how many labels of
+    each kind there are."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(fold() != HELD).select("doc_id", F.col("quality").cast("int").alias("quality"))
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = []
     for label in (0, 1):
         chosen += known.where(F.col("quality") == label).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()
     if not chosen:
-        return [], counts
+        return None, counts
     ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["quality"]) for r in chosen], "id long, quality int")  # 2 * per_class rows at most
-    texts = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"]).select(
-        "id", "quality", F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, TRAIN_CHARS).alias("text"))
-    rows = texts.dropDuplicates(["id", "quality"]).collect()
-    return [(r["text"], r["quality"]) for r in sorted(rows, key=lambda r: (r["quality"], r["id"]))], counts
+    texts = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"]).groupBy("id", "quality").agg(F.min(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    return written(texts, "labelled-texts"), counts
 
 
-def _dictionary(texts: list[bytes]) -> bytes:
-    pieces = [t[i:i + SAMPLE] for t in texts for i in range(0, len(t), SAMPLE)]
+def _pieces(text: bytes) -> list[bytes]:
+    return [text[i:i + SAMPLE] for i in range(0, len(text), SAMPLE)]
+
+
+def _dictionary(pieces: list[bytes]) -> bytes:
     size = min(DICTIONARY, max(1024, sum(map(len, pieces)) // 8))
     if len(pieces) < 64:
         return b"".join(pieces)[-size:]  # too few to train on: their text itself serves
@@ -96,28 +102,73 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a @ self.weights, -30, 30)))
 
 
+def _roles(n: int) -> tuple[list[int], list[int]]:
+    """Two of three rows of a label make its dictionary, the third fits the curve."""
+    return [i for i in range(n) if i % 3 or n < 3], [i for i in range(n) if not i % 3]
+
+
+def _constant(counts: dict[int, int]) -> float:
+    return counts.get(1, 0) / sum(counts.values()) if counts else 0.5
+
+
+def _fit(model: Model, x: np.ndarray, n: tuple[int, int], counts: dict[int, int]) -> Model:
+    """The curve on the features of n[0] bad rows, then n[1] good ones."""
+    total = sum(counts.values())
+    model.fit(x, np.repeat([0.0, 1.0], n), np.repeat([counts[k] / total / n[k] for k in (0, 1)], n) * sum(n))
+    return model
+
+
 def train(rows: list[tuple[str, int]], counts: dict[int, int]) -> Model:
-    """Two of three rows make the dictionaries, the third fits the curve."""
+    """A model from texts at hand."""
     by = {label: [t.encode("utf-8", "surrogatepass") for t, y in rows if y == label] for label in (0, 1)}
-    made = {label: [t for i, t in enumerate(ts) if i % 3 or len(ts) < 3] for label, ts in by.items()}
-    model = Model(_dictionary(made[1]) if made[1] else b"", _dictionary(made[0]) if made[0] else b"")
-    total = sum(counts.values())
+    made = {label: [p for i in _roles(len(ts))[0] for p in _pieces(ts[i])] for label, ts in by.items()}
+    model = Model(*(_dictionary(made[k]) if made[k] else b"" for k in (1, 0)))
     if not (any(by[0]) and any(by[1])):
-        model.constant = counts.get(1, 0) / total if total else 0.5
+        model.constant = _constant(counts)
         return model
-    fit = {label: [t for i, t in enumerate(ts) if not i % 3] for label, ts in by.items()}
-    x = model.features(fit[0] + fit[1])
-    y = np.array([0.0] * len(fit[0]) + [1.0] * len(fit[1]))
-    weight = np.array([counts[0] / total / len(fit[0])] * len(fit[0]) + [counts[1] / total / len(fit[1])] * len(fit[1])) * len(y)
-    model.fit(x, y, weight)
-    return model
+    fit = [[by[k][i] for i in _roles(len(by[k]))[1]] for k in (0, 1)]
+    return _fit(model, model.features(fit[0] + fit[1]), (len(fit[0]), len(fit[1])), counts)
+
+
+def learned(texts: DataFrame | None, counts: dict[int, int]) -> Model:
+    """A model from a table of labelled texts, which are cut and measured in tasks: pieces of
+    bounded size in all and one row of features per text reach the driver."""
+    model = Model(b"", b"")
+    sizes = texts.select("quality", "id", F.octet_length("text").alias("n")).orderBy("quality", "id").collect() if texts is not None else []
+    by = {label: [r for r in sizes if r["quality"] == label] for label in (0, 1)}
+    if not all(any(r["n"] for r in by[k]) for k in (0, 1)):
+        model.constant = _constant(counts)
+        return model
+    making, fitting = ({(k, by[k][i]["id"]) for k in (0, 1) for i in _roles(len(by[k]))[role]} for role in (0, 1))
+    share = {k: min(1.0, TRAIN_BYTES / max(1, sum(r["n"] for r in by[k] if (k, r["id"]) in making))) for k in (0, 1)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.pieces(batches):
+            rows = [(i, k, at, p) for i, k, t in zip(*(batch.column(c).to_pylist() for c in ("id", "quality", "text"))) if (k, i) in making
+                    for at, p in enumerate(_pieces(t.encode("utf-8", "surrogatepass"))) if zlib.crc32(f"{i}:{at}".encode()) < share[k] * 2**32]
+            yield pa.RecordBatch.from_pylist([dict(zip(("id", "quality", "at", "piece"), r)) for r in rows],
+                                             pa.schema([("id", pa.int64()), ("quality", pa.int32()), ("at", pa.int64()), ("piece", pa.binary())]))
+
+    pieces = sorted(texts.mapInArrow(cut, "id long, quality int, at long, piece binary").collect(), key=lambda r: (r["quality"], r["id"], r["at"]))
+    made = [[bytes(r["piece"]) for r in pieces if r["quality"] == k] for k in (0, 1)]
+    model = Model(*(_dictionary(made[k]) if made[k] else b"" for k in (1, 0)))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.pieces(batches):
+            rows = [r for r in zip(*(batch.column(c).to_pylist() for c in ("quality", "id", "text"))) if r[:2] in fitting]
+            x = model.features([t.encode("utf-8", "surrogatepass") for _, _, t in rows]).tolist() if rows else []
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array(x, pa.list_(pa.float64()))], ["quality", "id", "x"])
+
+    measured = sorted(texts.mapInArrow(measure, "quality int, id long, x array<double>").collect(), key=lambda r: (r["quality"], r["id"]))
+    n = [sum(r["quality"] == k for r in measured) for k in (0, 1)]
+    return _fit(model, np.array([r["x"] for r in measured]), (n[0], n[1]), counts)
 
 
 def classify(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with held_out, score and predicted (score >= CUT); input
     columns of these names are replaced and never used."""
-    rows, counts = sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), labels, per_class)
-    model = train(rows, counts)
+    texts, counts = sample(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), labels, per_class)
+    model = learned(texts, counts)
     kept = docs.select(*[c for c in docs.columns if c not in ADDED])
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
 

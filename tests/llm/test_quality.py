@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -40,5 +41,16 @@ def test_edge_cases(spark, docs):
     assert quality.classify(empty(spark), labels).count() == 0
 
 
+def test_long_texts_are_learned_whole(spark):
+    """Good and bad differ only behind 20,000 characters."""
+    rng = random.Random(5)
+    tails = [[f"{c}{rng.randrange(10**6)}" for _ in range(300)] for c in "bg"]
+    rows = [(i, "filler text " * 1800 + " ".join(rng.choice(tails[i % 2]) for _ in range(4000))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    got = [(r["doc_id"] % 2, r["score"]) for r in quality.classify(docs, labels).collect() if r["held_out"]]
+    assert max(s for y, s in got if not y) < 0.3 < min(s for y, s in got if y)
+
+
 def test_a_constant_score_without_one_class():
     assert quality.train([("good text", 1)], {1: 5}).scores([b"x"]) == pytest.approx([1.0])
