@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import oracles
 from ledgerlake.llm.tables import read
 
 #: Key of the registered query; a real run passes its own secret.
@@ -74,9 +75,33 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.collocations import collocations
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.secret_scan import BASE_RULES, scan
+    base = [r.kind for r in BASE_RULES]
+
+    def listed(found: Column) -> Column:
+        return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    found = F.col("secrets")
+    counts = [F.size(F.filter(found, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    return scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *counts, F.sha2(listed(F.filter(found, lambda x: x["kind"].isin(base))), 256).alias("base_sha256"), listed(found).alias("spans"))
+
+
+def op13_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlake.llm.manifest import manifest
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return manifest(read(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_license_scans, op3_url_filters, op4_substring_dedup, op5_quality_classifier, op6_html_extraction, op7_ngram_jaccard_join, op8_source_mixture,
-    op9_pii_pseudonyms, op10_benchmark_decontamination)}
+    op9_pii_pseudonyms, op10_benchmark_decontamination, op11_phrase_collocations, op12_secret_scans, op13_merkle_dataset_manifest)}
 
 _URL = """SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
@@ -143,4 +168,4 @@ SELECT doc_id, domain, lang, source, tokens::bigint AS tokens, epoch FROM (
     SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM every)
 WHERE epoch < whole OR upto <= rest"""
 
-ORACLE: dict[str, str] = {"op3_url_filters": _OP3, "op8_source_mixture": _OP8}
+ORACLE: dict[str, str] = {"op3_url_filters": _OP3, "op8_source_mixture": _OP8, **oracles.ORACLE}

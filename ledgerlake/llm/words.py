@@ -58,9 +58,10 @@ class Words:
     """Words of consecutive texts: ``start`` and ``end`` byte positions in ``data``, and
     ``first[i]:first[i + 1]`` the words of text i."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: str):
-        self.data, self.offsets, self.lower = data, offsets, kind == "alnum"
-        inside = (_ALNUM_ANY_CASE if self.lower else SPACED)[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, kind: str, inside: np.ndarray | None = None, lower: bool | None = None):
+        """``inside`` and ``lower`` override the kind's bytes of words and lower-casing."""
+        self.data, self.offsets, self.lower = data, offsets, kind == "alnum" if lower is None else lower
+        inside = (inside if inside is not None else _ALNUM_ANY_CASE if self.lower else SPACED)[data]
         n = len(data)
         begins, ends = inside.copy(), inside.copy()
         if n:
@@ -132,8 +133,8 @@ def whole(hashes: np.ndarray) -> np.uint64:
     return grams(hashes, len(hashes))[0] if len(hashes) else U(0)
 
 
-def of_texts(texts: pa.Array, kind: str) -> Words:
-    """Words of an Arrow string column; a null has none."""
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of an Arrow string column and the offsets of its texts in them; a null is empty."""
     if pa.types.is_string(texts.type) or pa.types.is_binary(texts.type):
         texts = texts.cast(pa.large_binary())
     if texts.null_count:
@@ -142,7 +143,12 @@ def of_texts(texts: pa.Array, kind: str) -> Words:
     offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if offsets else np.zeros(1, np.int64)
     lo, hi = int(offsets[0]), int(offsets[-1])
     raw = np.frombuffer(data, np.uint8)[lo:hi] if data is not None and hi > lo else np.empty(0, np.uint8)
-    return Words(raw, offsets - lo, kind)
+    return raw, offsets - lo
+
+
+def of_texts(texts: pa.Array, kind: str) -> Words:
+    """Words of an Arrow string column; a null has none."""
+    return Words(*buffers(texts), kind)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE) -> Iterator[pa.RecordBatch]:
