@@ -43,7 +43,9 @@ def append_new_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str
     """Rows of ``incoming`` to append to ``existing``: in-batch dedup (first row in
     ``order`` wins), then drop keys already present.  Existing rows always win.
 
-    The anti join reads only the key columns of ``existing``.
+    The anti join reads only the key columns of ``existing``.  A NULL key is a key like any
+    other: once there, it is not appended again.
     """
     fresh = latest_per_key(incoming, keys, order)
-    return fresh.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    return fresh.join(known, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")

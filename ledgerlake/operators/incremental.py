@@ -106,7 +106,9 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
     name = _partition_name(pcols)
     # Which partitions hold a delivered key: reads the key and partition columns only; a
     # delivery that is small when measured is broadcast, so the target is not shuffled.
-    holding = existing.select(*keys, *pcols).join(rows.select(*keys), list(keys), "left_semi")
+    # A NULL key is a key: it meets the NULL key that is there.
+    delivered = rows.select(*[F.col(k).alias(f"_d_{k}") for k in keys])
+    holding = existing.select(*keys, *pcols).join(delivered, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys], "left_semi")
     touched = [r["part"] for r in rows.select(name.alias("part")).union(holding.select(name.alias("part"))).distinct().collect()]
     old = existing.where(name.isin(touched))
     staged = materialize(merge(old), "upsert")

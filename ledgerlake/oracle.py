@@ -364,6 +364,21 @@ UNION ALL
 SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp), 1::BIGINT FROM raw_transactions WHERE timestamp >= {SECOND_FROM}""")
 
 ORACLE["gold_catalog_tables"] = ORACLE["fact_monthly"]
+ORACLE["incremental_gold"] = ORACLE["fact_monthly"]
+
+_FEWER_KEYS = "CASE WHEN NOT coalesce(txn_id LIKE '%7-_', false) THEN txn_id END"
+register("upsert_null_keys", f"""
+SELECT txn_id, account_id, timestamp, CAST(amount AS DOUBLE) AS amount, 'upsert' AS how
+FROM (SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {desc_all(TXN_ORDER)}) AS rn
+      FROM (SELECT * REPLACE ({_FEWER_KEYS} AS txn_id) FROM typed_transactions)
+      WHERE status = 'success' AND timestamp < {AS_OF_TS})
+WHERE rn = 1
+UNION ALL
+SELECT txn_id, account_id, timestamp, CAST(amount AS DOUBLE), 'append' FROM (
+  SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY delivery, {", ".join(f"{c} ASC NULLS FIRST" for c in ["timestamp"] + RAW_TXN_COLS)}) AS rn
+  FROM (SELECT * REPLACE ({_FEWER_KEYS} AS txn_id, CAST(timestamp AS TIMESTAMP) AS timestamp),
+               CASE WHEN timestamp < {FIRST_BEFORE} OR timestamp IS NULL THEN 1 ELSE 2 END AS delivery FROM raw_transactions))
+WHERE rn = 1""")
 
 register_gold("fact_report", """
 SELECT transaction_month, age_group, category, CAST(total_spend AS DOUBLE) AS total_spend, transaction_count

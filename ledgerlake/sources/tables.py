@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -46,23 +45,26 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
     return reader.load(path)
 
 
-def path_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """S3 for paths: a guarded read (schema resolution only, no job).  Only a missing or
-    empty directory counts as absent; a table that is there but cannot be read raises."""
-    try:
-        spark.read.format(fmt).load(path).schema
-        return True
-    except AnalysisException as e:
-        if (e.getCondition() or "").split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
+    """S3 for paths: is there a data file below the path?  Asked of the file system, so an
+    absent table costs no failed read; one that is there but unreadable fails when read."""
+    p, fs = _file_system(spark, path)
+    if not fs.exists(p):
+        return False
+    files, root = fs.listFiles(p, True), fs.makeQualified(p).toString().rstrip("/")
+    while files.hasNext():
+        below = files.next().getPath().toString()[len(root) + 1:]
+        # Hidden for Spark: names that start with a dot or, unless a partition's, an underscore.
+        if not any(n.startswith(".") or n.startswith("_") and "=" not in n for n in below.split("/")):
+            return True
+    return False
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a directory through the file system that Spark reads it with."""
     p, fs = _file_system(spark, path)
@@ -115,13 +117,45 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
-def save_as_table(df: DataFrame, name: str, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Replace a catalog table stored at ``path`` (schema may change).
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
 
-    Writes go to the given path, so the table is EXTERNAL and survives a DROP.
+def save_as_table(df: DataFrame, name: str, path: str, fmt: str = DEFAULT_FORMAT) -> None:
+    """Replace a catalog table stored below ``path`` (its schema may change).
+
+    Each version is written to a folder of its own; when it is complete, one change of the
+    table's location publishes it.  Until then, and if the write fails, readers see the
+    old version.  The version before is kept for those still reading it, older ones go.  New columns
+    are declared first, so the table can be read at any moment; only a schema that loses or
+    retypes a column drops the table and creates it again.  The table is EXTERNAL: its
+    files survive a DROP.
     """
-    (df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
-       .option("path", path).saveAsTable(name))
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(fresh)
+    before = ""
+    if table_exists(spark, name):
+        before = _location(spark, name)
+        new, old = spark.read.format(fmt).load(fresh).schema, spark.table(name).schema
+        now = {f.name: f.dataType for f in new.fields}
+        if all(now.get(f.name) == f.dataType for f in old.fields):
+            more = [f for f in new.fields if f.name not in old.names]
+            if more:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+            before = ""
+    if not table_exists(spark, name):
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{fresh}'")
+    spark.catalog.refreshTable(name)
+    kept = {x.rstrip("/").rsplit("/", 1)[-1] for x in (fresh, before)}
+    p, fs = _file_system(spark, path)
+    for entry in fs.listStatus(p):
+        if entry.getPath().getName().startswith("version-") and entry.getPath().getName() not in kept:
+            fs.delete(entry.getPath(), True)
 
 
 def preview(df: DataFrame, n: int = 5) -> list:

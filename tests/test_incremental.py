@@ -26,8 +26,8 @@ def load(spark, df, target, late):
 
 
 def snapshot(spark, target):
-    return sorted((r.txn_id, r.timestamp, float(r.amount))
-                  for r in read_table(spark, target).collect())
+    return sorted(((r.txn_id, r.timestamp, float(r.amount))
+                   for r in read_table(spark, target).collect()), key=lambda t: (t[0] is not None, t))
 
 
 def test_drop_skips_rows_at_the_mark_and_empty_loads(spark):
@@ -137,3 +137,20 @@ def test_formats_with_their_own_merge_are_refused(spark):
     df = spark.createDataFrame([("a", "x", 1, 1)], "k string, p string, t int, v int")
     with pytest.raises(ValueError):
         incremental_load(spark, df, scratch_dir(spark, "t-fmt") + "/none", keys=["k"], ts_col=None, order=["t"], fmt="csv")
+
+
+def test_null_keys_are_one_key_in_any_split(spark):
+    rows = [(None, dt.datetime(2019 - 20, 1, 1), 1.0), (None, dt.datetime(2000, 3, 1), 2.0), ("T1", dt.datetime(2000, 1, 1), 3.0), (None, dt.datetime(2000, 2, 1), 4.0)]
+    once, split = scratch_dir(spark, "t-null"), scratch_dir(spark, "t-null")
+    load(spark, txn(spark, rows), once, "upsert")
+    for row in rows:
+        load(spark, txn(spark, [row]), split, "upsert")
+    assert snapshot(spark, split) == snapshot(spark, once) and len(snapshot(spark, split)) == 2
+
+
+def test_append_knows_a_null_key(spark):
+    from ledgerlake.operators.incremental import append_new_rows
+    target = scratch_dir(spark, "t-append-null")
+    rows = [(None, dt.datetime(2000, 1, 1), 1.0), ("T1", dt.datetime(2000, 1, 1), 2.0)]
+    counts = [append_new_rows(spark, txn(spark, rows), target, keys=["txn_id"], order=["timestamp"]).written_rows for _ in range(3)]
+    assert counts == [2, 0, 0]

@@ -29,3 +29,38 @@ def test_raw_csv_keeps_declared_types_and_nulls_bad_fields(spark):
     assert back.schema == RAW_SCHEMAS["transactions"]
     r = back.first()
     assert r.merchant_id is None and r.amount == -5.5 and r.timestamp == dt.datetime(2000, 1, 1, 12)
+
+
+def test_a_failed_write_leaves_the_published_table(spark):
+    from pyspark.sql import functions as F
+    root = scratch_dir(spark, "publish")
+    db = "p_" + root.rsplit("-", 1)[-1][:8]
+    tables.create_database(spark, db, f"{root}/db")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tables.save_as_table(df, f"{db}.t", f"{root}/t")
+    reader = spark.table(f"{db}.t")
+    bad = df.withColumn("v", F.when(F.col("k") < 2, F.col("v")).otherwise(F.raise_error("half way")))
+    try:
+        tables.save_as_table(bad, f"{db}.t", f"{root}/t")
+        raise AssertionError("the write must fail")
+    except Exception as e:
+        assert "half way" in str(e)
+    assert sorted(map(tuple, spark.table(f"{db}.t").collect())) == [(1, "a"), (2, "b")]
+    tables.save_as_table(df.where("k = 1"), f"{db}.t", f"{root}/t")
+    assert spark.table(f"{db}.t").count() == 1 and reader.count() == 2     # the version before is kept for its readers
+    for _ in range(3):
+        tables.save_as_table(df, f"{db}.t", f"{root}/t")
+    p, fs = tables._file_system(spark, f"{root}/t")
+    assert len([x for x in fs.listStatus(p)]) == 2                        # older ones are gone
+    tables.save_as_table(df.select("v"), f"{db}.t", f"{root}/t")           # a column is lost
+    assert spark.table(f"{db}.t").columns == ["v"] and spark.table(f"{db}.t").count() == 2
+
+
+def test_hidden_files_are_no_table(spark):
+    root = scratch_dir(spark, "hidden")
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    df.write.parquet(f"{root}/_staging")
+    df.write.parquet(f"{root}/.tmp")
+    assert not tables.path_exists(spark, root)
+    df.write.partitionBy("v").parquet(f"{root}/t")
+    assert tables.path_exists(spark, f"{root}/t") and tables.path_exists(spark, root)
