@@ -363,6 +363,28 @@ WHERE timestamp < {FIRST_BEFORE} OR timestamp IS NULL
 UNION ALL
 SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp), 1::BIGINT FROM raw_transactions WHERE timestamp >= {SECOND_FROM}""")
 
+ORACLE["quarantine_replay"] = ORACLE["job_silver_transactions"]
+
+# Two deliveries under the drop policy, judged on a date within them.
+_LOADS = f"""
+delivered AS (SELECT *, 0 AS load_id FROM raw_transactions WHERE timestamp < {FIRST_BEFORE} OR timestamp IS NULL
+  UNION ALL SELECT *, 1 FROM raw_transactions WHERE timestamp >= {SECOND_FROM}),
+judged AS (SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp, CAST(load_id AS BIGINT) AS load_id),
+    CASE WHEN load_id = 1 AND NOT coalesce(timestamp > (SELECT max(timestamp) FROM delivered WHERE load_id = 0), false) THEN 'late'
+         WHEN coalesce(status = 'success', false) = false THEN 'not_successful'
+         WHEN coalesce(timestamp < TIMESTAMP '1999-06-30 00:00:00', false) = false THEN 'in_the_future' END AS reject_reason FROM delivered)"""
+register("quarantine_balance", """
+SELECT 'transactions' AS table_name, load_id, count(*) AS delivered_rows, count(*) FILTER (WHERE reject_reason = 'late') AS late_rows,
+       count(*) FILTER (WHERE reject_reason <> 'late') AS rejected_rows, count(*) FILTER (WHERE reject_reason IS NULL) AS valid_rows
+FROM judged GROUP BY load_id""", _LOADS)
+register("quarantine_rows", """
+SELECT txn_id, account_id, merchant_id, timestamp, CAST(amount AS DOUBLE) AS amount, status, reject_reason,
+       CASE reject_reason WHEN 'late' THEN 'bronze' ELSE 'silver' END AS stage, load_id
+FROM judged WHERE reject_reason IS NOT NULL""", _LOADS)
+register("stream_rejects", f"""
+SELECT txn_id, CAST(timestamp AS TIMESTAMP) AS timestamp, CAST(amount AS DOUBLE) AS amount, status, reason AS reject_reason, 'stream' AS stage
+FROM (SELECT *, {REASONS["transactions"]} AS reason FROM raw_transactions) WHERE reason IS NOT NULL""")
+
 ORACLE["gold_catalog_tables"] = ORACLE["fact_monthly"]
 ORACLE["incremental_gold"] = ORACLE["fact_monthly"]
 

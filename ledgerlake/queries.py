@@ -19,7 +19,7 @@ from ledgerlake.operators import incremental
 from ledgerlake.operators.joins import join_spreading_nulls
 from ledgerlake.operators.metrics import load_counts, reject_counts
 from ledgerlake.operators.windows import materialize
-from ledgerlake.plans import dashboard, dims, facts, jobs, silver
+from ledgerlake.plans import dashboard, dims, facts, jobs, quarantine, silver
 from ledgerlake.session import scratch_dir
 from ledgerlake.sources import tables
 from ledgerlake.sources.bridge import AS_OF, raw_table
@@ -291,6 +291,52 @@ def q_job_bronze(spark, sf_dir):
     return tables.read_table(spark, f"{lake}/bronze/transactions").drop(tables.CORRUPT_COLUMN)
 
 
+# Fixed value: a date that lies within the deliveries, so that rows after it are rejected at first.
+EARLY_AS_OF = "1999-06-30"
+
+
+def _drop_loads(spark, sf_dir, as_of) -> str:
+    """Two deliveries loaded under the drop policy; the lake they are in."""
+    raw_dir, lake = scratch_dir(spark, "job-raw"), scratch_dir(spark, "job-lake")
+    for delivery in _two_deliveries(raw_table(spark, sf_dir, "transactions")):
+        tables.write_raw_csv(delivery, f"{raw_dir}/transactions", "append")
+        jobs.ingest_bronze(spark, raw_dir, lake, late="drop", names=["transactions"])
+        jobs.build_silver(spark, lake, as_of=as_of, names=["transactions"])
+    return lake
+
+
+@query("quarantine_balance")
+def q_quarantine_balance(spark, sf_dir):
+    """T-4, T5, S20: per load, delivered rows = late + rejected + valid rows."""
+    return jobs.load_balance(spark, _drop_loads(spark, sf_dir, EARLY_AS_OF), "transactions")
+
+
+@query("quarantine_rows")
+def q_quarantine_rows(spark, sf_dir):
+    """T-4, T5: the rows left out, as delivered, with the reason and the load."""
+    kept = quarantine.read(spark, f"{_drop_loads(spark, sf_dir, EARLY_AS_OF)}/quarantine/transactions", "transactions")
+    return kept.select("txn_id", "account_id", "merchant_id", "timestamp", "amount", "status", "reject_reason", "stage", "load_id")
+
+
+@query("quarantine_replay")
+def q_quarantine_replay(spark, sf_dir):
+    """T-4: late rows and rows of the future are replayed under a later date and a policy that
+    admits late rows; silver is then that of one full load."""
+    lake = _drop_loads(spark, sf_dir, EARLY_AS_OF)
+    jobs.replay_quarantine(spark, lake, as_of=AS_OF, admit_late=True, names=["transactions"])
+    out = tables.read_table(spark, f"{lake}/silver/transactions", merge_schema=True)
+    return plain(out.select(*silver.SILVER_COLUMNS["transactions"]))
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """T-1, T5: the rows that the streaming load leaves out, with their reasons."""
+    src, kept = scratch_dir(spark, "stream-src"), scratch_dir(spark, "stream-rejects")
+    tables.write_raw_csv(raw_table(spark, sf_dir, "transactions"), src, "append")
+    silver_stream.run_silver_stream(spark, src, scratch_dir(spark, "stream-sink"), scratch_dir(spark, "stream-ckpt"), as_of=AS_OF, fmt="csv", quarantine_dir=kept)
+    return quarantine.read(spark, kept, "transactions").select("txn_id", "timestamp", "amount", "status", "reject_reason", "stage")
+
+
 @query("gold_catalog_tables")
 def q_gold_catalog(spark, sf_dir):
     """The gold marts written as tables of a database, and the monthly fact read

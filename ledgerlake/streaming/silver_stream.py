@@ -6,22 +6,26 @@ within the watermark -> upsert by key into the partitioned silver table, batch b
 with a checkpoint.  ``trigger(availableNow=True)`` processes what is there and stops, so
 a scheduled job resumes from its checkpoint: a rerun over the same files adds nothing.
 
-A copy is a row equal in all columns; two versions of a key are not copies, the upsert
-keeps the newer one, in whatever order they arrive.  Rows older than the watermark are
+A copy is a row equal in all columns (the state keeps a 128-bit digest of each); two versions
+of a key are not copies, the upsert keeps the newer one, in whatever order they arrive.
+Rows that fail a rule go, as they were delivered and with the reason, to the quarantine,
+by a second query over the same files with a checkpoint of its own.  Rows older than the watermark are
 late: the stateful step drops them, and their number is in the result.  The state is kept
 by RocksDB, not in the executors' heap.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.rules import STREAM_WATERMARK
 from ledgerlake.operators.incremental import upsert
+from ledgerlake.operators.metrics import reject_counts
 from ledgerlake.operators.windows import materialize
+from ledgerlake.plans import quarantine
 from ledgerlake.plans.silver import total_order_for, valid
 from ledgerlake.schemas import RAW_SCHEMAS
 
@@ -50,7 +54,28 @@ def silver_transaction_stream(raw: DataFrame, as_of=None,
     """T-1/T-2: event time as TIMESTAMP, watermark, validation, drop of copies."""
     timed = (raw.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
                 .withWatermark("timestamp", watermark))
-    return valid("transactions", timed, as_of).dropDuplicatesWithinWatermark()
+    rows = valid("transactions", timed, as_of)
+    digest = F.md5(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}))
+    return rows.withColumn("_copy", digest).dropDuplicatesWithinWatermark(["_copy"]).drop("_copy")
+
+
+def _keep_rejects(spark: SparkSession, raw: DataFrame, path: str, checkpoint_dir: str, as_of) -> dict:
+    """The rows that fail a rule, one quarantine partition per batch; their number by reason."""
+    counts: dict = {}
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch.withColumn(quarantine.LOAD_ID, F.lit(batch_id).cast("long")), "stream-rejects")
+        for r in reject_counts(rows, "transactions").collect():
+            counts[r["reject_reason"]] = counts.get(r["reject_reason"], 0) + r["rows"]
+        quarantine.keep(rows, path, "stream")
+
+    timed = raw.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
+    q = (quarantine.grade("transactions", timed, as_of, keep=()).where("reject_reason IS NOT NULL")
+         .writeStream.foreachBatch(add).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return counts
 
 
 @dataclass
@@ -59,15 +84,18 @@ class StreamResult:
     batches: int = 0
     read_rows: int = 0
     late_rows: int = 0
+    rejected: dict = field(default_factory=dict)
 
 
 def run_silver_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                       checkpoint_dir: str, *, as_of=None, fmt: str = "parquet",
                       watermark: str = STREAM_WATERMARK,
-                      max_files_per_trigger: int | None = None) -> StreamResult:
-    """T-3: run to the end of the available input and stop."""
-    stream = silver_transaction_stream(
-        raw_transaction_stream(spark, source_dir, fmt, max_files_per_trigger), as_of, watermark)
+                      max_files_per_trigger: int | None = None,
+                      quarantine_dir: str | None = None) -> StreamResult:
+    """T-3: run to the end of the available input and stop.  Rejected rows are kept below
+    ``quarantine_dir`` if it is given."""
+    raw = raw_transaction_stream(spark, source_dir, fmt, max_files_per_trigger)
+    stream = silver_transaction_stream(raw, as_of, watermark)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # Written first: a batch of a stateful query can be read once only.
@@ -88,6 +116,8 @@ def run_silver_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     if q.exception():
         raise q.exception()
     out = StreamResult(sink_dir)
+    if quarantine_dir:
+        out.rejected = _keep_rejects(spark, raw, quarantine_dir, f"{checkpoint_dir.rstrip('/')}-rejects", as_of)
     for p in q.recentProgress:
         out.batches += 1
         out.read_rows += p["numInputRows"]
