@@ -215,6 +215,10 @@ SELECT txn_id, customer_id, merchant_id, txn_date, transaction_month, age_group,
        row_number() OVER (ORDER BY amount DESC NULLS LAST, txn_id ASC NULLS FIRST) AS amount_rank
 FROM enriched""")
 
+register_gold("running_spend_carried", """
+SELECT txn_id, customer_id, txn_date, CAST(spend_amount AS DOUBLE) AS spend_amount, CAST(running_spend AS DOUBLE) AS running_spend,
+       CAST(prev_txn_spend AS DOUBLE) AS prev_txn_spend FROM enriched""")
+
 register_gold("amount_rank", """
 SELECT txn_id, CAST(amount AS DOUBLE) AS amount,
        row_number() OVER (ORDER BY amount DESC NULLS LAST, txn_id ASC NULLS FIRST) AS amount_rank
