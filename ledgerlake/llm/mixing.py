@@ -7,9 +7,10 @@ epochs.  What a child cannot use goes to its siblings with room, by their weight
 before any of it leaves the parent: a parent's supply is the sum of its leaves', so a
 shortage only rises a level when all siblings are full.
 
-A leaf's documents are ordered anew in each epoch by md5(seed, epoch, doc_id, text
-length) and taken until the leaf's budget is reached: the longest prefix whose tokens
-do not exceed it, whole epochs first.
+A leaf's documents are ordered anew in each epoch by md5(seed, epoch, doc_id, md5 of the
+text) and taken until the leaf's budget is reached: the longest prefix whose tokens
+do not exceed it, whole epochs first.  A leaf falls short by less than the tokens of one
+document.
 
 Everything is DataFrame expressions.  A leaf may hold a third of all rows, so running
 sums are not taken over its rows: rows are summed per leaf and slice of the hash, the
@@ -17,8 +18,10 @@ slice in which the budget ends is found among these sums and sliced again (``SLI
 and only the last slice's rows are ordered.
 
 Tokens are the runs of characters other than ASCII white space.  Null texts and texts without tokens
-have zero tokens and are never chosen; null keys form leaves of their own; rows that
-are equal in id and text are taken in the same place, each counting.
+have zero tokens and are never chosen; null keys form leaves of their own.  Rows that are
+equal in id and text have the same place and are taken one by one; of those among which
+the budget ends, as many as fit.  An empty table gives an empty result.  Texts are read
+whole, but only their tokens' number and their hash leave the row.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.tables import written
+from ledgerlake.operators.windows import global_position, join_null_safe
 
 #: Hexadecimal digits of the hash that name a slice, level by level: 256 slices of a leaf,
 #: then 256 of the one in which its budget ends.
@@ -89,7 +93,7 @@ def _same_leaf(leaves: DataFrame) -> tuple[DataFrame, Column]:
 
 def place_of(seed: str, epoch: Column, doc_id: Column, text: Column) -> Column:
     """Where an epoch's order puts a document."""
-    return F.md5(F.concat_ws(":", F.lit(seed), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), F.length(F.coalesce(text, F.lit(""))).cast("string")))
+    return F.md5(F.concat_ws(":", F.lit(seed), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def mix(docs: DataFrame, domain: Column, budget: float | None = None, weights: dict[str, dict[str, float]] | None = None,
@@ -99,12 +103,12 @@ def mix(docs: DataFrame, domain: Column, budget: float | None = None, weights: d
     kept = [c for c in docs.columns if c not in ADDED]
     rows = docs.withColumn("domain", domain).select(*kept, "domain")
     count = written(rows.select("doc_id", "domain", "lang", "source", F.col(text).alias("text")).select(
-        "doc_id", "domain", "lang", "source", n_tokens(F.col("text")).alias("tokens"), F.length(F.coalesce("text", F.lit(""))).alias("n")).where("tokens > 0"), "mix-rows")
+        "doc_id", "domain", "lang", "source", n_tokens(F.col("text")).alias("tokens"), F.md5(F.coalesce("text", F.lit(""))).alias("h")).where("tokens > 0"), "mix-rows")
     totals = written(count.groupBy("domain", "lang", "source").agg(F.sum("tokens").alias("tokens")), "mix-totals")
     leaves = written(leaf_budgets(totals, budget, weights or {}, max_epochs).select(
         "domain", "lang", "source", F.floor(F.col("budget") / F.col("tokens")).alias("whole"), F.expr("budget - floor(budget / tokens) * tokens").alias("rest")), "mix-leaves")
     named, same = _same_leaf(leaves)
-    place = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("n").cast("string")))
+    place = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("h")))
     ordered = count.join(named, same).where("rest > 0").select("domain", "lang", "source", "tokens", "rest", place.alias("place"))
     key = ["domain", "lang", "source"]
     # The slice in which the budget ends, found level by level; ``before``: tokens ahead of it.
@@ -116,14 +120,34 @@ def mix(docs: DataFrame, domain: Column, budget: float | None = None, weights: d
         named_cut, same_cut = _same_leaf(last)
         inside = ordered.join(named_cut, same_cut & F.col("place").startswith(F.col("slice"))).select(*ordered.columns, "before")
         before = F.col("before")
-    inside = inside.withColumn("upto", F.col("before") + F.sum("tokens").over(Window.partitionBy(*key).orderBy("place")))  # equal places count together
-    cut = inside.where(F.col("upto") <= F.col("rest")).groupBy(*key).agg(F.max("place").alias("cut_place"))
+    # Rows of one place have the same text: they are one row here, with the tokens of each.
+    inside = inside.groupBy(*key, "rest", "before", "place", "tokens").agg(F.sum("tokens").alias("t"))
+    inside = inside.withColumn("upto", F.col("before") + F.sum("t").over(Window.partitionBy(*key).orderBy("place")))
+    over = F.col("upto") > F.col("rest")
+    cut = inside.groupBy(*key).agg(
+        F.max(F.when(~over, F.col("place"))).alias("cut_place"),
+        F.min(F.when(over, F.struct("place", F.floor((F.col("rest") - F.col("upto") + F.col("t")) / F.col("tokens")).alias("copies")))).alias("tie"))
     # Without a row of the slice that fits, the prefix ends where the slice begins.
-    ends = last.join(cut.withColumnsRenamed({"domain": "_d", "lang": "_l", "source": "_s"}), same, "left").select(*key, F.coalesce("cut_place", "slice").alias("end"))
+    ends = last.join(cut.withColumnsRenamed({"domain": "_d", "lang": "_l", "source": "_s"}), same, "left").select(
+        *key, F.coalesce("cut_place", "slice").alias("end"), F.when(F.col("tie.copies") > 0, F.col("tie.place")).alias("tie"), F.col("tie.copies").alias("copies"))
     named_end, same_end = _same_leaf(ends)
-    plan = written(leaves.join(named_end, same_end, "left").select(*key, "whole", "rest", "end"), "mix-plan")
+    plan = written(leaves.join(named_end, same_end, "left").select(*key, "whole", "rest", "end", "tie", "copies"), "mix-plan")
     named_plan, same_plan = _same_leaf(plan)
     full = rows.withColumn("tokens", n_tokens(F.col(text))).where("tokens > 0").join(named_plan, same_plan)
-    full = full.withColumn("part", (F.col("rest") > 0) & (place_of(seed, F.col("whole"), F.col("doc_id"), F.col(text)) <= F.coalesce("end", F.lit("g"))))
-    epochs = F.when(F.col("part"), F.sequence(F.lit(0), F.col("whole").cast("int"))).when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole").cast("int") - 1))
-    return full.withColumn("epoch", F.explode(epochs)).withColumn("place", place_of(seed, F.col("epoch"), F.col("doc_id"), F.col(text))).select(*kept, *ADDED)
+    full = full.withColumn("at", place_of(seed, F.col("whole"), F.col("doc_id"), F.col(text)))
+
+    def taken(some: DataFrame, epochs: Column) -> DataFrame:
+        out = some.withColumn("epoch", F.explode(epochs))
+        return out.withColumn("place", place_of(seed, F.col("epoch"), F.col("doc_id"), F.col(text))).select(*kept, *ADDED)
+
+    part = (F.col("rest") > 0) & (F.col("at") <= F.coalesce("end", F.lit("g")))
+    epochs = F.when(part, F.sequence(F.lit(0), F.col("whole").cast("int"))).when(F.col("whole") > 0, F.sequence(F.lit(0), F.col("whole").cast("int") - 1))
+    out = taken(full, epochs)
+    if not plan.where("tie IS NOT NULL").isEmpty():
+        # Some of the rows of a place: they are numbered, spread over tasks however many there are.
+        ties = full.where("at = tie").withColumn("_tie", F.monotonically_increasing_id())
+        ties = global_position(ties, [*key, "_tie"], "_pos")
+        start = written(ties.groupBy(*key).agg(F.min("_pos").alias("_start")), "mix-ties")
+        some = join_null_safe(ties, start, key, "inner").where(F.col("_pos") - F.col("_start") < F.col("copies"))
+        out = out.unionByName(taken(some, F.array(F.col("whole").cast("int"))))
+    return out

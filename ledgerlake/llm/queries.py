@@ -151,7 +151,7 @@ def _shares_sql(name: str, nodes: str, parent: str, node: str) -> str:
 
 
 _OP8 = f"""
-WITH d AS (SELECT doc_id, lang, source, length(coalesce(text, '')) AS n,
+WITH d AS (SELECT doc_id, lang, source, md5(coalesce(text, '')) AS h,
         ['web', 'news', 'reference', 'forum'][1 + coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{{1,9}})$', 1), '') AS bigint), 0) % 4] AS domain,
         len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS tokens FROM documents),
 rows AS (SELECT * FROM d WHERE tokens > 0),
@@ -162,10 +162,10 @@ leaf AS (SELECT domain, lang, source, sum(tokens) AS tokens, sum(tokens) * 4 AS
 {_shares_sql("mid", "SELECT l.domain, l.lang, l.w2 AS weight, sum(l.supply) AS supply, any_value(t.share) AS budget FROM leaf l JOIN top t ON l.domain IS NOT DISTINCT FROM t.domain GROUP BY l.domain, l.lang, l.w2", "domain", "lang")},
 {_shares_sql("low", "SELECT l.domain, l.lang, l.source, l.tokens, l.w3 AS weight, l.supply, m.share AS budget FROM leaf l JOIN mid m ON l.domain IS NOT DISTINCT FROM m.domain AND l.lang IS NOT DISTINCT FROM m.lang", "domain, lang", "source")},
 plan AS (SELECT domain, lang, source, tokens AS total, floor(share + 1e-6)::bigint // tokens::bigint AS whole, floor(share + 1e-6)::bigint % tokens::bigint AS rest FROM low),
-every AS (SELECT r.*, e.epoch::int AS epoch, p.whole, p.rest, md5('mix:' || e.epoch || ':' || coalesce(doc_id::varchar, '') || ':' || n) AS place
+every AS (SELECT r.*, e.epoch::int AS epoch, p.whole, p.rest, md5('mix:' || e.epoch || ':' || coalesce(doc_id::varchar, '') || ':' || h) AS place
     FROM rows r JOIN plan p ON r.domain IS NOT DISTINCT FROM p.domain AND r.lang IS NOT DISTINCT FROM p.lang AND r.source IS NOT DISTINCT FROM p.source, range(0, 5) e(epoch) WHERE e.epoch <= p.whole)
 SELECT doc_id, domain, lang, source, tokens::bigint AS tokens, epoch FROM (
-    SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM every)
+    SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source, epoch ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM every)
 WHERE epoch < whole OR upto <= rest"""
 
 ORACLE: dict[str, str] = {"op3_url_filters": _OP3, "op8_source_mixture": _OP8, **oracles.ORACLE}

@@ -58,14 +58,14 @@ def brute(rows, domain, budget, weights, max_epochs, seed):
                         out += [(i, epoch) for i, *_ in leaves[k]]
                         left, epoch = left - total, epoch + 1
                         continue
-                    groups = defaultdict(list)
-                    for i, t, n in leaves[k]:
-                        groups[hashlib.md5(":".join([seed, str(epoch), "" if i is None else str(i), str(len(t))]).encode()).hexdigest()].append((i, n))
-                    for place in sorted(groups):
-                        left -= sum(n for _, n in groups[place])
+                    def place(row):
+                        i, t, n = row
+                        return hashlib.md5(":".join([seed, str(epoch), "" if i is None else str(i), hashlib.md5(t.encode()).hexdigest()]).encode()).hexdigest()
+                    for i, t, n in sorted(leaves[k], key=place):
+                        left -= n
                         if left < 0:
                             break
-                        out += [(i, epoch) for i, _ in groups[place]]
+                        out.append((i, epoch))
                     break
     return sorted(out, key=str)
 
@@ -86,5 +86,15 @@ def test_a_short_leaf_gives_to_its_siblings_first(spark):
     assert {(r["lang"], r["source"]): r["t"] for r in got} == {("en", "a"): 10, ("en", "b"): 190, ("de", "c"): 200}
 
 
+def test_no_budget_is_lost_on_equal_ids_and_lengths(spark):
+    """Texts of one length without ids, one repeated id, and copies of one row."""
+    rows = [(None, f"{k:04d} b c d", "x") for k in range(300)] + [(7, f"{k:04d} b c d", "y") for k in range(300)] + [(9, "e f g h", "z")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string").selectExpr("*", "'en' AS lang", "extra AS source").repartition(4)
+    got = mixing.mix(df, F.lit("d"), 1801.0, {}, 1)
+    taken = {r["source"]: r["t"] for r in got.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
+    assert all(600 - 4 < t <= 600 for t in taken.values()) and len(taken) == 3
+    assert got.where("source <> 'z'").select("source", "text").distinct().count() == 300
+
+
 def test_empty_table(spark):
     assert mixing.mix(empty(spark), F.lit("d")).count() == 0
