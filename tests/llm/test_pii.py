@@ -83,6 +83,31 @@ def test_feistel_is_a_permutation(spark):
     assert out.select("text").distinct().count() == days.count() == out.where("n_found = 1").count()
 
 
+def test_no_two_dates_meet(spark):
+    """All dates with the month in front and behind: as many different ones come out."""
+    first = dt.date(1900, 1, 1)
+    days = [first + dt.timedelta(days=k) for k in range(pii.DAYS)]
+    texts = {d.strftime(f) for d in days for f in ("%d/%m/%Y", "%m/%d/%Y")}
+    assert len(texts) == 117_298
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(8)
+    got = [r["text"] for r in pii.pseudonymise(df, "k").collect()]
+    assert len(set(got)) == len(texts) and set(got) <= texts
+    assert {int(t[3:5]) > 12 for t in got if int(t[3:5]) > 12} == {True} and sum(int(t[3:5]) > 12 for t in got) == sum(int(t[3:5]) > 12 for t in texts)
+
+
+def test_social_security_numbers_stay_valid(spark):
+    ids = [f"{a:03d}-{b:02d}-{c:04d}" for a in (1, 123, 665, 667, 899) for b in (1, 50, 99) for c in range(1, 9999, 97)]
+    df = spark.createDataFrame([(t,) for t in ids], "text string").repartition(8)
+    got = [r["text"] for r in pii.pseudonymise(df, "k").collect()]
+    assert len(set(got)) == len(ids) and not [t for t in got if re.match("000|666|9", t) or t[4:6] == "00" or t[7:] == "0000"]
+
+
+def test_very_many_values_in_one_text(spark):
+    days = [(dt.date(1900, 1, 1) + dt.timedelta(days=k)).isoformat() for k in range(60_000)]
+    out = pii.pseudonymise(spark.createDataFrame([(" ".join(days),)], "text string"), "k").first()
+    assert out["n_found"] == len(days) and len(set(out["text"].split(" "))) == len(days)
+
+
 def test_given_documents(spark, docs):
     got = pii.pseudonymise(docs.withColumn("n_found", F.lit("clash")), "key")
     assert got.columns == [c for c in docs.columns] + ["n_found"] and got.count() == docs.count()
