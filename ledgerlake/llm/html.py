@@ -61,13 +61,49 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           **{t: {"p"} for t in "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()}}
 #: ... but not beyond these.
 SCOPES = frozenset("table ul ol dl div article section main body html td th aside nav footer header form blockquote".split())
-_PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s<>/]*)[^<>]*(?:>|(?=<)|\Z)|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.DOTALL)
+_PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s<>/]*)[^<>]*(?:>|(?=<)|\Z)|(<(?=[a-zA-Z]))|([^<]+|<)", re.DOTALL)
+_NAME_END, _SPECIAL = re.compile(r"[\s>/]"), re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.IGNORECASE)
 
 
 _NUMBER = re.compile("[0-9]+")
 
 
+class _Ends:
+    """Where start tags of a page end, in time linear in the page.
+
+    A tag ends at the first ">" outside quotes.  From a quote on, that place depends on the
+    quote alone, so it is found once for each; a search that starts before the last one's
+    result and after its start has the same result.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+        self.seen = {_NAME_END: (0, -1), _SPECIAL: (0, -1)}
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        start, found = self.seen[pattern]
+        if not start <= at <= found:
+            m = pattern.search(self.page, at)
+            found = m.start() if m else len(self.page)
+            self.seen[pattern] = at, found
+        return found
+
+    def of(self, at: int) -> tuple[int, int] | None:
+        """End of the name that begins at ``at`` and place of the tag's ">", if it has one."""
+        name = self._next(_NAME_END, at)
+        quote, passed = self._next(_SPECIAL, name), []
+        while quote < len(self.page) and self.page[quote] != ">" and quote not in self.known:
+            passed.append(quote)
+            close = self.page.find(self.page[quote], quote + 1)
+            m = _SPECIAL.search(self.page, close + 1) if close >= 0 else None
+            quote = m.start() if m else len(self.page)
+        end = self.known.get(quote, quote)
+        for q in passed:
+            self.known[q] = end
+        return (name, end) if end < len(self.page) else None
+
+
 class Node:
     __slots__ = ("tag", "kind", "children", "skipped")
 
@@ -87,13 +123,19 @@ def _start(tag: str, attributes: str, inside: bool) -> Node:
 def parse(page: str) -> Node:
     """The page's tree; children are nodes and strings.  Tags may be left open."""
     root = Node("#", "#", False)
-    stack, at, inside = [root], 0, 0
+    stack, at, ends = [root], 0, _Ends(page)
     while at < len(page):
         m = _PART.match(page, at)
         if not m:
             break
         at = m.end()
-        _, cdata, end, tag, attributes, text = m.groups()
+        _, cdata, end, tag, text = m.groups()
+        if tag is not None:
+            found = ends.of(at)
+            if found:
+                tag, attributes, at = page[at:found[0]], page[found[0]:found[1]], found[1] + 1
+            else:
+                tag, text = None, "<"
         if text is not None or cdata is not None:
             stack[-1].children.append(entities.unescape(text) if text is not None else cdata)
         elif end is not None:
@@ -200,17 +242,13 @@ def reduced(root: Node) -> Group:
     while work:
         g = work.pop()
         order.append(g)
-        runs: list[tuple[str, list[Node]]] = []
+        runs: dict[str, list[Node]] = {}
         for member in g.members:
             for c in member.children:
                 if isinstance(c, str) or c.tag in ("script", "style"):
                     continue
-                same = next((r for r in runs[-8:] if r[0] == c.kind), None)
-                if same:
-                    same[1].append(c)
-                else:
-                    runs.append((c.kind, [c]))
-        g.children = [Group(k, ms, texts) for k, ms in runs]
+                runs.setdefault(c.kind, []).append(c)
+        g.children = [Group(k, ms, texts) for k, ms in runs.items()]
         work.extend(g.children)
     for g in reversed(order):
         g.size = 1 + sum(c.size for c in g.children)
@@ -392,8 +430,8 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     these names are replaced.
 
     A first pass hashes the pages' layouts.  A page belongs to the finest of its layouts
-    that ``FEWEST`` distinct pages of the host have, or else to the host.  The reference of
-    such a group is its page with the most paths (ties: the first in the order of a hash);
+    that ``FEWEST`` distinct pages of the host have, or else to the host; pages left in a group
+    with fewer join the host's largest group.  The reference of a group is its page with the most paths (ties: the first in the order of a hash);
     pages without text are none and belong to no group.  The tables of layouts and
     references are broadcast if their measured size allows, else joined by their keys.
     Each page is aligned once; its blocks and the hashes of its nodes' texts are written,
@@ -411,6 +449,16 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     known = seen.select("_host", F.col(LEVELS[0]).alias("_l"), level).distinct().join(written(groups, "page-groups"), ["_host", "level", "group"])
     known = known.groupBy("_host", "_l").agg(F.min(F.struct("level", "group", "r")).alias("g"))
     known = written(known.select(F.col("_host").alias("_h"), "_l", F.col("g.group").alias("_group"), F.col("g.r.order").alias("_first")), "page-group-of-layout")
+    # Groups that too few pages were left for: these pages join the host's largest group.
+    pages_of = seen.groupBy("_host", F.col(LEVELS[0]).alias("_k")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = known.join(pages_of, (F.col("_h") == F.col("_host")) & (F.col("_l") == F.col("_k"))).groupBy("_h", "_group", "_first").agg(F.sum("n").alias("n"))
+    sizes = written(sizes, "page-group-sizes")
+    largest = sizes.where(F.col("n") >= FEWEST).groupBy(F.col("_h").alias("_lh")).agg(F.max(F.struct("n", "_group", "_first")).alias("_main"))
+    small_groups = sizes.where(F.col("n") < FEWEST).select(F.col("_h").alias("_sh"), F.col("_group").alias("_sg")).distinct()
+    moved = small_groups.join(largest, F.col("_sh") == F.col("_lh")).select("_sh", "_sg", "_main")
+    known = known.join(moved, (F.col("_h") == F.col("_sh")) & (F.col("_group") == F.col("_sg")), "left").select(
+        "_h", "_l", F.coalesce("_main._group", "_group").alias("_group"), F.coalesce("_main._first", "_first").alias("_first"))
+    known = written(known, "page-group-of-layout")
     wanted = known.select("_h", "_first").distinct()
     few = (known.agg(F.sum(F.length("_h") + 100)).first()[0] or 0) <= BROADCAST_BYTES
     wanted = F.broadcast(wanted) if few else wanted
@@ -452,5 +500,4 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     template = template.groupBy(F.col("_host").alias("_h"), F.col("_group").alias("_g")).agg(F.map_from_entries(F.collect_list(F.struct("place", "most.mark"))).alias("_template"))  # nodes of one page
     marked = _looked_up(parsed.drop("_nodes", "_said"), written(template, "page-templates"), {"_host": "_h", "_group": "_g"}, small)
     slots = F.filter("_blocks", lambda b: ~F.coalesce(F.try_element_at("_template", b["place"]) == b["mark"], F.lit(False)))
-    chosen = F.when(F.size(slots) > 0, slots).otherwise(F.col("_blocks"))  # where nothing varies, nothing is template
-    return marked.select(*kept, F.array_join(F.transform(chosen, lambda b: b["text"]), " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return marked.select(*kept, F.array_join(F.transform(slots, lambda b: b["text"]), " ").alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -156,5 +156,36 @@ def test_wide_and_deep_pages_are_matched_whole():
     assert html.matching(a, b)[0] == 5002
 
 
+def test_ends_of_tags_against_their_definition():
+    quoted = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("<<aab >\"'/=") for _ in range(rng.randint(1, 30)))
+        ends = html._Ends(text)
+        for m in re.finditer("<(?=[a-z])", text):
+            name = re.compile(r"[^\s>/]*").match(text, m.end()).end()
+            whole = quoted.match(text, name)
+            assert ends.of(m.end()) == ((name, whole.end() - 1) if whole else None), text
+
+
+@pytest.mark.parametrize("broken", ["<a '", '<a "', "<a", "<a ", "<a 'x\"", "<", "</", "<!--", "<a b='", "<p x=\">"])
+def test_large_broken_pages_take_linear_time(broken):
+    import time
+    start = time.process_time()
+    html.parse(broken * (1_000_000 // len(broken)))
+    assert time.process_time() - start < 12
+
+
+def test_a_page_of_boilerplate_alone_has_no_text(spark):
+    pages = [f"<body><div class=top>Welcome</div>{f'<p>story {i}</p>' if i else ''}<div class=end>All the best</div></body>" for i in range(13)]
+    assert _extracted(spark, pages) == [""] + [f"story {i}" for i in range(1, 13)]
+
+
+def test_equal_siblings_far_apart_are_one_group():
+    kinds = "".join(f"<h{i % 6 + 1} class={chr(97 + i)}>x</h{i % 6 + 1}>" for i in range(12))
+    tree = html.reduced(html.parse(f"<div class=row>a</div>{kinds}<div class=row>b</div>"))
+    assert [len(c.members) for c in tree.children if c.kind == "div.row"] == [2]
+
+
 def test_empty_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
