@@ -131,14 +131,22 @@ def bound(docs: DataFrame, longest: int, least: int, cells: int) -> np.ndarray:
     return out.ravel()
 
 
-def windows(docs: DataFrame, longest: int, bits: np.ndarray) -> DataFrame:
+def windows(docs: DataFrame, longest: int, bits: np.ndarray, held: int = 500_000) -> DataFrame:
     """lang, w1, w2, ..., times: the longest windows of every word, cut before a prefix that
-    is too rare, summed over the texts that a task reads together."""
+    is too rare, summed in the tasks while they hold no more than ``held`` different ones."""
     cells = len(bits) * 8
-    schema = ", ".join(["lang string", *[f"w{k + 1} string" for k in range(longest)], "times long"])
+    keys = ["lang", *[f"w{k + 1}" for k in range(longest)]]
+    schema = ", ".join([f"{k} string" for k in keys] + ["times long"])
     packed = zstandard.ZstdCompressor(3).compress(bits.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def summed() -> pa.Table:
+            out = pa.Table.from_batches(waiting).group_by(keys, use_threads=False).aggregate([("times", "sum")]).rename_columns([*keys, "times"])
+            waiting.clear()
+            return out
+
         often = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)).astype(bool)
         for batch in W.pieces(batches, limit=4 * W.PIECE):
             piece = Piece(batch, longest)
@@ -163,7 +171,14 @@ def windows(docs: DataFrame, longest: int, bits: np.ndarray) -> DataFrame:
             for k in range(longest):
                 index = pa.array(ids[k:k + n][first] - 1, mask=length[first] <= k)
                 columns.append(distinct.take(index).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(times, pa.int64())], [*(["lang"] + [f"w{k + 1}" for k in range(longest)]), "times"])
+            waiting.append(pa.RecordBatch.from_arrays([*columns, pa.array(times, pa.int64())], [*keys, "times"]))
+            if sum(x.num_rows for x in waiting) > 2 * held:
+                waiting += summed().combine_chunks().to_batches()
+                if sum(x.num_rows for x in waiting) > held:
+                    yield from waiting
+                    waiting = []
+        if waiting:
+            yield from summed().to_batches()
 
     return docs.mapInArrow(run, schema)
 
