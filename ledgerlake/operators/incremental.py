@@ -27,6 +27,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import key_index as ki
 from ledgerlake.operators.dedup import append_new_keys, latest_per_key
 from ledgerlake.operators.metrics import observed
 from ledgerlake.operators.windows import materialize
@@ -45,6 +46,8 @@ class LoadResult:
     high_water_mark: object = None
     rewritten_partitions: list = field(default_factory=list)
     late_rows: int = 0
+    #: Partitions whose keys were read to find delivered ones; None: all of them.
+    searched_partitions: list | None = None
     rejected: dict = field(default_factory=dict)
 
 
@@ -80,8 +83,12 @@ def _changed(old: DataFrame, new: DataFrame, columns: list[str], name: Column) -
 
 
 def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequence[str], order: Sequence,
-           fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None) -> LoadResult:
-    """Merge ``rows`` into the target, newest version of every key first in ``order``."""
+           fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None, key_index: bool = False) -> LoadResult:
+    """Merge ``rows`` into the target, newest version of every key first in ``order``.
+
+    With ``key_index`` a Bloom filter per partition is kept beside the table
+    (``operators.key_index``), and only partitions that may hold a delivered key are searched.
+    """
     if fmt not in FILE_FORMATS:
         raise ValueError(f"upserts rewrite files of {FILE_FORMATS}; {fmt!r} has its own MERGE")
     rows = materialize(latest_per_key(rows, keys, order), "delivery")
@@ -89,6 +96,9 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
     if not path_exists(spark, target_path, fmt):
         counted, obs = observed(rows, "load")
         write_table(counted, target_path, fmt, "append", pcols)
+        if key_index and pcols:
+            stored = read_table(spark, target_path, fmt)
+            ki.update(spark, stored, target_path, keys, pcols, _partition_name(pcols), fmt)
         return LoadResult(target_path, obs.get["rows"])
 
     existing = read_table(spark, target_path, fmt, merge_schema=True)
@@ -104,11 +114,13 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
         return LoadResult(target_path, obs.get["rows"])
 
     name = _partition_name(pcols)
-    # Which partitions hold a delivered key: reads the key and partition columns only; a
-    # delivery that is small when measured is broadcast, so the target is not shuffled.
-    # A NULL key is a key: it meets the NULL key that is there.
+    # Which partitions hold a delivered key: reads the key and partition columns only, of the
+    # partitions that the key index leaves; a delivery that is small when measured is
+    # broadcast, so the target is not shuffled.  A NULL key is a key: it meets the NULL key that is there.
+    searched = ki.may_hold(spark, existing, rows, target_path, keys, pcols, name, fmt) if key_index else None
+    candidates = existing if searched is None else existing.where(name.isin(searched))
     delivered = rows.select(*[F.col(k).alias(f"_d_{k}") for k in keys])
-    holding = existing.select(*keys, *pcols).join(delivered, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys], "left_semi")
+    holding = candidates.select(*keys, *pcols).join(delivered, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys], "left_semi")
     touched = [r["part"] for r in rows.select(name.alias("part")).union(holding.select(name.alias("part"))).distinct().collect()]
     old = existing.where(name.isin(touched))
     staged = materialize(merge(old), "upsert")
@@ -125,14 +137,16 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
     for folder in folders:
         delete_path(spark, unquote(folder))
     spark.catalog.refreshByPath(target_path)
-    return LoadResult(target_path, written, not changed, rewritten_partitions=kept + emptied)
+    if key_index and kept:
+        ki.update(spark, read_table(spark, target_path, fmt, merge_schema=True).where(name.isin(kept)), target_path, keys, pcols, name, fmt)
+    return LoadResult(target_path, written, not changed, rewritten_partitions=kept + emptied, searched_partitions=searched)
 
 
 def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str, *,
                      keys: Sequence[str], ts_col: str | None, order: Sequence,
                      late: str = "upsert", transform: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None,
-                     write: str = "upsert") -> LoadResult:
+                     write: str = "upsert", key_index: bool = False) -> LoadResult:
     """Load ``incoming`` (optionally transformed, e.g. to silver) into ``target_path``."""
     if late not in ("drop", "upsert") or write not in ("upsert", "append"):
         raise ValueError(f"unknown policy late={late!r}, write={write!r}")
@@ -150,7 +164,7 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
         write_table(counted, target_path, fmt, "append", partition_by)
         result = LoadResult(target_path, obs.get["rows"])
     else:
-        result = upsert(spark, rows, target_path, keys=keys, order=order, fmt=fmt, partition_by=partition_by)
+        result = upsert(spark, rows, target_path, keys=keys, order=order, fmt=fmt, partition_by=partition_by, key_index=key_index)
     result.high_water_mark, result.late_rows = mark, late_rows
     return result
 

@@ -277,6 +277,8 @@ FROM raw_transactions""")
 
 register("incremental_upsert_transactions", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
 
+register("incremental_upsert_indexed", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
+
 register("incremental_drop_transactions", f"""
 SELECT {SILVER_TXN_OUT} FROM (
   SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {desc_all(TXN_ORDER)}) AS latest

@@ -214,7 +214,7 @@ def q_raw_csv_transactions(spark, sf_dir):
     return tables.read_raw_csv(spark, path, "transactions")
 
 
-def _silver_load(spark, sf_dir, late: str) -> DataFrame:
+def _silver_load(spark, sf_dir, late: str, key_index: bool = False) -> DataFrame:
     first, second = _two_deliveries(raw_table(spark, sf_dir, "transactions"))
     target = scratch_dir(spark, f"silver-{late}")
     for delivery in (first, second):
@@ -222,7 +222,7 @@ def _silver_load(spark, sf_dir, late: str) -> DataFrame:
             spark, delivery, target, keys=["txn_id"], ts_col="timestamp",
             order=silver.total_order_for("transactions"), late=late,
             transform=lambda d: silver.to_silver("transactions", d, AS_OF),
-            partition_by=silver_stream.PARTITION_COLS)
+            partition_by=silver_stream.PARTITION_COLS, key_index=key_index)
     return plain(tables.read_table(spark, target).select(*silver.SILVER_COLUMNS["transactions"]))
 
 
@@ -260,6 +260,12 @@ def q_incremental_upsert(spark, sf_dir):
     return _silver_load(spark, sf_dir, "upsert")
 
 
+@query("incremental_upsert_indexed")
+def q_incremental_upsert_indexed(spark, sf_dir):
+    """The same loads, where a key index tells which partitions may hold a delivered key."""
+    return _silver_load(spark, sf_dir, "upsert", key_index=True)
+
+
 @query("incremental_drop_transactions")
 def q_incremental_drop(spark, sf_dir):
     """S4-S10 with the high-water-mark policy: of the second delivery only rows after the
