@@ -9,15 +9,19 @@ dictionaries have not seen turns the features into a calibrated score.
 
 Training reads at most ``PER_CLASS`` rows of each label, chosen by the hash of doc_id;
 class shares are counted over all labels.  A label's dictionary is trained on all pieces
-of its texts, or, beyond ``TRAIN_BYTES``, on as many spread over the whole texts by a hash.
-The curve's features are those of whole texts, computed in tasks, and every text is
-scored whole.  Nulls count as empty texts and get a score like any other.  If
-only one label occurs, every score is that label's share (0.5 without any labels).
+of its texts: groups of about ``GROUP`` bytes each train one in a task, and where there are
+several groups, the dictionaries' own pieces are trained on again, until one is left.  Only
+that one reaches the driver.  The curve's features are those of whole texts, computed in
+tasks, and every text is scored whole, a very long one too.
+
+Nulls count as empty texts and get a score like any other.  Of rows that share an id, one
+text (the smallest) is learned and each is scored.  A document with labels of both kinds
+counts as one row of either.  If only one label occurs, every score is that label's share
+(0.5 without any labels).  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +34,8 @@ from pyspark.sql import types as T
 from ledgerlake.llm import words as W
 from ledgerlake.llm.tables import written
 
-PER_CLASS, TRAIN_BYTES = 3000, 16 << 20
+#: Labelled rows of either kind learned from, at most; bytes of text that one task trains on.
+PER_CLASS, GROUP = 3000, 16 << 20
 DICTIONARY, LEVEL, SAMPLE = 1 << 16, 3, 2048
 FOLDS, HELD, CUT = 5, 0, 0.3
 ADDED = ("held_out", "score", "predicted")
@@ -130,9 +135,42 @@ def train(rows: list[tuple[str, int]], counts: dict[int, int]) -> Model:
     return _fit(model, model.features(fit[0] + fit[1]), (len(fit[0]), len(fit[1])), counts)
 
 
-def learned(texts: DataFrame | None, counts: dict[int, int]) -> Model:
-    """A model from a table of labelled texts, which are cut and measured in tasks: pieces of
-    bounded size in all and one row of features per text reach the driver."""
+def _groups(size: int, group_bytes: int) -> int:
+    """How many groups to deal ``size`` bytes into: one, or enough for their dictionaries to be trained on."""
+    return 1 if size <= group_bytes else max(10, -(-size // group_bytes))
+
+
+def _dictionaries(pieces: DataFrame, groups: dict[int, int]) -> dict[int, bytes]:
+    """One dictionary per label from all its ``pieces`` (quality, id, at, piece), which are
+    dealt by a hash into as many ``groups``."""
+    schema = pa.schema([("quality", pa.int32()), ("id", pa.int64()), ("at", pa.int64()), ("piece", pa.binary())])
+
+    def train_group(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("id", "at", "piece"))))
+        return pa.Table.from_pylist([{"quality": table.column("quality")[0].as_py(), "id": table.column("part")[0].as_py(), "at": 0, "piece": _dictionary([p for _, _, p in rows])}], schema)
+
+    done: dict[int, bytes] = {}
+    while True:
+        of = F.lit(0).cast("long")
+        for label, n in groups.items():
+            of = F.when(F.col("quality") == label, F.pmod(F.xxhash64("id", "at"), F.lit(n))).otherwise(of)
+        made = pieces.withColumn("part", of).groupBy("quality", "part").applyInArrow(train_group, "quality int, id long, at long, piece binary")
+        made = written(made.select("quality", "id", F.col("piece").alias("text")), "dictionaries")
+        last = [k for k, n in groups.items() if n == 1]
+        done |= {r["quality"]: bytes(r["text"]) for r in made.where(F.col("quality").isin(last)).collect()}       # one row a label
+        groups = {k: _groups(n * DICTIONARY, GROUP) for k, n in groups.items() if n > 1}
+        if not groups:
+            return done
+        # A dictionary begins with tables of its own; the text is behind them.
+        text, more = F.expr("substring(text, 513, length(text))"), made.where(F.col("quality").isin(list(groups)))
+        at = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length(text) - 1) / SAMPLE)).cast("int")))
+        cut = more.select("quality", "id", text.alias("text"), at.alias("at"))
+        pieces = cut.select("quality", "id", F.col("at").cast("long").alias("at"), F.expr(f"substring(text, at * {SAMPLE} + 1, {SAMPLE})").alias("piece"))
+
+
+def learned(texts: DataFrame | None, counts: dict[int, int], group_bytes: int = GROUP) -> Model:
+    """A model from a table of labelled texts, which are cut and measured in tasks: two
+    dictionaries and one row of features per text reach the driver."""
     model = Model(b"", b"")
     sizes = texts.select("quality", "id", F.octet_length("text").alias("n")).orderBy("quality", "id").collect() if texts is not None else []
     by = {label: [r for r in sizes if r["quality"] == label] for label in (0, 1)}
@@ -140,18 +178,17 @@ def learned(texts: DataFrame | None, counts: dict[int, int]) -> Model:
         model.constant = _constant(counts)
         return model
     making, fitting = ({(k, by[k][i]["id"]) for k in (0, 1) for i in _roles(len(by[k]))[role]} for role in (0, 1))
-    share = {k: min(1.0, TRAIN_BYTES / max(1, sum(r["n"] for r in by[k] if (k, r["id"]) in making))) for k in (0, 1)}
+    groups = {k: _groups(sum(r["n"] for r in by[k] if (k, r["id"]) in making), group_bytes) for k in (0, 1)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.pieces(batches):
             rows = [(i, k, at, p) for i, k, t in zip(*(batch.column(c).to_pylist() for c in ("id", "quality", "text"))) if (k, i) in making
-                    for at, p in enumerate(_pieces(t.encode("utf-8", "surrogatepass"))) if zlib.crc32(f"{i}:{at}".encode()) < share[k] * 2**32]
+                    for at, p in enumerate(_pieces(t.encode("utf-8", "surrogatepass")))]
             yield pa.RecordBatch.from_pylist([dict(zip(("id", "quality", "at", "piece"), r)) for r in rows],
                                              pa.schema([("id", pa.int64()), ("quality", pa.int32()), ("at", pa.int64()), ("piece", pa.binary())]))
 
-    pieces = sorted(texts.mapInArrow(cut, "id long, quality int, at long, piece binary").collect(), key=lambda r: (r["quality"], r["id"], r["at"]))
-    made = [[bytes(r["piece"]) for r in pieces if r["quality"] == k] for k in (0, 1)]
-    model = Model(*(_dictionary(made[k]) if made[k] else b"" for k in (1, 0)))
+    made = _dictionaries(texts.mapInArrow(cut, "id long, quality int, at long, piece binary"), groups)
+    model = Model(*(made.get(k, b"") for k in (1, 0)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.pieces(batches):

@@ -52,5 +52,19 @@ def test_long_texts_are_learned_whole(spark):
     assert max(s for y, s in got if not y) < 0.3 < min(s for y, s in got if y)
 
 
+@pytest.mark.parametrize("group_bytes", [1 << 17, 1 << 30])
+def test_all_groups_of_text_are_learned(spark, group_bytes):
+    """Of every text only one stretch tells good from bad; with small groups the dictionary
+    is made of the groups' dictionaries, and no piece is left out."""
+    rng = random.Random(6)
+    tails = [[f"{c}{rng.randrange(10**6)}" for _ in range(300)] for c in "bg"]
+    text = lambda i, y: " ".join(rng.choice(tails[y]) for _ in range(900)) + f" {i} " + "filler text " * 900
+    texts = spark.createDataFrame([(i, i % 2, text(i, i % 2)) for i in range(90)], "id long, quality int, text string")
+    model = quality.learned(texts, {0: 45, 1: 45}, group_bytes)
+    fresh = [text(i, i // 10).encode() for i in range(20)]
+    scores = model.scores(fresh)
+    assert scores[:10].max() < 0.3 < scores[10:].min()
+
+
 def test_a_constant_score_without_one_class():
     assert quality.train([("good text", 1)], {1: 5}).scores([b"x"]) == pytest.approx([1.0])
