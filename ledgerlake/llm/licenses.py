@@ -6,10 +6,16 @@ A-Z lower-cased) joined by single spaces, so punctuation and line breaks between
 words do not matter and all places are found, overlapping ones too.  A tag is the text
 "SPDX-License-Identifier:" and the rest of its line.
 
-``score`` says how freely the text may be used: each licence has a value, OR takes the
-larger, AND the smaller, WITH (an exception that grants more) adds a tenth; notices and
-tags of one text all hold, so the smallest counts.  A text without any is 1.0.  Null
-counts as an empty text: no words, no labels, null first and last word, score 1.0.
+``score`` says how freely the text may be used: each licence has a value, OR (also written
+as a slash between two identifiers) takes the larger, AND the smaller, WITH (an exception
+that grants more) adds a tenth; notices and tags of one text all hold, so the smallest
+counts.  A phrase inside a longer one that was found ("general public license" in "lesser
+general public license") keeps its label but has no say in the score.  A text without any
+is 1.0.
+
+Null counts as an empty text: no words, no labels, null first and last word, score 1.0.
+Whole texts are read, a very long one in one piece.  Repeated rows are each scanned; an
+empty table gives an empty result; input columns named like results are replaced.
 """
 
 from __future__ import annotations
@@ -60,7 +66,7 @@ UNKNOWN = 0.5
 TAG_WORDS = "spdx license identifier"
 _TAG = re.compile(r"spdx-license-identifier:", re.ASCII | re.IGNORECASE)
 ADDED = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+(?::[A-Za-z0-9.+-]+)?")
+_TOKEN = re.compile(r"[()]|(?<=[A-Za-z0-9.+-])/(?=[A-Za-z0-9])|[A-Za-z0-9.+-]+(?::[A-Za-z0-9.+-]+)?")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
 
@@ -69,7 +75,7 @@ def postfix(expression: str) -> list[str] | None:
     it is not well formed; words after a complete expression are not part of it."""
     out, stack, operand = [], [], False
     for token in _TOKEN.findall(expression):
-        low = token.lower()
+        low = "or" if token == "/" else token.lower()
         if low in _RANK:
             if not operand:
                 return None
@@ -80,6 +86,8 @@ def postfix(expression: str) -> list[str] | None:
         elif low == "(":
             if operand:
                 break
+            if stack and stack[-1] == "with":
+                return None  # an exception is a name
             stack.append(low)
         elif low == ")":
             if not operand:
@@ -152,6 +160,16 @@ def joined(words: W.Words) -> Iterator[str]:
         yield f" {text.rstrip(' ')} " if text else " "
 
 
+def decisive(hits: list[tuple]) -> set[tuple[int, int]]:
+    """Places (end, size) of the phrases that lie inside no longer one that was found."""
+    out, reach = set(), -1
+    for start, end in sorted(((end - size + 1, end) for end, (size, _) in hits), key=lambda p: (p[0], -p[1])):
+        if end > reach:
+            out.add((end, end - start + 1))
+            reach = end
+    return out
+
+
 def tags(text: str) -> Iterator[str]:
     """What follows each identifier tag on its line."""
     for found in _TAG.finditer(text):
@@ -169,11 +187,13 @@ def scan(docs: DataFrame, text: str = "text", base: dict[str, str] = BASE, notic
         hits = list(auto.iter(line))
         if hits:
             spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+            deciding = decisive(hits)
             for end, (size, what) in hits:
                 word = int(np.searchsorted(spaces, end - size + 1))
                 for is_base, label in what:
                     labels.add(label)
-                    score = min(score, freedom(label))
+                    if (end, size) in deciding:
+                        score = min(score, freedom(label))
                     if is_base:
                         own.add(label)
                         starts.append(word)

@@ -37,13 +37,15 @@ def test_base_columns_against_brute_force(spark, docs):
     ("GPL-2.0-or-later WITH Classpath-exception-2.0 OR Proprietary", 0.5, {"gpl-2.0-or-later", "gpl-2.0-or-later-with-classpath-exception-2.0", "proprietary"}),
     ("LicenseRef-Own", 0.5, {"licenseref-own"}),
     ("MIT */ // more words", 0.95, {"mit"}),
+    ("Proprietary/Apache-2.0", 0.9, {"proprietary", "apache-2.0"}),
+    ("MIT/Apache-2.0 AND GPL-2.0-only", 0.95, {"mit", "apache-2.0", "gpl-2.0-only"}),
 ])
 def test_expressions(expression, value, names):
     got = licenses.evaluate(licenses.postfix(expression))
     assert got[0] == pytest.approx(value) and got[1] == names
 
 
-@pytest.mark.parametrize("expression", ["", "AND MIT", "(MIT", "MIT OR", "()", "OR", "(", "MIT AND (", ") MIT"])
+@pytest.mark.parametrize("expression", ["", "AND MIT", "(MIT", "MIT OR", "()", "OR", "(", "MIT AND (", ") MIT", "MIT WITH (A OR B)"])
 def test_broken_expressions_name_nothing(expression):
     assert licenses.postfix(expression) is None
 
@@ -56,5 +58,13 @@ def test_tags_and_notices(spark):
     assert got[2]["labels"] == "mit" and got[3]["labels"] == "" and got[4]["score"] == pytest.approx(0.1)
 
 
+def test_the_longest_notice_decides_the_score(spark):
+    rows = [(1, "GNU Lesser General Public License"), (2, "GNU Affero General Public License"), (3, "cc by sa"), (4, "the general public license"),
+            (5, "lesser general public license; general public license"), (6, "cc by nc and cc by")]
+    got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["score"] for i in range(1, 7)] == pytest.approx([0.6, 0.3, 0.6, 0.4, 0.4, 0.2])
+    assert got[1]["labels"] == "gpl,lgpl" and got[3]["labels"] == "cc-by,cc-by-sa" and got[5]["n_base"] == 2
+
+
 def test_empty_table(spark):
     assert licenses.scan(empty(spark)).count() == 0
