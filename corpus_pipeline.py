@@ -18,30 +18,46 @@ from ledgerlake.llm.mixing import mix
 from ledgerlake.llm.pii import pseudonymise
 from ledgerlake.llm.quality import classify
 from ledgerlake.llm.queries import PII_KEY, WEIGHTS, domain_of_source
-from ledgerlake.llm.tables import read, written
+from ledgerlake.llm.tables import read
+from ledgerlake.session import scratch_dir, scratch_scope
+from ledgerlake.sources.tables import delete_path
+
+
+#: Columns of documents; others are only carried along.
+USED = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _carrying(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``decide`` of the documents, with all columns as they came: while it runs, columns that
+    might be named like its results have other names."""
+    aside = {c: f"_carried_{i}" for i, c in enumerate(docs.columns) if c not in USED}
+    return decide(docs.withColumnsRenamed(aside)).select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    return classify(docs, read(spark, sf_dir, "labels")).where("predicted = 1").select(*docs.columns)
+    return _carrying(docs, lambda d: classify(d, read(spark, sf_dir, "labels")).where("predicted = 1"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id."""
-    return deduplicated(docs).select(*docs.columns)
+    return _carrying(docs, deduplicated)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by benchmark items go."""
-    return decontaminate(docs, read(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+    return _carrying(docs, lambda d: decontaminate(d, read(spark, sf_dir, "benchmark")).where("NOT contaminated"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by pseudonyms; n_chars follows the text."""
-    hidden = pseudonymise(docs, PII_KEY)
-    if "n_chars" in docs.columns:
-        hidden = hidden.withColumn("n_chars", F.when(F.col("n_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return hidden.select(*docs.columns)
+    def hide(d: DataFrame) -> DataFrame:
+        hidden = pseudonymise(d, PII_KEY)
+        if "n_chars" in d.columns:
+            hidden = hidden.withColumn("n_chars", F.when(F.col("n_found") > 0, F.length("text").cast(d.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        return hidden
+
+    return _carrying(docs, hide)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +79,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is written as Parquet and read by the next."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages in order; each result is written as Parquet and read by the next.  What a
+    stage wrote on its way is deleted at its end, its input once its result is complete."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_dir(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs
