@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import oracles
 from ledgerlake.llm.tables import read
+from ledgerlake.llm.urls import GENERIC
 
 #: Key of the registered query; a real run passes its own secret.
 PII_KEY = "example-key"
@@ -117,16 +118,19 @@ def _level_sql(name: str, groups: str, key: str, parents: str, parent_key: str)
 
 
 _OP3 = f"""
-WITH p AS ({_URL}),
-shown AS (SELECT host, try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\\.[a-z]+)?/?$', 1), '') AS bigint) AS doc_id FROM p),
+WITH p AS (SELECT *, regexp_replace(regexp_replace(host, '(?s)^.*@', ''), '(:[0-9]*|\\.)$', '') AS site FROM ({_URL})),
+shown AS (SELECT site, try_cast(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\\.[a-z]+)?/?$', 1), '') AS bigint) AS doc_id FROM p),
 marks AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
-sums AS (SELECT host, count(*) AS n, sum(good) AS good FROM shown JOIN marks USING (doc_id) GROUP BY host),
-per_host AS (SELECT host, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix, coalesce(n, 0) AS n, coalesce(good, 0) AS good, '' AS one
-    FROM (SELECT DISTINCT host FROM p) LEFT JOIN sums USING (host)),
+sums AS (SELECT site, count(*) AS n, sum(good) AS good FROM shown JOIN marks USING (doc_id) GROUP BY site),
+kinds AS (SELECT site, regexp_matches(site, '^([0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}|\\[[^\\]]*\\])$') AS address,
+    regexp_extract(site, '(?:^|\\.)((?:{"|".join(GENERIC)})\\.[a-z]{{2}})$', 1) AS two FROM (SELECT DISTINCT site FROM p)),
+per_host AS (SELECT site, CASE WHEN address THEN site WHEN two <> '' THEN regexp_extract(site, '([^.]*\\.)?[^.]*\\.[^.]*$') ELSE regexp_extract(site, '([^.]*\\.)?[^.]*$') END AS domain,
+    CASE WHEN address THEN site WHEN two <> '' THEN two ELSE regexp_extract(site, '[^.]*$') END AS suffix, coalesce(n, 0) AS n, coalesce(good, 0) AS good, '' AS one
+    FROM kinds LEFT JOIN sums USING (site)),
 top AS (SELECT '' AS one, (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM per_host),
 {_level_sql("suffixes", "SELECT suffix, one, sum(n) AS n, sum(good) AS good FROM per_host GROUP BY suffix, one", "suffix", "top", "one")},
 {_level_sql("domains", "SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM per_host GROUP BY domain, suffix", "domain", "suffixes", "suffix")},
-{_level_sql("hosts", "SELECT host, domain, n, good FROM per_host", "host", "domains", "domain")}
+{_level_sql("hosts", "SELECT site, domain, n, good FROM per_host", "site", "domains", "domain")}
 SELECT page_id, host, path,
     CASE WHEN block1 THEN 'example.org/en/1' WHEN block2 THEN 'example.org/es/' WHEN com_fr THEN 'com/fr/' WHEN com_de THEN 'com/de/' WHEN org THEN 'org/' END AS rule,
     CASE WHEN block1 OR block2 THEN 'block' WHEN com_fr THEN 'allow' WHEN com_de THEN 'block' WHEN org THEN 'allow'
@@ -137,7 +141,7 @@ FROM (SELECT p.*, h.mean, h.weight,
         (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') AS com_fr,
         (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') AS com_de,
         (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') AS org
-      FROM p JOIN hosts h USING (host))"""
+      FROM p JOIN hosts h USING (site))"""
 
 
 def _shares_sql(name: str, nodes: str, parent: str, node: str) -> str:

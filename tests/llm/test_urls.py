@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import urls
 
@@ -54,3 +55,31 @@ def test_outcomes_come_from_the_shown_document(spark, url, doc_id):
     pages = spark.createDataFrame([(url,)], "url string")
     labels = spark.createDataFrame([(12, 1), (12, 0), (7, 1)], "doc_id long, quality int")
     assert [r["good"] for r in urls.labelled_pages(pages, labels).collect()] == ([] if doc_id is None else [0 if doc_id == 12 else 1])
+
+
+SITES = [("a.net", "a.net", "net"), ("x.y.a.co.uk", "a.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("me:pw@a.net:8080", "a.net", "net"), ("10.0.0.1:80", "10.0.0.1", "10.0.0.1"), ("[::1]:80", "[::1]", "[::1]"),
+         ("[::1]", "[::1]", "[::1]"), ("localhost", "localhost", "localhost"), ("", "", ""), ("www.a.com.", "a.com", "com"), ("x.taco.uk", "taco.uk", "uk"), ("b.com.br", "b.com.br", "com.br"), ("1.2.3.4.5", "4.5", "5")]
+
+
+def test_registered_domains_of_sites(spark):
+    got = spark.createDataFrame([(h,) for h, _, _ in SITES], "host string").withColumn("site", urls.site_of(F.col("host"))).withColumn("suffix", urls.suffix_of(F.col("site")))
+    got = {r["host"]: (r["domain"], r["suffix"]) for r in got.withColumn("domain", urls.domain_of(F.col("site"), F.col("suffix"))).collect()}
+    assert got == {h: (d, s) for h, d, s in SITES}
+
+
+def test_suffixes_of_a_list(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("// a comment\nuk\nco.uk\n*.ck  // each label below\n!www.ck\nGitHub.io\n\ncom\n")
+    rules = urls.public_suffixes(spark, str(tmp_path / "list.txt"))
+    assert sorted(r["rule"] for r in rules.collect()) == ["!www.ck", "*.ck", "co.uk", "com", "github.io", "uk"]
+    sites = spark.createDataFrame([(s,) for s in ("a.b.co.uk", "b.uk", "x.y.foo.ck", "x.www.ck", "me.github.io", "a.net", "10.0.0.1", "")], "site string")
+    assert {r["site"]: r["suffix"] for r in urls.listed_suffixes(sites, rules).collect()} == {
+        "a.b.co.uk": "co.uk", "b.uk": "uk", "x.y.foo.ck": "foo.ck", "x.www.ck": "ck", "me.github.io": "github.io"}
+
+
+def test_ports_and_users_share_a_reputation_and_lists_part_domains(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("io\ngithub.io\n")
+    outcomes = spark.createDataFrame([(f"http://u@bad.github.io:81/{i}", 0) for i in range(60)] + [(f"http://good{k}.github.io/{i}", 1) for k in range(9) for i in range(60)], "url string, good int")
+    pages = spark.createDataFrame([(1, "http://bad.github.io/x"), (2, "http://BAD.github.io:8080/"), (3, "http://a.bad.github.io/"), (4, "http://a.good1.github.io/")], "page_id long, url string")
+    got = {r["page_id"]: r for r in urls.judge(pages, outcomes, suffixes=urls.public_suffixes(spark, str(tmp_path / "list.txt"))).collect()}
+    assert got[1]["reputation"] == got[2]["reputation"] and got[2]["host"] == "bad.github.io:8080"
+    assert [got[i]["verdict"] for i in (1, 2, 3, 4)] == ["block", "block", "block", "allow"]
