@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import key_index as ki
 from ledgerlake.operators.dedup import append_new_keys, latest_per_key
+from ledgerlake.operators.footers import stored_max
 from ledgerlake.operators.metrics import observed
 from ledgerlake.operators.windows import materialize
 from ledgerlake.schemas import RAW_SCHEMAS
-from ledgerlake.sources.tables import (DEFAULT_FORMAT, delete_path, path_exists, read_raw_csv, read_table,
-                                       replace_directory, write_raw_csv, write_table)
+from ledgerlake.sources.tables import (DEFAULT_FORMAT, declare_table, delete_path, path_exists, read_declared, read_raw_csv,
+                                       read_table, replace_directory, table_exists, write_raw_csv, write_table)
 
 FILE_FORMATS = ("parquet", "orc")
 
@@ -61,7 +62,7 @@ def newer_than(df: DataFrame, ts_col: str, mark) -> DataFrame:
     return df if mark is None else df.filter(F.col(ts_col) > F.lit(mark))
 
 
-def _partition_name(cols: Sequence[str]) -> Column:
+def partition_name(cols: Sequence[str]) -> Column:
     """One text per partition.  A filter on it uses partition columns only, so it prunes
     partitions, and takes any number of names as one list."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
@@ -83,11 +84,14 @@ def _changed(old: DataFrame, new: DataFrame, columns: list[str], name: Column) -
 
 
 def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequence[str], order: Sequence,
-           fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None, key_index: bool = False) -> LoadResult:
+           fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None, key_index: bool = False,
+           declared: str | None = None) -> LoadResult:
     """Merge ``rows`` into the target, newest version of every key first in ``order``.
 
     With ``key_index`` a Bloom filter per partition is kept beside the table
     (``operators.key_index``), and only partitions that may hold a delivered key are searched.
+    With ``declared`` a catalog table of that name holds the target's schema: files are read
+    with it instead of a merge of their footers, and columns that a load adds are added to it.
     """
     if fmt not in FILE_FORMATS:
         raise ValueError(f"upserts rewrite files of {FILE_FORMATS}; {fmt!r} has its own MERGE")
@@ -98,10 +102,12 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
         write_table(counted, target_path, fmt, "append", pcols)
         if key_index and pcols:
             stored = read_table(spark, target_path, fmt)
-            ki.update(spark, stored, target_path, keys, pcols, _partition_name(pcols), fmt)
+            ki.update(spark, stored, target_path, keys, pcols, partition_name(pcols), fmt)
+        if declared:
+            declare_table(spark, declared, target_path, rows.schema, pcols, fmt)
         return LoadResult(target_path, obs.get["rows"])
 
-    existing = read_table(spark, target_path, fmt, merge_schema=True)
+    existing = read_declared(spark, declared, target_path, fmt)
     # Columns new on either side are kept; the other side gets NULLs.
     cols = existing.columns + [c for c in rows.columns if c not in existing.columns]
     merge = lambda old: latest_per_key(old.unionByName(rows, allowMissingColumns=True).select(*cols), keys, order)
@@ -111,9 +117,11 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
             return LoadResult(target_path, 0, True)
         counted, obs = observed(staged, "load")
         replace_directory(spark, counted, target_path, fmt)
+        if declared:
+            declare_table(spark, declared, target_path, staged.schema, pcols, fmt)
         return LoadResult(target_path, obs.get["rows"])
 
-    name = _partition_name(pcols)
+    name = partition_name(pcols)
     # Which partitions hold a delivered key: reads the key and partition columns only, of the
     # partitions that the key index leaves; a delivery that is small when measured is
     # broadcast, so the target is not shuffled.  A NULL key is a key: it meets the NULL key that is there.
@@ -137,8 +145,10 @@ def upsert(spark: SparkSession, rows: DataFrame, target_path: str, *, keys: Sequ
     for folder in folders:
         delete_path(spark, unquote(folder))
     spark.catalog.refreshByPath(target_path)
+    if declared and (changed or not table_exists(spark, declared)):
+        declare_table(spark, declared, target_path, staged.schema, pcols, fmt)
     if key_index and kept:
-        ki.update(spark, read_table(spark, target_path, fmt, merge_schema=True).where(name.isin(kept)), target_path, keys, pcols, name, fmt)
+        ki.update(spark, read_declared(spark, declared, target_path, fmt).where(name.isin(kept)), target_path, keys, pcols, name, fmt)
     return LoadResult(target_path, written, not changed, rewritten_partitions=kept + emptied, searched_partitions=searched)
 
 
@@ -146,13 +156,18 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
                      keys: Sequence[str], ts_col: str | None, order: Sequence,
                      late: str = "upsert", transform: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] | None = None,
-                     write: str = "upsert", key_index: bool = False) -> LoadResult:
-    """Load ``incoming`` (optionally transformed, e.g. to silver) into ``target_path``."""
+                     write: str = "upsert", key_index: bool = False, declared: str | None = None,
+                     day_col: str | None = None) -> LoadResult:
+    """Load ``incoming`` (optionally transformed, e.g. to silver) into ``target_path``.
+
+    ``day_col``: a column of the target that holds the date of ``ts_col``; footers then tell
+    which rows can hold the high-water mark (``footers.stored_max``).
+    """
     if late not in ("drop", "upsert") or write not in ("upsert", "append"):
         raise ValueError(f"unknown policy late={late!r}, write={write!r}")
     mark, late_rows = None, 0
     if late == "drop" and ts_col and path_exists(spark, target_path, fmt):
-        mark = high_water_mark(read_table(spark, target_path, fmt), ts_col)
+        mark = stored_max(spark, target_path, ts_col, day_col, fmt)
         if mark is not None:
             late_rows = incoming.where(~F.coalesce(F.col(ts_col) > F.lit(mark), F.lit(False))).count()
         incoming = newer_than(incoming, ts_col, mark)
@@ -164,7 +179,7 @@ def incremental_load(spark: SparkSession, incoming: DataFrame, target_path: str,
         write_table(counted, target_path, fmt, "append", partition_by)
         result = LoadResult(target_path, obs.get["rows"])
     else:
-        result = upsert(spark, rows, target_path, keys=keys, order=order, fmt=fmt, partition_by=partition_by, key_index=key_index)
+        result = upsert(spark, rows, target_path, keys=keys, order=order, fmt=fmt, partition_by=partition_by, key_index=key_index, declared=declared)
     result.high_water_mark, result.late_rows = mark, late_rows
     return result
 

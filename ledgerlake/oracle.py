@@ -237,6 +237,10 @@ FROM joined GROUP BY customer_id"""
 
 register_gold("customer_spend", CUSTOMER_SPEND)
 
+register_gold("account_join_bucketed", """
+SELECT txn_id, account_id, customer_id, age_group, CAST(balance AS DOUBLE) AS balance, CAST(amount AS DOUBLE) AS amount, transaction_month
+FROM joined""")
+
 register_gold("customer_spend_top10", f"""
 SELECT * FROM ({CUSTOMER_SPEND})
 ORDER BY total_spend DESC NULLS LAST, customer_id ASC NULLS FIRST LIMIT 10""")
@@ -279,6 +283,12 @@ register("incremental_upsert_transactions", f"SELECT {SILVER_TXN_OUT} FROM silve
 
 register("incremental_upsert_indexed", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
 
+register("incremental_upsert_declared", f"SELECT {SILVER_TXN_OUT} FROM silver_transactions")
+
+register("stored_partition_metrics", """
+SELECT txn_year, txn_month, count(*) AS silver_rows, min(txn_date) AS first_day, max(txn_date) AS last_day
+FROM silver_transactions GROUP BY txn_year, txn_month""")
+
 register("incremental_drop_transactions", f"""
 SELECT {SILVER_TXN_OUT} FROM (
   SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY {desc_all(TXN_ORDER)}) AS latest

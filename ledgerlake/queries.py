@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.operators import carry, incremental
+from ledgerlake.operators import buckets, carry, incremental
+from ledgerlake.operators.footers import stored_extremes
 from ledgerlake.operators.joins import join_spreading_nulls
 from ledgerlake.operators.metrics import load_counts, reject_counts
 from ledgerlake.operators.windows import materialize
@@ -214,7 +215,7 @@ def q_raw_csv_transactions(spark, sf_dir):
     return tables.read_raw_csv(spark, path, "transactions")
 
 
-def _silver_load(spark, sf_dir, late: str, key_index: bool = False) -> DataFrame:
+def _silver_load(spark, sf_dir, late: str, **how) -> DataFrame:
     first, second = _two_deliveries(raw_table(spark, sf_dir, "transactions"))
     target = scratch_dir(spark, f"silver-{late}")
     for delivery in (first, second):
@@ -222,7 +223,7 @@ def _silver_load(spark, sf_dir, late: str, key_index: bool = False) -> DataFrame
             spark, delivery, target, keys=["txn_id"], ts_col="timestamp",
             order=silver.total_order_for("transactions"), late=late,
             transform=lambda d: silver.to_silver("transactions", d, AS_OF),
-            partition_by=silver_stream.PARTITION_COLS, key_index=key_index)
+            partition_by=silver_stream.PARTITION_COLS, **how)
     return plain(tables.read_table(spark, target).select(*silver.SILVER_COLUMNS["transactions"]))
 
 
@@ -270,7 +271,46 @@ def q_incremental_upsert_indexed(spark, sf_dir):
 def q_incremental_drop(spark, sf_dir):
     """S4-S10 with the high-water-mark policy: of the second delivery only rows after the
     mark are read; what is read is upserted by key."""
-    return _silver_load(spark, sf_dir, "drop")
+    return _silver_load(spark, sf_dir, "drop", day_col="txn_date")
+
+
+@query("incremental_upsert_declared")
+def q_incremental_upsert_declared(spark, sf_dir):
+    """The same loads into a table whose schema the catalog holds; read by its name."""
+    root = scratch_dir(spark, "declared")
+    database = "silver_" + root.rsplit("-", 1)[-1]
+    tables.create_database(spark, database, f"{root}/db")
+    _silver_load(spark, sf_dir, "upsert", declared=f"{database}.transactions")
+    return plain(spark.table(f"{database}.transactions").select(*silver.SILVER_COLUMNS["transactions"]))
+
+
+@query("stored_partition_metrics")
+def q_stored_partition_metrics(spark, sf_dir):
+    """Rows, first and last day of each partition of stored silver transactions,
+    answered by the footers of its files."""
+    target = scratch_dir(spark, "stored-silver")
+    tables.write_table(silver_table(spark, sf_dir, "transactions"), target, partition_by=silver_stream.PARTITION_COLS)
+    rows = stored_extremes(spark, target, ["txn_date"], silver_stream.PARTITION_COLS)
+    return spark.createDataFrame([(r["txn_year"], r["txn_month"], r["n"], r["min_txn_date"], r["max_txn_date"]) for r in rows],
+                                 "txn_year int, txn_month int, silver_rows long, first_day date, last_day date")
+
+
+@query("account_join_bucketed")
+def q_account_join_bucketed(spark, sf_dir):
+    """Silver transactions kept as a table bucketed by account over two overlapping
+    deliveries, and joined to accounts and customers without a shuffle of their rows."""
+    root = scratch_dir(spark, "bucketed")
+    database, target = "bucketed_" + root.rsplit("-", 1)[-1], f"{root}/silver"
+    tables.create_database(spark, database, f"{root}/db")
+    name, by, n = f"{database}.transactions", silver_stream.PARTITION_COLS, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for delivery in _two_deliveries(raw_table(spark, sf_dir, "transactions")):
+        done = incremental.incremental_load(
+            spark, delivery, target, keys=["txn_id"], ts_col="timestamp", order=silver.total_order_for("transactions"),
+            transform=lambda d: silver.to_silver("transactions", d, AS_OF), partition_by=by)
+        changed = done.rewritten_partitions if tables.table_exists(spark, name) else None
+        buckets.refresh_bucketed(spark, tables.read_table(spark, target), name, f"{root}/bucketed", "account_id", n, by, changed)
+    joined = facts.joined_transactions(buckets.joinable(spark, name, n), silver_table(spark, sf_dir, "accounts"), silver_table(spark, sf_dir, "customers"))
+    return plain(joined.select("txn_id", "account_id", "customer_id", "age_group", "balance", "amount", "transaction_month"))
 
 
 @query("append_dedup_transactions")

@@ -45,6 +45,36 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
     return reader.load(path)
 
 
+def declare_table(spark: SparkSession, name: str, path: str, schema: T.StructType, partition_by: Sequence[str] | None = None,
+                  fmt: str = DEFAULT_FORMAT) -> None:
+    """The catalog holds the schema of the table at ``path``.  Columns it does not know
+    are added; none is dropped or retyped.  Partitions that came or went are told to the
+    catalog too, so the table can be queried by name."""
+    column = lambda f: f"`{f.name}` {f.dataType.simpleString()}"
+    if not table_exists(spark, name):
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({', '.join(column(f) for f in schema.fields)}) USING {fmt}{parts} LOCATION '{path}'")
+    else:
+        known = {f.name: f.dataType for f in spark.table(name).schema.fields}
+        other = [f.name for f in schema.fields if f.name in known and known[f.name] != f.dataType]
+        if other:
+            raise ValueError(f"{name} declares other types for {other}")
+        more = [f for f in schema.fields if f.name not in known]
+        if more:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(map(column, more))})")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def read_declared(spark: SparkSession, name: str | None, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """The table at ``path`` with the schema declared for it: no footer is read to find it.
+    Without a declaration the files' schemas are merged (S11)."""
+    if not name or not table_exists(spark, name):
+        return read_table(spark, path, fmt, merge_schema=True)
+    return spark.read.format(fmt).schema(spark.table(name).schema).load(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -117,7 +147,7 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
-def _location(spark: SparkSession, name: str) -> str:
+def table_location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
     return rows[0]["data_type"] if rows else ""
 
@@ -137,7 +167,7 @@ def save_as_table(df: DataFrame, name: str, path: str, fmt: str = DEFAULT_FORMAT
     df.write.format(fmt).save(fresh)
     before = ""
     if table_exists(spark, name):
-        before = _location(spark, name)
+        before = table_location(spark, name)
         new, old = spark.read.format(fmt).load(fresh).schema, spark.table(name).schema
         now = {f.name: f.dataType for f in new.fields}
         if all(now.get(f.name) == f.dataType for f in old.fields):

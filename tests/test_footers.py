@@ -1,0 +1,51 @@
+"""Counts and extremes from footers, with the fallback for types they do not tell."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.operators.footers import extremes, footer_reads, stored_extremes, stored_max
+from ledgerlake.session import scratch_dir
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    path = scratch_dir(spark, "footers")
+    ts = F.when(F.col("id") % 11 != 0, F.expr("timestamp'2001-01-01' + make_interval(0, 0, 0, cast(id % 900 as int), 0, cast(id % 59 as int))"))
+    rows = spark.range(10000).select("id", ts.alias("ts"), F.to_date(ts).alias("day"), F.col("id").cast("string").alias("name"),
+                                     F.when(F.col("id") == 5, F.lit(float("nan"))).otherwise(F.col("id") / 3).alias("x"),
+                                     F.lit(None).cast("int").alias("none"), (F.col("id") % 7).cast("int").alias("p"))
+    rows.write.partitionBy("p").parquet(path)
+    return path
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extremes_come_from_footers(spark, stored):
+    with footer_reads(spark):
+        pushed = plan(extremes(spark.read.parquet(stored), ["id", "day"], ["p"]))
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id), MIN(day), MAX(day)" in pushed
+    for columns in (["id", "day"], ["id", "none"], ["ts", "name"], []):                 # a column of NULLs has no statistics
+        got = stored_extremes(spark, stored, columns, ["p"])
+        assert sorted(map(tuple, got)) == sorted(map(tuple, extremes(spark.read.parquet(stored), columns, ["p"]).collect())) and len(got) == 7
+    assert stored_extremes(spark, stored, [])[0]["n"] == 10000
+
+
+@pytest.mark.parametrize("column, coarse", [("id", None), ("day", None), ("ts", None), ("ts", "day"), ("ts", "name"), ("name", None), ("x", None), ("none", None), ("p", None)])
+def test_largest_value_of_any_type(spark, stored, column, coarse):
+    got, want = stored_max(spark, stored, column, coarse), spark.read.parquet(stored).agg(F.max(column)).first()[0]
+    assert got == want or (got != got and want != want)
+
+
+def test_settings_are_put_back_and_empty_tables_have_no_maximum(spark, stored):
+    names = ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")
+    before = [spark.conf.get(n) for n in names]
+    with pytest.raises(ZeroDivisionError):
+        with footer_reads(spark):
+            1 / 0
+    assert [spark.conf.get(n) for n in names] == before
+    path = scratch_dir(spark, "footers-empty")
+    spark.read.parquet(stored).limit(0).write.parquet(path)
+    assert stored_max(spark, path, "ts", "day") is None and stored_max(spark, path, "id") is None
+    assert stored_extremes(spark, path, [])[0]["n"] == 0

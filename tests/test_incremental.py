@@ -126,10 +126,10 @@ def test_partition_values_that_need_escaping(spark):
 def test_thousands_of_partitions_in_one_filter(spark):
     from pyspark.sql import functions as F
 
-    from ledgerlake.operators.incremental import _partition_name
+    from ledgerlake.operators.incremental import partition_name
     df = spark.range(4000).select(F.col("id").cast("string").alias("p"))
-    names = [r[0] for r in df.select(_partition_name(["p"])).collect()]
-    assert df.where(_partition_name(["p"]).isin(names)).count() == 4000
+    names = [r[0] for r in df.select(partition_name(["p"])).collect()]
+    assert df.where(partition_name(["p"]).isin(names)).count() == 4000
 
 
 def test_formats_with_their_own_merge_are_refused(spark):

@@ -64,3 +64,38 @@ def test_hidden_files_are_no_table(spark):
     assert not tables.path_exists(spark, root)
     df.write.partitionBy("v").parquet(f"{root}/t")
     assert tables.path_exists(spark, f"{root}/t") and tables.path_exists(spark, root)
+
+
+def test_a_declared_schema_grows_without_a_footer_merge(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.incremental import incremental_load
+    root = scratch_dir(spark, "declared")
+    db = "d_" + root.rsplit("-", 1)[-1][:8]
+    tables.create_database(spark, db, f"{root}/db")
+    name, path = f"{db}.t", f"{root}/t"
+
+    def deliver(rows, **more):
+        df = spark.createDataFrame(rows, "k string, t int, p string").withColumns(more)
+        return incremental_load(spark, df, path, keys=["k"], ts_col="t", order=["t", "p"], partition_by=["p"], declared=name)
+
+    deliver([("a", 1, "x"), ("b", 1, "y")])
+    assert spark.table(name).columns == ["k", "t", "p"] and spark.table(name).count() == 2
+    deliver([("b", 2, "z"), ("c", 2, "x")], fee=F.lit(0.5))                    # a column more, a partition less
+    read = {r["k"]: (r["t"], r["p"], r["fee"]) for r in tables.read_declared(spark, name, path).collect()}
+    assert read == {"a": (1, "x", None), "b": (2, "z", 0.5), "c": (2, "x", 0.5)}
+    assert {r["k"]: (r["t"], r["p"], r["fee"]) for r in spark.table(name).collect()} == read
+    assert deliver([("a", 1, "x")]).skipped                                    # the narrower rows again
+    sc = spark.sparkContext
+    jobs = {}
+    for kind, open_table in (("declared", lambda: tables.read_declared(spark, name, path)), ("merged", lambda: tables.read_table(spark, path, merge_schema=True))):
+        sc.setJobGroup(f"{db}-{kind}", kind)
+        assert set(open_table().columns) == {"k", "t", "p", "fee"}
+        jobs[kind] = len(sc.statusTracker().getJobIdsForGroup(f"{db}-{kind}"))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == {"declared": 0, "merged": 1}                                # a merge of footers is a job
+    try:
+        tables.declare_table(spark, name, path, spark.createDataFrame([], "k int").schema)
+        raise AssertionError("a column cannot change its type")
+    except ValueError as e:
+        assert "['k']" in str(e)
