@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,14 +65,14 @@ def _collected(spark: SparkSession, ask: Callable[[], DataFrame]) -> list:
 def extremes(table: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Row count (n) and min_c, max_c of ``columns``, per value of ``by``."""
     ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
-    count = F.coalesce(F.count(F.lit(1)), F.lit(0))       # footers of no row groups count to NULL
-    return table.groupBy(*by).agg(count.alias("n"), *ends)
+    return table.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *ends)
 
 
 def stored_extremes(spark: SparkSession, path: str, columns: Sequence[str], by: Sequence[str] = ()) -> list:
     """``extremes`` of a stored Parquet table per value of partition columns: one row each
     reaches the driver, as many as there are partitions."""
-    return _collected(spark, lambda: extremes(spark.read.parquet(path), columns, by))
+    rows = _collected(spark, lambda: extremes(spark.read.parquet(path), columns, by))
+    return [Row(**{**r.asDict(), "n": r["n"] or 0}) for r in rows]      # footers without rows count to NULL
 
 
 def stored_max(spark: SparkSession, path: str, column: str, coarse: str | None = None, fmt: str = DEFAULT_FORMAT):
