@@ -154,3 +154,19 @@ def test_append_knows_a_null_key(spark):
     rows = [(None, dt.datetime(2000, 1, 1), 1.0), ("T1", dt.datetime(2000, 1, 1), 2.0)]
     counts = [append_new_rows(spark, txn(spark, rows), target, keys=["txn_id"], order=["timestamp"]).written_rows for _ in range(3)]
     assert counts == [2, 0, 0]
+
+
+def test_a_delivery_is_written_aside_only_where_it_is_read_again(spark, monkeypatch):
+    from ledgerlake.operators import incremental
+    aside, real = [], incremental.materialize
+    monkeypatch.setattr(incremental, "materialize", lambda df, purpose: aside.append(purpose) or real(df, purpose))
+    target = scratch_dir(spark, "t-aside")
+    rows = lambda data: real(spark.createDataFrame(data, "k string, p string, t int, v int"), "t-rows")
+    load = lambda data: incremental.upsert(spark, rows(data), target, keys=["k"], order=["t", "p", "v"], partition_by=["p"], stored=True)
+    load([("a", "x", 1, 1), ("a", "y", 2, 2), ("b", "x", 1, 1), (None, "x", 1, 1)])
+    assert aside == [] and read_table(spark, target).count() == 3
+    # Two versions of a key within the delivery, one of them older than the stored one.
+    res = load([("b", "y", 3, 3), ("b", "z", 2, 9), ("a", "x", 1, 7), (None, "y", 4, 4)])
+    got = {tuple(r) for r in read_table(spark, target).select("k", "p", "t", "v").collect()}
+    assert aside == ["upsert"] and got == {("a", "y", 2, 2), ("b", "y", 3, 3), (None, "y", 4, 4)}
+    assert not any("z" in part for part in res.rewritten_partitions)
