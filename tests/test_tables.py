@@ -99,3 +99,24 @@ def test_a_declared_schema_grows_without_a_footer_merge(spark):
         raise AssertionError("a column cannot change its type")
     except ValueError as e:
         assert "['k']" in str(e)
+
+
+def test_raw_csv_is_compressed_and_read_back_whole(spark, monkeypatch):
+    monkeypatch.setattr(tables, "CSV_ROWS_PER_FILE", 40)
+    path, t = scratch_dir(spark, "csv-gz"), dt.datetime(2000, 1, 1, 12)
+    rows = [(f"T{i}", None, "", t, 1.0, "U,S", 'a"b', "ok", "pos", "c", "k", "d") for i in range(100)]
+    df = spark.createDataFrame(rows, RAW_SCHEMAS["transactions"]).coalesce(1)
+    tables.write_raw_csv(df, path)
+    back = tables.read_raw_csv(spark, path, "transactions")
+    names = {r[0] for r in back.select("_metadata.file_name").distinct().collect()}
+    assert len(names) == 3 and all(n.endswith(".csv.gz") for n in names)
+    assert back.count() == 100 and {(r.currency, r.txn_type) for r in back.collect()} == {("U,S", 'a"b')}
+
+
+def test_rows_of_one_partition_are_written_without_a_shuffle(spark):
+    path = scratch_dir(spark, "one-partition")
+    df = spark.range(40, numPartitions=4).selectExpr("id", "7 AS p")
+    for _ in range(2):
+        tables.write_table(df, path, mode="overwrite", partition_by=["p"], dynamic_overwrite=True, one_partition=True)
+    back = tables.read_table(spark, path)
+    assert back.count() == 40 and back.select("_metadata.file_name").distinct().count() == 4
