@@ -47,3 +47,15 @@ def test_csv_deliveries_and_rerun_without_new_files(spark):
     got = spark.read.parquet(sink)
     assert sorted(r.txn_id for r in got.collect()) == ["T1", "T2"]
     assert {(r.txn_year, r.txn_month) for r in got.collect()} == {(2000, 3)}
+
+
+def test_a_commit_writes_the_changes_of_the_state(spark):
+    import pathlib
+
+    from ledgerlake.session import local_path
+    src, sink, ckpt = (scratch_dir(spark, p) for p in ("l-src", "l-sink", "l-ckpt"))
+    t0 = dt.datetime(2000, 1, 1, 12, 0)
+    spark.createDataFrame(rows([("T1", t0), ("T1", t0), ("T2", t0)]), RAW_SCHEMAS["transactions"]).write.parquet(src)
+    run_silver_stream(spark, src, sink, ckpt, as_of=AS_OF)
+    assert list(pathlib.Path(local_path(ckpt)).rglob("*.changelog"))
+    assert sorted(r.txn_id for r in spark.read.parquet(sink).collect()) == ["T1", "T2"]
