@@ -48,3 +48,10 @@ def test_lag_equals_window(spark, skewed):
     assert rows(ours, ["id", "p"]) == rows(plain, ["id", "p"])
     plain = skewed.withColumn("rt", F.sum("v").over(Window.partitionBy("k").orderBy("d")))
     assert rows(ours, ["id", "rt"]) == rows(plain, ["id", "rt"])
+
+
+def test_a_value_may_be_an_expression(spark):
+    rows = spark.createDataFrame([("a", 1, "x", 2, True), ("a", 1, "y", 3, False), ("a", 2, "z", 4, True), (None, 1, "w", 5, True)], "k string, d int, id string, v int, on boolean")
+    value = F.when(F.col("on"), F.col("v")).otherwise(F.lit(0))
+    got = with_running_and_previous(rows, ["k"], "d", "id", value, "rt", "p")
+    assert {r.id: (r.rt, r.p) for r in got.collect()} == {"x": (2, None), "y": (2, 2), "z": (6, 0), "w": (5, None)}
