@@ -70,8 +70,8 @@ def extend(spark: SparkSession, delivery: DataFrame, path: str, *, key: str, ord
         return with_running_and_previous(rows, [key], order_col, tie_col, value_col, running_col, previous_col)
 
     if not tables.path_exists(spark, f"{path}/carry"):
-        rows = materialize(derive(new), "carry-rows")
-        tables.write_table(rows.select(*names, MONTH, BUCKET), f"{path}/rows", mode="overwrite", partition_by=[MONTH, BUCKET])
+        tables.write_table(derive(new).select(*names, MONTH, BUCKET), f"{path}/rows", mode="overwrite", partition_by=[MONTH, BUCKET])
+        rows = tables.read_table(spark, f"{path}/rows")
         tables.write_table(_last(rows, key, order_col, tie_col, value_col, running_col), f"{path}/carry", mode="overwrite", partition_by=[BUCKET])
         out.partitions = rows.select(MONTH, BUCKET).distinct().count()
         return out

@@ -66,3 +66,12 @@ def test_on_time_rows_touch_no_older_partition_and_repeats_change_nothing(spark)
         carry.extend(spark, frame(spark, again), path, **ARGS)
         assert collected(carry.read_carried(spark, path)) == expect
     assert carry.extend(spark, frame(spark, []), path, **ARGS) == carry.CarryResult()
+
+
+def test_the_first_delivery_is_written_once(spark, monkeypatch):
+    aside, real = [], carry.materialize
+    monkeypatch.setattr(carry, "materialize", lambda df, purpose: aside.append(purpose) or real(df, purpose))
+    rows = frame(spark, [("a", dt.date(2000, 1, d), f"t{d}", Decimal(d)) for d in (1, 2, 3)])
+    path = scratch_dir(spark, "t-carry-once")
+    carry.extend(spark, rows, path, **ARGS)
+    assert aside == ["carry-new"] and collected(carry.read_carried(spark, path)) == collected(whole(rows))
