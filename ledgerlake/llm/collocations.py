@@ -8,12 +8,18 @@ over (w1, w2, ...) then sums them by ever shorter prefixes: the windows that beg
 phrase are its occurrences, and those of a language are its words.
 
 Words behind a prefix that cannot reach ``least`` occurrences are left out of the windows
-(null) before they are shuffled.  A pass over the texts counts the n-grams of all orders
-in a table of ``cells`` counters, by hash; a counter is never below the count of an n-gram
-in it, and a phrase of at least ``least`` occurrences has only such phrases inside it, so
-no occurrence that matters is lost and all counts of the result are exact.  The table is
-of fixed size; on a corpus too large for it fewer windows are shortened, the results
-are the same.
+(null) before they are shuffled.  A pass over the texts counts words and pairs, by hash, in
+two tables of ``cells`` counters; a second one counts longer n-grams in two others, where
+all pairs inside may be frequent.  A counter is never below the count of an n-gram in it,
+and a phrase of at least ``least`` occurrences has only such phrases inside it, so no
+occurrence that matters is lost and all counts of the result are exact.  A rare n-gram
+passes only if it shares a counter in both tables.  The tables grow with the texts,
+``BYTES`` of text to a counter, up to ``CELLS`` counters; on a corpus too large for that
+fewer windows are shortened, the results are the same.
+
+Each of these passes runs in one task per core, however many files or splits the texts
+have: a task sends each different window and each counter once, so what is sent grows
+with the number of different frequent windows and not also with that of the splits.
 
 Candidates are phrases of 2 to LONGEST words with at least ``least`` occurrences.  A cut
 into two parts with l and r occurrences scores floor(1000 * a * n / (l * r)), in exact
@@ -42,7 +48,10 @@ from ledgerlake.llm.tables import written
 
 #: Words of the longest phrase, occurrences of a candidate, rows per language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-CELLS = 1 << 24
+#: A counter for so many bytes of text; the most in one of the two tables of a task, of a byte each.
+BYTES, CELLS = 128, 1 << 27
+#: Words and pairs are counted before longer n-grams.
+FIRST = 2
 #: Counters are sent in pieces of so many, and stop at CEILING.
 CHUNK, CEILING = 1 << 14, 255
 
@@ -50,6 +59,10 @@ _BREAK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
 _GAP = _BREAK | np.isin(np.arange(256), [32, 9])
 
 
+#: Orders of n-grams, and for each of their counters, in one bit, whether it may reach ``least``.
+Table = tuple[range, np.ndarray]
+
+
 class Piece:
     """Words of a batch: their ``hashes``, languages ``lang`` (numbers into ``langs``, which
     are hashed to ``seeds``), and ``room``: how many words from each one on belong to its
@@ -76,11 +89,29 @@ class Piece:
     def __len__(self) -> int:
         return len(self.hashes)
 
-    def cells(self, order: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
-        """The places of all n-grams of this order, and the counter of each."""
-        places = np.flatnonzero(self.room >= order)
-        grams = W.grams(self.hashes, order)[places]
-        return places, (W.mix(grams ^ self.seeds[self.lang[places]] ^ W.U(order)) & W.U(cells - 1)).astype(np.int64)
+    def cells(self, order: int, cells: int, places: np.ndarray) -> np.ndarray:
+        """The counters of the n-grams of this order at these places: a row for each table,
+        the second table's behind the first's."""
+        mixed = W.mix(W.grams(self.hashes, order)[places] ^ self.seeds[self.lang[places]] ^ W.U(order))
+        return (np.stack([mixed, mixed >> W.U(32)]) & W.U(cells - 1)).astype(np.int64) + [[0], [cells]]
+
+    def reach(self, longest: int, tables: list[Table]) -> np.ndarray:
+        """How many words from each one on may be a frequent phrase by the tables.  Orders
+        behind the last table are only held to what stands inside their n-grams."""
+        if not tables:
+            return self.room
+        length, order = np.zeros(len(self), np.int8), 0
+        for orders, bits in tables:
+            for order in orders:
+                places = np.flatnonzero((length == order - 1) & (self.room >= order))
+                cell = self.cells(order, 4 * len(bits), places)
+                length[places[((bits[cell >> 3] << (cell & 7).astype(np.uint8)) & 128 > 0).all(axis=0)]] = order
+        for _ in range(order - 1):  # what stands inside a frequent phrase is frequent
+            length[:-1] = np.minimum(length[:-1], length[1:] + 1)
+        for known in range(order, longest):
+            more = (length[:-1] == known) & (length[1:] >= known) & (self.room[:-1] > known)
+            length[:-1][more] = known + 1
+        return length
 
     def coded(self) -> tuple[np.ndarray, pa.Array]:
         """The words as numbers of an array of distinct words, compared by their bytes."""
@@ -88,19 +119,40 @@ class Piece:
         return np.asarray(spelled.indices).astype(np.int64), spelled.dictionary
 
 
-def bound(docs: DataFrame, longest: int, least: int, cells: int) -> np.ndarray:
-    """For each counter, in one bit, whether the n-grams in it may reach ``least``."""
+def packed(tables: list[Table]) -> list[tuple[range, bytes]]:
+    return [(orders, zstandard.ZstdCompressor(3).compress(bits.tobytes())) for orders, bits in tables]
+
+
+def unpacked(tables: list[tuple[range, bytes]]) -> list[Table]:
+    return [(orders, np.frombuffer(zstandard.ZstdDecompressor().decompress(bits), np.uint8)) for orders, bits in tables]
+
+
+def by_core(docs: DataFrame) -> DataFrame:
+    """The same rows in no more partitions than the cluster has cores."""
+    return docs.coalesce(max(1, docs.sparkSession.sparkContext.defaultParallelism))
+
+
+def room_for(docs: DataFrame) -> int:
+    """The number of counters in a table for these texts, a power of two."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
+    return min(CELLS, max(CHUNK, 1 << (int(size) // BYTES).bit_length()))
+
+
+def bound(docs: DataFrame, orders: range, longest: int, least: int, cells: int, tables: list[Table]) -> np.ndarray:
+    """For each counter, in one bit, whether the n-grams in it may reach ``least``; n-grams
+    that cannot by the tables of lower orders are not counted."""
     if least > CEILING:
         raise ValueError(f"counters stop at {CEILING}")
-    chunks = max(1, cells // CHUNK)
+    size, chunks, known = 2 * cells, max(1, 2 * cells // CHUNK), packed(tables)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(cells, np.uint32)
+        counters, lower = np.zeros(size, np.uint8), unpacked(known)
         for batch in W.pieces(batches):
             piece = Piece(batch, longest)
-            for order in range(1, longest + 1):
-                np.add.at(counters, piece.cells(order, cells)[1], 1)
-        counters = np.minimum(counters, CEILING).astype(np.uint8)
+            reach = piece.reach(longest, lower)
+            for order in orders:
+                cell, times = np.unique(piece.cells(order, cells, np.flatnonzero(reach >= order)), return_counts=True)
+                counters[cell] = np.minimum(counters[cell] + times, CEILING)
         pack = zstandard.ZstdCompressor(1)
         for chunk, values in enumerate(np.split(counters, chunks)):
             if values.any():
@@ -118,26 +170,29 @@ def bound(docs: DataFrame, longest: int, least: int, cells: int) -> np.ndarray:
                 if chunk != now:
                     if now is not None:
                         yield done()
-                    now, total = chunk, np.zeros(cells // chunks, np.uint16)
+                    now, total = chunk, np.zeros(size // chunks, np.uint16)
                 total = np.minimum(total + np.frombuffer(unpack.decompress(packed.as_py()), np.uint8), CEILING).astype(np.uint16)
         if now is not None:
             yield done()
 
-    counted = docs.mapInArrow(count, "chunk int, counters binary")
+    counted = by_core(docs).mapInArrow(count, "chunk int, counters binary")
     summed = counted.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk int, bits binary")
-    out = np.zeros((chunks, cells // chunks // 8), np.uint8)
-    for r in summed.collect():  # cells / 8 bytes in all, whatever the corpus
+    out = np.zeros((chunks, size // chunks // 8), np.uint8)
+    for r in summed.collect():  # size / 8 bytes in all, CELLS / 4 at most
         out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
 
-def windows(docs: DataFrame, longest: int, bits: np.ndarray, held: int = 500_000) -> DataFrame:
+def windows(docs: DataFrame, longest: int, least: int, cells: int, held: int = 500_000) -> DataFrame:
     """lang, w1, w2, ..., times: the longest windows of every word, cut before a prefix that
     is too rare, summed in the tasks while they hold no more than ``held`` different ones."""
-    cells = len(bits) * 8
+    tables: list[Table] = []
+    for orders in (range(1, min(FIRST, longest) + 1), range(FIRST + 1, longest + 1)):
+        if orders:
+            tables.append((orders, bound(docs, orders, longest, least, cells, tables)))
+    known = packed(tables)
     keys = ["lang", *[f"w{k + 1}" for k in range(longest)]]
     schema = ", ".join([f"{k} string" for k in keys] + ["times long"])
-    packed = zstandard.ZstdCompressor(3).compress(bits.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -147,19 +202,13 @@ def windows(docs: DataFrame, longest: int, bits: np.ndarray, held: int = 500_000
             waiting.clear()
             return out
 
-        often = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)).astype(bool)
+        lower = unpacked(known)
         for batch in W.pieces(batches, limit=4 * W.PIECE):
             piece = Piece(batch, longest)
             n = len(piece)
             if not n:
                 continue
-            length = np.zeros(n, np.int8)
-            for order in range(1, longest + 1):
-                places, cell = piece.cells(order, cells)
-                keep = places[often[cell] & (length[places] == order - 1)]
-                length[keep] = order
-            for _ in range(longest - 1):  # what stands inside a frequent phrase is frequent
-                length[:-1] = np.minimum(length[:-1], np.maximum(length[1:] + 1, 1))
+            length = piece.reach(longest, lower)
             words, distinct = piece.coded()
             # Equal windows get equal numbers, built up word by word; a missing word is 0.
             size = len(distinct) + 1
@@ -180,15 +229,15 @@ def windows(docs: DataFrame, longest: int, bits: np.ndarray, held: int = 500_000
         if waiting:
             yield from summed().to_batches()
 
-    return docs.mapInArrow(run, schema)
+    return by_core(docs).mapInArrow(run, schema)
 
 
-def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, cells: int = CELLS) -> DataFrame:
+def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, cells: int | None = None) -> DataFrame:
     """lang, words, phrase, f: all phrases of up to ``longest`` words with at least ``least``
     occurrences; with words 0 and an empty phrase the number of all words of the language."""
     docs = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     names = [f"w{k + 1}" for k in range(longest)]
-    counted = windows(docs, longest, bound(docs, longest, least, cells)).groupBy("lang", *names).agg(F.sum("times").alias("times"))
+    counted = windows(docs, longest, least, cells or room_for(docs)).groupBy("lang", *names).agg(F.sum("times").alias("times"))
     level = F.grouping_id()
     sums = counted.rollup("lang", *names).agg(F.sum("times").alias("f"), level.alias("level"))
     # The grouping id has a one for each column that is summed away.
@@ -198,7 +247,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, c
     return sums.where(last.isNotNull() & ((F.col("words") == 0) | (F.col("f") >= least))).select("lang", "words", F.concat_ws(" ", *names).alias("phrase"), "f")
 
 
-def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP, cells: int = CELLS) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP, cells: int | None = None) -> DataFrame:
     """The ``top`` collocations of every language: lang, rank, phrase, a, l, r, n, score."""
     counts = written(phrase_counts(docs, longest, least, cells), "phrases")
     phrases = counts.where("words > 0")

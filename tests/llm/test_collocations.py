@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from ledgerlake.llm.collocations import collocations, phrase_counts
+from ledgerlake.llm.collocations import CHUNK, collocations, phrase_counts, room_for, windows
 from tests.llm.cases import DOCS, LOWER, docs, empty  # noqa: F401
 
 
@@ -64,3 +64,35 @@ def test_counts(spark, texts):
 def test_empty_tables(spark):
     assert collocations(empty(spark)).count() == 0
     assert collocations(spark.createDataFrame([(1, None, None, None, None), (2, " ,. ", "en", None, 3)], DOCS), least=1).count() == 0
+
+
+def uniform(spark, words=300, rows=400, length=250):
+    """Texts of words drawn at random: hardly a pair is frequent, and no longer phrase."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(words)}" for _ in range(length)) for _ in range(rows)]
+    return texts, spark.createDataFrame([(x, "en") for x in texts], "text string, lang string")
+
+
+def test_rare_windows_are_cut_with_few_counters(spark):
+    """Counted all together, 500,000 n-grams fill 2 ** 14 counters beyond 20 each: 86,143 windows were made."""
+    texts, df = uniform(spark)
+    made = windows(df.coalesce(1), 5, 20, 1 << 14).select("w2", "w3").collect()
+    f, _ = counts([(x, "en") for x in texts])
+    assert not [k for k, a in f.items() if len(k[1]) > 1 and a >= 20]
+    assert len(made) < 5000 and not [r for r in made if r["w3"] is not None]
+
+
+def test_windows_do_not_grow_with_the_splits(spark):
+    _, df = uniform(spark, words=50)
+    cores = spark.sparkContext.defaultParallelism
+    made = windows(df.repartition(8 * cores), 5, 20, 1 << 18)
+    rows = made.count()
+    distinct = made.drop("times").distinct().count()
+    assert made.rdd.getNumPartitions() <= cores and distinct > 50 and rows <= cores * distinct
+    assert made.agg({"times": "sum"}).first()[0] == 400 * 250
+
+
+def test_counters_grow_with_the_texts(spark):
+    row = spark.createDataFrame([("x" * 100_000, "en"), (None, "en")], "text string, lang string")
+    many = row.crossJoin(spark.range(400))
+    assert [room_for(x) for x in (row.limit(0), row, many)] == [CHUNK, CHUNK, 1 << 19]
