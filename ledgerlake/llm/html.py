@@ -27,6 +27,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,10 @@ from ledgerlake.llm.urls import host_of
 FEWEST, SAME = 5, 0.9
 #: Elements that an article holds as its own text, whatever other pages say.
 TEXTUAL = frozenset("article main p h1 h2 h3 h4 h5 h6 li dd dt td th pre blockquote figcaption address".split())
+#: Elements whose blocks are the main text: those of articles, without one those of main.
+HOLDS = {"article": 2, "main": 1}
+#: Start tags up to this length are described once in a task for all elements that have them.
+SHORT = 200
 #: References of all hosts are broadcast up to this many bytes, else joined by host.
 BROADCAST_BYTES = 32 << 20
 #: Parsed references that a task keeps, in characters of their pages.
@@ -61,7 +66,17 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           **{t: {"p"} for t in "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()}}
 #: ... but not beyond these.
 SCOPES = frozenset("table ul ol dl div article section main body html td th aside nav footer header form blockquote".split())
-_PART = re.compile(r"<!--(.*?)(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</\s*([a-zA-Z][^\s<>/]*)[^<>]*(?:>|(?=<)|\Z)|(<(?=[a-zA-Z]))|([^<]+|<)", re.DOTALL)
+#: Text, then what begins with the "<" behind it: a start tag of which neither the name nor
+#: a value holds "<" (name, attributes), an end tag, CDATA, another start tag (only its "<"),
+#: or a "<" that is text.  Comments, doctypes and instructions are no group.  No part is read
+#: beyond the next "<" in vain, so all take time linear in the page.
+_PART = re.compile(
+    r"([^<]*+)(?:<(?:([a-zA-Z][^\s<>/\"']*+)((?:[\s/](?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)?+)>|/\s*+([a-zA-Z][^\s<>/]*+)[^<>]*+>?|!--.*?(?:-->|\Z)|"
+    r"!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*+>?|((?=[a-zA-Z]))|()))?", re.DOTALL)
+_ATTRIBUTES, _END, _CDATA, _START, _SIGN = range(3, 8)
+_RAW_END = {t: re.compile(rf"</{t}[\s>/]", re.IGNORECASE) for t in RAW}
+#: End tags that close nothing outside a scope, and elements that a slash does not close.
+_SCOPED, _UNCLOSED = INLINE | {"p", "li"}, INLINE | {"p", "div"}
 _NAME_END, _SPECIAL = re.compile(r"[\s>/]"), re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/>\"']|$)", re.IGNORECASE)
 
@@ -111,96 +126,114 @@ class Node:
         self.tag, self.kind, self.children, self.skipped = tag, kind, [], skipped
 
 
-def _start(tag: str, attributes: str, inside: bool) -> Node:
+@lru_cache(10_000)
+def _described(tag: str, attributes: str) -> tuple[str, bool]:
+    """Kind of an element, and whether its tag, role, class or attributes make it skipped."""
     found = {m[0].lower(): (m[1] or m[2] or m[3] or "").strip() for m in _ATTRIBUTE.findall(attributes)} if attributes else {}
     names = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    skipped = tag in SKIPPED or found.get("role", "").lower() in SKIPPED_ROLES or (tag == "header" and not inside) or "hidden" in found or found.get("aria-hidden") == "true"
+    skipped = tag in SKIPPED or found.get("role", "").lower() in SKIPPED_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     if names and tag not in ("html", "body", "main", "article"):
         skipped = skipped or bool(SKIPPED_CLASS.search(names))
-    return Node(tag, f"{tag}.{_NUMBER.sub('0', found.get('class', ''))}", skipped)  # numbered classes are one kind
+    return f"{tag}.{_NUMBER.sub('0', found.get('class', ''))}", skipped  # numbered classes are one kind
 
 
 def parse(page: str) -> Node:
     """The page's tree; children are nodes and strings.  Tags may be left open."""
     root = Node("#", "#", False)
-    stack, at, ends = [root], 0, _Ends(page)
-    while at < len(page):
-        m = _PART.match(page, at)
-        if not m:
-            break
+    stack, at, ends, size, part, unescape = [root], 0, None, len(page), _PART.match, entities.unescape
+    while at < size:
+        m = part(page, at)
         at = m.end()
-        _, cdata, end, tag, text = m.groups()
-        if tag is not None:
+        text, tag, attributes, end, cdata, _, _ = m.groups()
+        if text:
+            stack[-1].children.append(unescape(text) if "&" in text else text)
+        what = m.lastindex
+        if what == _START:
+            ends = ends or _Ends(page)
             found = ends.of(at)
             if found:
                 tag, attributes, at = page[at:found[0]], page[found[0]:found[1]], found[1] + 1
             else:
-                tag, text = None, "<"
-        if text is not None or cdata is not None:
-            stack[-1].children.append(entities.unescape(text) if text is not None else cdata)
-        elif end is not None:
+                what = _SIGN
+        if what == _SIGN:
+            stack[-1].children.append("<")
+        elif what == _CDATA:
+            stack[-1].children.append(cdata)
+        elif what == _END:
             end = end.lower()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == end:
                     del stack[i:]
                     break
-                if end in INLINE | {"p", "li"} and stack[i].tag in SCOPES:
+                if end in _SCOPED and stack[i].tag in SCOPES:
                     break
         elif tag is not None:
             tag = tag.lower()
-            for closed in (CLOSES.get(tag) or ()):
+            for closed in CLOSES.get(tag, ()):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == closed:
                         del stack[i:]
                         break
                     if stack[i].tag in SCOPES:
                         break
-            node = _start(tag, attributes, any(n.tag in ("article", "main") for n in stack) if tag == "header" else False)
+            kind, skipped = (_described if len(tag) + len(attributes) <= SHORT else _described.__wrapped__)(tag, attributes)
+            if tag == "header" and not skipped:
+                skipped = not any(n.tag in ("article", "main") for n in stack)
+            node = Node(tag, kind, skipped)
             stack[-1].children.append(node)
             if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}[\s>/]", re.IGNORECASE).search(page, at)
-                stop = close.start() if close else len(page)
+                close = _RAW_END[tag].search(page, at)
+                stop = close.start() if close else size
                 node.children.append(page[at:stop])
                 at = stop
                 if close:
                     gt = page.find(">", stop)
-                    at = gt + 1 if gt >= 0 else len(page)
+                    at = gt + 1 if gt >= 0 else size
             elif tag not in VOID and not attributes.rstrip().endswith("/"):
                 stack.append(node)
-            elif tag not in VOID and tag in INLINE | {"p", "div"}:
+            elif tag not in VOID and tag in _UNCLOSED:
                 stack.append(node)  # the slash means nothing in HTML
     return root
 
 
-def blocks(node: Node, inside: bool = False) -> list[tuple[Node, bool, str]]:
+def blocks(root: Node) -> list[tuple[Node, int, str]]:
     """Text blocks under a node that are not skipped, in page order, each with its block
-    element and whether an article holds it; inline elements do not end a block."""
+    element and what holds it (2: an article, 1: only a main element, 0: neither); inline
+    elements do not end a block."""
     out, now = [], []
 
-    def end(owner: Node, held: bool) -> None:
+    def end(owner: Node, held: int) -> None:
         text = " ".join("".join(now).split())
         if text:
             out.append((owner, held, text))
         now.clear()
 
-    owner, held = node, inside
-    work: list = [(node, node, inside)]
+    owner, held = root, 0
+    work: list = [(root, root, 0)]
     while work:
         x, within, kept = work.pop()
-        if isinstance(x, Node) and x.tag in UNSEEN:
-            continue  # takes no room, so it ends no block either
-        if x is None or isinstance(x, Node) and x.tag not in INLINE:
-            end(owner, held)
-            owner, held = within, kept
-        if isinstance(x, str):
+        if type(x) is str:
             now.append(x)
-        elif isinstance(x, Node) and x.tag in INLINE:
-            if not x.skipped:
-                work.extend((c, within, kept) for c in reversed(x.children))
-        elif isinstance(x, Node) and not x.skipped:
-            owner, held = x, kept or x.tag in ("article", "main")
-            work.append((None, within, kept))
-            work.extend((c, x, held) for c in reversed(x.children))
+            continue
+        if x is not None:
+            if x.tag in UNSEEN:
+                continue  # takes no room, so it ends no block either
+            if x.tag in INLINE:
+                if not x.skipped:
+                    work += [(c, within, kept) for c in reversed(x.children)]
+                continue
+        if now:
+            end(owner, held)
+        owner, held = within, kept
+        if x is not None and not x.skipped:
+            holds = max(kept, HOLDS.get(x.tag, 0))
+            if len(x.children) == 1 and type(x.children[0]) is str:
+                now.append(x.children[0])
+                end(x, holds)
+            else:
+                owner, held = x, holds
+                work.append((None, within, kept))
+                work += [(c, x, holds) for c in reversed(x.children)]
     end(owner, held)
     return out
 
@@ -231,11 +264,12 @@ class Group:
         self.children = []
 
 
-def reduced(root: Node) -> Group:
+def reduced(root: Node, every: list[tuple[Node, int, str]] | None = None) -> Group:
     """The tree of groups, made from the top so that deep pages need no recursion.  A
-    group's own text is that of its members' blocks, inline descendants included."""
+    group's own text is that of its members' blocks (``every``, if known), inline
+    descendants included."""
     texts: dict[int, list[str]] = {}
-    for node, _, text in blocks(root):
+    for node, _, text in blocks(root) if every is None else every:
         texts.setdefault(id(node), []).append(text)
     top = Group(root.kind, [root], texts)
     work, order = [top], []
@@ -358,11 +392,11 @@ def aligned(page: str, reference: Group, places: dict[int, int]) -> tuple[list[t
     found = articles(root)
     every = blocks(root)
     own, nodes = {}, []
-    for r, g in matching(reference, reduced(root))[1]:
+    for r, g in matching(reference, reduced(root, every))[1]:
         nodes.append((places[id(r)], _mark(g.own)))
         for m in g.members:
             own[id(m)] = nodes[-1]
-    parts = [b for a in found for b in blocks(a, True)] if found else every
+    parts = [b for b in every if b[1] == HOLDS[found[0].tag]] if found else every
     return [(*((-1, 0) if held and node.tag in TEXTUAL else own.get(id(node), (-1, 0))), text) for node, held, text in parts], nodes, _mark("\n".join(t for _, _, t in every))
 
 
@@ -395,6 +429,12 @@ def layout(root: Node) -> tuple[list[int], int]:
     return [_mark(f"{k} {sorted(paths)}") for k, paths in enumerate((every, boxes, *depths))], len(every)
 
 
+def _lists(rows: list[list[tuple]], types: dict[str, pa.DataType]) -> pa.Array:
+    """A column of lists of structs, made of one flat column for each of their fields."""
+    columns = [pa.array([x[i] for row in rows for x in row], t) for i, t in enumerate(types.values())]
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, rows))], pa.int32()), pa.StructArray.from_arrays(columns, list(types)))
+
+
 def _layouts(rows: DataFrame) -> DataFrame:
     """Per page with text: host, layout hashes, number of paths, hash of its texts, order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -482,13 +522,13 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
                     tree = reduced(parse(reference or ""))
                     trees[host, first] = tree, numbered(tree)
                 parts, nodes, whole = aligned(page, *trees[host, first])
-                blocks_of.append([{"place": p, "mark": m, "text": t} for p, m, t in parts])
-                nodes_of.append([{"place": p, "mark": m} for p, m in nodes])
+                blocks_of.append(parts)
+                nodes_of.append(nodes)
                 said.append(whole)
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(c) for c in kept), batch.column("_host"), batch.column("_group"),
-                pa.array(blocks_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64()), ("text", pa.string())]))),
-                pa.array(nodes_of, pa.list_(pa.struct([("place", pa.int32()), ("mark", pa.int64())]))), pa.array(said, pa.int64())], schema.names)
+                _lists(blocks_of, {"place": pa.int32(), "mark": pa.int64(), "text": pa.string()}),
+                _lists(nodes_of, {"place": pa.int32(), "mark": pa.int64()}), pa.array(said, pa.int64())], schema.names)
 
     grouped = _looked_up(_with_layout(rows), known, {"_host": "_h", "_layout": "_l"}, few)
     given = _looked_up(grouped, references, {"_host": "_h", "_first": "_f"}, small)

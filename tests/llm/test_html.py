@@ -189,3 +189,59 @@ def test_equal_siblings_far_apart_are_one_group():
 
 def test_empty_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_an_ordinary_page_is_walked_once(monkeypatch):
+    """Start tags without "<" in a value need no search of their ends, equal ones are described
+    once, and the blocks of a page are listed once for its article, its tree and its hash."""
+    monkeypatch.setattr(html, "_Ends", lambda text: pytest.fail("searched"))
+    text = page("<article><h1 class='a1'>t</h1>" + "".join(f"<p class='x' id=\"y\">story {i}</p><br/>" for i in range(50)) + "</article><p>out</p>")
+    reference = html.reduced(html.parse(text))
+    html._described.cache_clear()
+    calls, blocks = [], html.blocks
+    monkeypatch.setattr(html, "blocks", lambda *a: calls.append(a) or blocks(*a))
+    parts, _, _ = html.aligned(text, reference, html.numbered(reference))
+    assert [t for _, _, t in parts] == ["t"] + [f"story {i}" for i in range(50)]
+    assert len(calls) == 1 and html._described.cache_info().misses < 20
+
+
+def test_start_tags_against_their_definition():
+    whole = re.compile(r"<([a-z][^\s>/]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
+    rng = random.Random(5)
+    tokens = ["<", ">", " ", "/", "b", "=", "'", '"', " class='c1'", ' class="d>"', " class='<'", ' id="nav"', " hidden", "\n"]
+    for _ in range(5000):
+        text = "<a" + "".join(rng.choice(tokens) for _ in range(rng.randint(0, 9)))
+        m, first = whole.match(text), html.parse(text).children[0]
+        if m:
+            assert (first.tag, first.kind, first.skipped) == (m[1], *html._described(m[1], m[2])), text
+        else:
+            assert first == "<", text
+
+
+@pytest.mark.parametrize("broken", ["<a b='<", "<a b=\"<p>", "</ ", "<a\"", "<!", "<![CDATA[", "<p class='x' ", "&amp"])
+def test_other_large_broken_pages_take_linear_time(broken):
+    import time
+    start = time.process_time()
+    html.parse(broken * (1_000_000 // len(broken)))
+    assert time.process_time() - start < 12
+
+
+def test_what_holds_a_block():
+    """Blocks of articles alone are the main text, those of main only where no article is."""
+    def found(text):
+        reference = html.reduced(html.parse(text))
+        return [t for _, _, t in html.aligned(text, reference, html.numbered(reference))[0]]
+
+    assert found("<p>a<main>b<article>c<main>d</main></article>e</main>f") == ["c", "d"]
+    assert found("<p>a</p><main>b<p>c</p>d<aside><article>x</article></aside></main>e") == ["b", "c", "d"]
+    assert found("<b>a<article>b</article>c</b>") == ["b"] and found("<main>a<article></article></main>") == []
+    assert found("a<p>b") == ["a", "b"]
+
+
+def test_lists_are_made_of_flat_columns():
+    import pyarrow as pa
+    types = {"place": pa.int32(), "text": pa.string()}
+    for rows in ([], [[]], [[(1, "a"), (2, "é")], [], [(-1, "")]]):
+        expected = [[dict(zip(types, x)) for x in row] for row in rows]
+        assert html._lists(rows, types).to_pylist() == expected
+        assert html._lists(rows, types).type == pa.list_(pa.struct(list(types.items())))
