@@ -31,3 +31,34 @@ def test_scratch_made_in_a_scope_is_deleted_at_its_end(spark):
         spark.range(3).write.parquet(gone)
         assert path_exists(spark, gone)
     assert path_exists(spark, kept) and not path_exists(spark, gone)
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    import time
+
+    from ledgerlake.operators.windows import materialize
+    from ledgerlake.session import RELEASE
+    before = _shuffle_files(spark)
+    kept = materialize(spark.range(1000).repartition(5, "id"), "t-released")
+    assert spark.conf.get(RELEASE, None) is None
+    for _ in range(50):
+        left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and kept.count() == 1000
+
+
+def test_a_step_leaves_what_it_returns(spark):
+    from ledgerlake.operators.windows import materialize
+    from ledgerlake.session import RELEASE, step_scope
+    from ledgerlake.sources.tables import path_exists
+    with step_scope(spark):
+        path = materialize(spark.range(3), "t-step").inputFiles()[0].rsplit("/", 1)[0]
+        assert path_exists(spark, path) and spark.conf.get(RELEASE) == "true"
+    assert not path_exists(spark, path) and spark.conf.get(RELEASE, None) is None
