@@ -170,3 +170,37 @@ def test_a_delivery_is_written_aside_only_where_it_is_read_again(spark, monkeypa
     got = {tuple(r) for r in read_table(spark, target).select("k", "p", "t", "v").collect()}
     assert aside == ["upsert"] and got == {("a", "y", 2, 2), ("b", "y", 3, 3), (None, "y", 4, 4)}
     assert not any("z" in part for part in res.rewritten_partitions)
+
+
+def test_partitions_are_copied_where_they_lie(spark, monkeypatch):
+    """Only delivered rows and those whose key is delivered meet by key; any size of a broadcast and
+    any number of files give the same table."""
+    from ledgerlake.operators import incremental
+    first = [(f"k{i}", p, 1, i) for i, p in enumerate("xyz" * 5)] + [(None, "x", 1, 99)]
+    second = [("k0", "y", 2, 0), ("k4", "y", 0, 5), (None, "z", 3, 1), ("new", "w", 1, 1)]
+    third = [(f"k{i}", "x", 9, i) for i in range(0, 15, 3)]                       # every key of a partition but k0's
+    seen, real = [], incremental._in_place
+    monkeypatch.setattr(incremental, "_in_place", lambda *a: seen.append(real(*a)) or seen[-1])
+    tables = []
+    for keys, files in ((1_000_000, 8), (1, 8), (1_000_000, 0)):
+        monkeypatch.setattr(incremental, "KEYS_AT_ONCE", keys)
+        monkeypatch.setattr(incremental, "MOST_FILES", files)
+        target = scratch_dir(spark, "t-in-place")
+        results = [plain_load(spark, rows, target, part=["p"]) for rows in (first, second, third)]
+        tables.append((sorted(map(tuple, read_table(spark, target).select("k", "p", "t", "v").collect()), key=str), [r.written_rows for r in results], [sorted(r.rewritten_partitions) for r in results]))
+        assert not [f for f in read_table(spark, target).inputFiles() if "_staged" in f]
+    expect = {k: (k, *rest) for k, *rest in first}
+    for k, p, t, v in second + third:
+        if k not in expect or expect[k][2] < t:
+            expect[k] = (k, p, t, v)
+    assert tables[0][0] == sorted(expect.values(), key=str) and tables[1:] == [tables[0]] * 2
+    assert seen[0] and seen[4:] == [[], []]
+
+
+def test_an_upsert_leaves_no_copies(spark):
+    from ledgerlake import session
+    target = scratch_dir(spark, "t-copies")
+    plain_load(spark, [("a", "x", 1, 1), ("b", "y", 1, 1)], target, part=["p"])
+    before = list(session._SCRATCH)
+    plain_load(spark, [("a", "y", 2, 2)], target, part=["p"])
+    assert session._SCRATCH == before and content(spark, target) == [("a", "y", 2, 2), ("b", "y", 1, 1)]
