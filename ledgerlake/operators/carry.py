@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.windows import join_null_safe, materialize, with_running_and_previous
+from ledgerlake.session import step_scope
 from ledgerlake.sources import tables
 
 MONTH, BUCKET = "month", "bucket"
@@ -58,6 +59,12 @@ def _last(rows: DataFrame, key: str, order_col: str, tie_col: str, value_col: st
 def extend(spark: SparkSession, delivery: DataFrame, path: str, *, key: str, order_col: str, tie_col: str, value_col: str,
            running_col: str = "running", previous_col: str = "previous", buckets: int = 16) -> CarryResult:
     """Add ``delivery`` (with a date ``order_col`` that is never NULL) to the table at ``path``."""
+    with step_scope(spark):
+        return _extend(spark, delivery, path, key, order_col, tie_col, value_col, running_col, previous_col, buckets)
+
+
+def _extend(spark: SparkSession, delivery: DataFrame, path: str, key: str, order_col: str, tie_col: str, value_col: str,
+            running_col: str, previous_col: str, buckets: int) -> CarryResult:
     inputs = list(dict.fromkeys([key, order_col, tie_col, value_col]))
     month: Column = (F.year(order_col) * 100 + F.month(order_col)).cast("int")
     new = materialize(delivery.select(*inputs, month.alias(MONTH), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)), "carry-new")
@@ -66,8 +73,8 @@ def extend(spark: SparkSession, delivery: DataFrame, path: str, *, key: str, ord
         return out
     names = [key, order_col, tie_col, value_col, running_col, previous_col]
 
-    def derive(rows: DataFrame) -> DataFrame:
-        return with_running_and_previous(rows, [key], order_col, tie_col, value_col, running_col, previous_col)
+    def derive(rows: DataFrame, counted: DataFrame = new) -> DataFrame:
+        return with_running_and_previous(rows, [key], order_col, tie_col, value_col, running_col, previous_col, counted.select(key))
 
     if not tables.path_exists(spark, f"{path}/carry"):
         tables.write_table(derive(new).select(*names, MONTH, BUCKET), f"{path}/rows", mode="overwrite", partition_by=[MONTH, BUCKET])
@@ -94,7 +101,7 @@ def extend(spark: SparkSession, delivery: DataFrame, path: str, *, key: str, ord
     held = [r[BUCKET] for r in known.where("late").select(BUCKET).distinct().collect()]     # at most ``buckets``
     history = _null_safe(there.where(F.col(BUCKET).isin(held)).select(*inputs, MONTH, BUCKET), late, [key], "left_semi")
     history = _null_safe(history, new, [tie_col], "left_anti")
-    again = derive(history.unionByName(_null_safe(new, late, [key], "left_semi")))
+    again = derive(history.unionByName(_null_safe(new, late, [key], "left_semi")), there.where(F.col(BUCKET).isin(held)).select(key).unionByName(new.select(key)))
     again = join_null_safe(again, late, [key], "left").where(F.col(order_col) >= F.col("first_day")).drop("first_day")
     changed = materialize(on_time.select(*names, MONTH, BUCKET).unionByName(again.select(*names, MONTH, BUCKET)), "carry-changed")
 

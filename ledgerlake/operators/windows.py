@@ -14,8 +14,8 @@ give the same results with work spread by data volume:
   plus the row's index.  Offsets come from a table with one row per partition, the only
   broadcast, whose size is bounded by the partition count.
 * ``row_number_by`` — segmented row numbers derived from the global position.
-* ``with_running_and_previous`` — running sum and previous value by way of one row per
-  (key, order value).
+* ``with_running_and_previous`` — running sum and previous value: keys of few rows in one
+  window, the others by way of one row per (key, order value).
 """
 
 from __future__ import annotations
@@ -125,8 +125,45 @@ def row_number_by(df: DataFrame, partition_cols: Sequence[str], order: Sequence,
             .drop("_pos", "_start"))
 
 
+#: A key with more rows is hot: they are not gathered in one task.
+HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
+    """Keys with more than ``HOT_ROWS`` rows, stored (at most one for so many rows); None if there are none."""
+    hot = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(*cols), "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
 def with_running_and_previous(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_col: str,
-                              value_col: str | Column, running_col: str, previous_col: str) -> DataFrame:
+                              value_col: str | Column, running_col: str, previous_col: str, counted: DataFrame | None = None) -> DataFrame:
+    """``df`` plus the RANGE-frame running sum of ``value_col`` and
+    ``lag(value_col) over (partition by keys order by order_col, tie_col)``.
+
+    The rows of a key that has few are dealt by key, once.  Those of a hot key, if there is any, go by way
+    of its order values (``running_by_steps``).  Rows are counted in ``counted`` (default: ``df``), which may hold more of
+    them.  ``tie_col`` must not repeat within an order value."""
+    hot = hot_keys(df if counted is None else counted, partition_cols)
+    of = (partition_cols, order_col, tie_col, value_col, running_col, previous_col)
+    if hot is None:
+        return running_by_key(df, *of)
+    apart = hot.select(*[F.col(k).alias(f"_h_{k}") for k in partition_cols])
+    same = [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in partition_cols]
+    return running_by_key(df.join(apart, same, "left_anti"), *of).unionByName(running_by_steps(df.join(apart, same, "left_semi"), *of))
+
+
+def running_by_key(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_col: str,
+                   value_col: str | Column, running_col: str, previous_col: str) -> DataFrame:
+    """The plain windows: one shuffle by key, one sort."""
+    value = F.col(value_col) if isinstance(value_col, str) else value_col
+    w = Window.partitionBy(*partition_cols)
+    first = F.col(order_col).asc_nulls_first()
+    rows = df.withColumn(previous_col, F.lag(value).over(w.orderBy(first, F.col(tie_col).asc_nulls_first())))
+    return rows.withColumn(running_col, F.sum(value).over(w.orderBy(first).rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def running_by_steps(df: DataFrame, partition_cols: Sequence[str], order_col: str, tie_col: str,
+                     value_col: str | Column, running_col: str, previous_col: str) -> DataFrame:
     """``df`` plus the RANGE-frame running sum of ``value_col`` and
     ``lag(value_col) over (partition by keys order by order_col, tie_col)``.  A value that is
     an expression over ``df`` is derived where it is needed and not shuffled.

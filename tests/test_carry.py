@@ -75,3 +75,13 @@ def test_the_first_delivery_is_written_once(spark, monkeypatch):
     path = scratch_dir(spark, "t-carry-once")
     carry.extend(spark, rows, path, **ARGS)
     assert aside == ["carry-new"] and collected(carry.read_carried(spark, path)) == collected(whole(rows))
+
+
+def test_a_delivery_leaves_no_copies(spark):
+    from ledgerlake import session
+    path = scratch_dir(spark, "t-carry-copies")
+    before = list(session._SCRATCH)
+    for m in (1, 3, 2):
+        carry.extend(spark, frame(spark, [("a", dt.date(2000, m, 1), f"t{m}", Decimal(m)), ("b", dt.date(2000, m, 2), f"u{m}", Decimal(1))]), path, **ARGS)
+        assert session._SCRATCH == before
+    assert {r.txn_id: r.running for r in carry.read_carried(spark, path).collect()} == {"t1": 1, "t2": 3, "t3": 6, "u1": 1, "u2": 2, "u3": 3}

@@ -55,3 +55,17 @@ def test_a_value_may_be_an_expression(spark):
     value = F.when(F.col("on"), F.col("v")).otherwise(F.lit(0))
     got = with_running_and_previous(rows, ["k"], "d", "id", value, "rt", "p")
     assert {r.id: (r.rt, r.p) for r in got.collect()} == {"x": (2, None), "y": (2, 2), "z": (6, 0), "w": (5, None)}
+
+
+def test_keys_with_few_rows_are_dealt_once_and_hot_ones_by_steps(spark, skewed, monkeypatch):
+    import re
+
+    from ledgerlake.operators import windows
+    few = with_running_and_previous(skewed, ["k"], "d", "id", "v", "rt", "p")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\((\w+)#", plan) == ["k"] and plan.count("hashpartitioning") == 1
+    monkeypatch.setattr(windows, "HOT_ROWS", 200)
+    hot = windows.hot_keys(skewed, ["k"])
+    assert 0 < hot.count() < skewed.select("k").distinct().count()
+    both = with_running_and_previous(skewed, ["k"], "d", "id", "v", "rt", "p").select(*few.columns)
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, few.collect()), key=str)
