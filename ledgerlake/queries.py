@@ -79,8 +79,13 @@ def silver_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             for n in ("customers", "merchants", "accounts", "transactions")}
 
 
+#: What the fact takes from a silver transaction.
+FACT_INPUT = ["txn_id", "account_id", "merchant_id", "txn_date", "amount", "is_debit"]
+
+
 def joined_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = silver_all(spark, sf_dir)
+    s["transactions"] = silver.to_silver("transactions", raw_table(spark, sf_dir, "transactions"), AS_OF, FACT_INPUT)
     return facts.joined_transactions(s["transactions"], s["accounts"], s["customers"],
                                      s["merchants"])
 

@@ -84,3 +84,13 @@ def test_one_chart_needs_no_customer_rows(spark, sf_dir):
     p = plan(Q.fact_spend(spark, sf_dir).groupBy("category").agg(F.sum("total_spend")))
     assert "txn_date" not in p.split("HashAggregate")[1] and "Window" not in p.split("SortMergeJoin")[0]
     assert "percentile" not in p and "max_running_spend" not in p
+
+
+def test_a_dedup_for_some_columns_shuffles_no_later_ones(spark, sf_dir):
+    raw = raw_table(spark, sf_dir, "transactions")
+    columns = ["txn_id", "merchant_id", "txn_date", "amount", "is_debit"]
+    some = silver.to_silver("transactions", raw.unionByName(raw.withColumn("city", F.lit("z")).withColumn("txn_type", F.lit("credit"))), AS_OF, columns)
+    whole = silver.to_silver("transactions", raw.unionByName(raw.withColumn("city", F.lit("z")).withColumn("txn_type", F.lit("credit"))), AS_OF)
+    assert sorted(map(tuple, some.collect()), key=str) == sorted(map(tuple, whole.select(*columns).collect()), key=str)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(c in plan[:plan.index("Relation")] for c in (" city#", "l_suppkey % 25", "description#"))
